@@ -56,9 +56,12 @@ def normalized_payload(df: DataFrame) -> Column:
 
 def hashed_form(payload: Column) -> Column:
     """The payload with its escapes written as the hash expects them."""
+    escaped, concerned = payload, F.lit(False)
     for character, escape in HASH_ESCAPES.items():
-        payload = F.replace(payload, F.lit(character), F.lit(escape))
-    return payload
+        concerned = concerned | F.contains(payload, F.lit(character))
+        escaped = F.replace(escaped, F.lit(character), F.lit(escape))
+    # Most payloads hold none of these; looking for them costs far less than replacing.
+    return F.when(concerned, escaped).otherwise(payload)
 
 
 def message_body(*fields: Column) -> Column:

@@ -18,8 +18,8 @@ from tidemark.plans.sync import (
     now,
     record_outcome,
     run_sync,
-    _started_messages,
-    _tell,
+    started_messages,
+    tell,
 )
 from tidemark.sinks.store import Store
 
@@ -94,9 +94,9 @@ def _run_one(
         )
         if row.outcome == "failed":
             started = now()
-            _tell(store, _started_messages(store, dataset, execution, started))
+            tell(store, started_messages(store, execution, started))
             result = SyncResult(row.execution_id, "failed", error=row.error)
-            record_outcome(store, dataset, execution, started, result)
+            tell(store, record_outcome(store, dataset, execution, started, result))
         else:
             result = run_sync(store, dataset, lambda: open_dataset(row), execution)
         if on_result is not None:

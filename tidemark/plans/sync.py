@@ -18,6 +18,7 @@ from tidemark.operators.envelope import log_rows
 from tidemark.operators.requests import INCREMENTAL_TYPES
 from tidemark.sinks.control import next_ticket
 from tidemark.sinks.store import Attempt, Store
+from tidemark.sources.tables import spread
 
 log = logging.getLogger(__name__)
 
@@ -79,17 +80,20 @@ def run_sync(
     nothing.
     """
     started = now()
-    _tell(store, _started_messages(store, dataset, execution, started))
+    tell(store, started_messages(store, execution, started))
+    old = None
     try:
+        old = store.last_value(dataset.identity)
         result = _read_and_write(
-            store, dataset, open_source, execution, started, lookback, key_bits
+            store, dataset, open_source, execution, started, old, lookback, key_bits
         )
     except Exception as error:  # noqa: BLE001 - every failure belongs in the ledger
         log.warning("sync %s failed", execution.execution_id, exc_info=True)
         result = SyncResult(execution.execution_id, "failed", error=_text(error))
-    record_outcome(store, dataset, execution, started, result)
+    recorded = record_outcome(store, dataset, execution, started, result)
     if result.status == "completed":
-        _move_checkpoint(store, dataset, result)
+        _move_checkpoint(store, dataset, old, result)
+    tell(store, recorded)
     return result
 
 
@@ -103,6 +107,7 @@ def _read_and_write(
     open_source: Callable[[], DataFrame],
     execution: Execution,
     started: datetime.datetime,
+    old: str | None,
     lookback: int | float,
     key_bits: int,
 ) -> SyncResult:
@@ -117,12 +122,12 @@ def _read_and_write(
             )
         if dataset.incremental_type not in INCREMENTAL_TYPES:
             raise ValueError(f"unsupported incremental type: {dataset.incremental_type}")
-        last_value = store.last_value(dataset.identity)
-        rows = cursors.newer_than(open_source(), column, last_value, lookback)
+        rows = cursors.newer_than(open_source(), column, old, lookback)
     else:
         raise ValueError(f"unsupported sync mode: {dataset.sync_mode}")
 
     attempt = Attempt(*dataset.identity, execution.execution_id, next_ticket())
+    rows = spread(rows)
     written = store.write(
         log_rows(rows, dataset.technical_key, column, key_bits), attempt, started, now()
     )
@@ -142,7 +147,9 @@ def _read_and_write(
     return SyncResult(execution.execution_id, "completed", facts.records, batches, last)
 
 
-def _move_checkpoint(store: Store, dataset: Dataset, result: SyncResult) -> None:
+def _move_checkpoint(
+    store: Store, dataset: Dataset, old: str | None, result: SyncResult
+) -> None:
     """Clears the cursor after a full load, advances it after an incremental one (F8)."""
     key = store.checkpoints.one_row(
         tenant_id=dataset.tenant_id,
@@ -151,7 +158,6 @@ def _move_checkpoint(store: Store, dataset: Dataset, result: SyncResult) -> None
         last_value=result.last_value,
         updated_at=now(),
     )
-    old = store.last_value(dataset.identity)
     if dataset.sync_mode == "full":
         if old is not None:
             store.checkpoints.delete(key)
@@ -165,8 +171,8 @@ def record_outcome(
     execution: Execution,
     started: datetime.datetime,
     result: SyncResult,
-) -> None:
-    """Ledger row and closing messages of an execution (K5, T5)."""
+) -> DataFrame:
+    """Writes the ledger row of an execution; returns its closing messages (K5, T5)."""
     completed = now()
     row = store.executions.one_row(
         execution_id=execution.execution_id,
@@ -187,17 +193,17 @@ def record_outcome(
     told = row.withColumn("correlation_id", F.lit(execution.correlation_id)).withColumn(
         "batch_size", F.lit(dataset.batch_size)
     )
-    _tell(store, messages.closing(told, F.lit(completed)))
+    return messages.closing(told, F.lit(completed))
 
 
-def _started_messages(
-    store: Store, dataset: Dataset, execution: Execution, started: datetime.datetime
+def started_messages(
+    store: Store, execution: Execution, started: datetime.datetime
 ) -> DataFrame:
     row = store.executions.one_row(execution_id=execution.execution_id)
     return messages.sync_started(row, F.lit(started))
 
 
-def _tell(store: Store, rows: DataFrame) -> None:
+def tell(store: Store, rows: DataFrame) -> None:
     """Publishes messages; a failure to do so never fails a sync."""
     try:
         store.publish(rows)

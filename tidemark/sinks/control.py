@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 
 from tidemark.operators.upsert import latest
 
+# Partition column of append-only tables: the moment of the write, and so its place in order.
+TICKET = "change_ticket"
+
 _ticket_lock = threading.Lock()
 _last_ticket = 0
 
@@ -39,6 +42,15 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
         return spark.createDataFrame([], schema)
 
 
+def append_folder(rows: DataFrame, path: str) -> None:
+    """Appends rows as a folder of their own.
+
+    Two jobs that append to one folder share its temporary files, and the first to finish
+    removes those of the other; separate folders keep concurrent writers apart.
+    """
+    rows.write.mode("errorifexists").parquet(f"{path}/{TICKET}={next_ticket()}")
+
+
 class ControlTable:
     """Keyed rows with upsert and delete."""
 
@@ -58,21 +70,21 @@ class ControlTable:
         self.change_schema = T.StructType(
             [
                 *schema.fields,
-                T.StructField("change_ticket", T.LongType()),
                 T.StructField("deleted", T.BooleanType()),
+                T.StructField(TICKET, T.LongType()),
             ]
         )
 
     def _append(self, rows: DataFrame, deleted: bool) -> None:
         present = set(rows.columns)
-        rows.select(
+        changes = rows.select(
             *(
                 (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in self.schema.fields
             ),
-            F.lit(next_ticket()).alias("change_ticket"),
             F.lit(deleted).alias("deleted"),
-        ).write.mode("append").parquet(self.path)
+        )
+        append_folder(changes, self.path)
 
     def upsert(self, rows: DataFrame) -> None:
         """Inserts rows or replaces those of the same key (K3, K5, K6, K7)."""
@@ -86,7 +98,7 @@ class ControlTable:
         return read_parquet(self.spark, self.path, self.change_schema)
 
     def current(self) -> DataFrame:
-        last = latest(self.changes(), self.keys, ["change_ticket"], self.keep_first)
+        last = latest(self.changes(), self.keys, [TICKET], self.keep_first)
         return last.where(~F.col("deleted")).select(*self.schema.fieldNames())
 
     def one_row(self, **values: object) -> DataFrame:

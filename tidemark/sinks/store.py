@@ -12,7 +12,13 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.upsert import latest, upsert_newer
-from tidemark.sinks.control import ControlTable, next_ticket, read_parquet
+from tidemark.sinks.control import (
+    TICKET,
+    ControlTable,
+    append_folder,
+    next_ticket,
+    read_parquet,
+)
 
 LAYERS = {"raw": "ingested_at", "normalized": "normalized_at"}
 RECORD_KEY = [*schemas.IDENTITY, "record_key"]
@@ -92,19 +98,23 @@ class Store:
         if self._publish is not None:
             self._publish(messages)
         else:
-            messages.write.mode("append").parquet(f"{self.root}/messages")
+            append_folder(messages, f"{self.root}/messages")
 
     def messages(self) -> DataFrame:
-        return read_parquet(self.spark, f"{self.root}/messages", schemas.MESSAGE)
+        return self._appended("messages", schemas.MESSAGE)
 
     def reject(self, refused: DataFrame) -> None:
         """Keeps refused requests as ``(kind, body, error)``."""
-        refused.select(*schemas.REJECTED.fieldNames()).write.mode("append").parquet(
-            f"{self.root}/rejected"
+        append_folder(
+            refused.select(*schemas.REJECTED.fieldNames()), f"{self.root}/rejected"
         )
 
     def rejected(self) -> DataFrame:
-        return read_parquet(self.spark, f"{self.root}/rejected", schemas.REJECTED)
+        return self._appended("rejected", schemas.REJECTED)
+
+    def _appended(self, table: str, schema: T.StructType) -> DataFrame:
+        rows = read_parquet(self.spark, f"{self.root}/{table}", schema)
+        return rows.select(*schema.fieldNames())
 
     # --- the log ----------------------------------------------------------------------
 
@@ -249,7 +259,7 @@ class Store:
         """The stored cursor of a dataset."""
         row: Row | None = _of_dataset(self.checkpoints.changes(), dataset).select(
             F.max_by(
-                F.struct("last_value", "deleted"), F.struct("change_ticket", "last_value")
+                F.struct("last_value", "deleted"), F.struct(TICKET, "last_value")
             ).alias("change")
         ).first()
         if row is None or row.change is None or row.change.deleted:

@@ -27,10 +27,10 @@ def parquet_folder(spark: SparkSession, folder: str) -> Callable[[Row], DataFram
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all task slots when the scan itself has fewer splits than that.
+    """Rows over more tasks when the scan has too few splits to keep the cluster busy.
 
-    Only a small input has so few splits; a large one is returned as it is, unshuffled.
+    A large table has splits enough and is returned as it is, unshuffled. The rebalanced
+    partitions are sized at run time, so a tiny table stays in one piece.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(slots) if splits < slots else df
+    return df.hint("rebalance") if df.rdd.getNumPartitions() * 2 <= slots else df

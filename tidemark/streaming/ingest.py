@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.defaults import DEFAULT_BATCH_SIZE
 from tidemark.operators.envelope import log_rows
-from tidemark.plans.sync import Dataset, Execution, SyncResult, now, record_outcome
+from tidemark.plans.sync import Dataset, Execution, SyncResult, now, record_outcome, tell
 from tidemark.sinks.store import Attempt, Store
 
 
@@ -40,7 +40,7 @@ def stream_rows(
         records = written.agg(F.count(F.lit(1)).alias("records")).first().records
         size = dataset.batch_size if dataset.batch_size > 0 else DEFAULT_BATCH_SIZE
         result = SyncResult(execution.execution_id, "completed", records, -(-records // size))
-        record_outcome(store, dataset, execution, started, result)
+        tell(store, record_outcome(store, dataset, execution, started, result))
 
     return (
         rows.writeStream.foreachBatch(on_batch)
