@@ -28,14 +28,16 @@ def number_rows(
 
     No window over the whole table: rows are range-partitioned and sorted once and written to
     the shared scratch folder together with their place in the partition; the page then
-    follows from the row count of the partitions before it. ``tie_break`` columns take part
-    in the ranges, so rows of one hot key are spread over several partitions.
+    follows from the row count of the partitions before it. ``tie_break`` columns and a hash
+    of the row take part in the ranges, so rows of one hot key are spread over several
+    partitions and the numbers do not depend on task order.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     spark = df.sparkSession
     wanted = [key, *tie_break]
     order = [column_of(require_column(df, c).name).asc_nulls_last() for c in wanted]
+    order.append(F.xxhash64(*map(column_of, df.columns)).asc())
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )

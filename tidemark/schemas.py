@@ -58,6 +58,11 @@ LAYER_SNAPSHOT = _schema(
     "layer string, tenant_id string, source_id string, dataset_id string, compaction bigint"
 )
 
+COMPACTIONS = _schema(
+    "layer string, tenant_id string, source_id string, dataset_id string, compaction bigint, "
+    "last_started timestamp"
+)
+
 # --- request messages -----------------------------------------------------------------
 
 SYNC_REQUEST = _schema(

@@ -32,10 +32,16 @@ def next_ticket() -> int:
         return _last_ticket
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A Parquet folder under a fixed schema; a folder not yet written is an empty table."""
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType, base: str | None = None
+) -> DataFrame:
+    """A Parquet folder under a fixed schema; a folder not yet written is an empty table.
+
+    ``base`` is the folder of the whole table, where ``path`` is some of its partitions.
+    """
+    reader = spark.read.schema(schema)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return (reader.option("basePath", base) if base else reader).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -20,6 +20,8 @@ from tidemark.sinks.control import (
     read_parquet,
 )
 
+Identity = tuple[str, str, str]
+
 LAYERS = {"raw": "ingested_at", "normalized": "normalized_at"}
 RECORD_KEY = [*schemas.IDENTITY, "record_key"]
 # Arrival order of records: runs by start, then the source's own order within a run. The
@@ -36,6 +38,10 @@ def _folder_value(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in value)
 
 
+def _dataset_folder(dataset: Identity) -> str:
+    return "/".join(f"{n}={_folder_value(v)}" for n, v in zip(schemas.IDENTITY, dataset))
+
+
 @dataclass(frozen=True)
 class Attempt:
     """One write of one execution into the log."""
@@ -47,15 +53,9 @@ class Attempt:
     attempt: int
 
     def folder(self) -> str:
-        return "/".join(
-            [
-                f"tenant_id={_folder_value(self.tenant_id)}",
-                f"source_id={_folder_value(self.source_id)}",
-                f"dataset_id={_folder_value(self.dataset_id)}",
-                f"execution_id={_folder_value(self.execution_id)}",
-                f"attempt={self.attempt}",
-            ]
-        )
+        dataset = _dataset_folder((self.tenant_id, self.source_id, self.dataset_id))
+        execution = _folder_value(self.execution_id)
+        return f"{dataset}/execution_id={execution}/attempt={self.attempt}"
 
 
 class Store:
@@ -90,6 +90,9 @@ class Store:
             spark, f"{control}/sync_executions", schemas.SYNC_EXECUTIONS, ["execution_id"],
             [*schemas.IDENTITY, "connector_type", "trigger_type", "started_at"],
         )
+        self.compactions = ControlTable(
+            spark, f"{control}/compactions", schemas.COMPACTIONS, ["layer", *schemas.IDENTITY]
+        )
         self._publish = publish
 
     # --- messages and refusals --------------------------------------------------------
@@ -144,9 +147,16 @@ class Store:
         stored = T.StructType([f for f in schemas.SYNC_LOG.fields if f.name not in _FOLDERS])
         return self.spark.read.schema(stored).parquet(folder)
 
-    def log(self) -> DataFrame:
-        """Every written row of every attempt."""
-        return read_parquet(self.spark, self.log_path, schemas.SYNC_LOG)
+    def log(self, dataset: Identity | None = None) -> DataFrame:
+        """Every written row of every attempt; of one dataset, only its folders are listed."""
+        return self._partitioned("log", schemas.SYNC_LOG, dataset)
+
+    def _partitioned(
+        self, table: str, schema: T.StructType, dataset: Identity | None, prefix: str = ""
+    ) -> DataFrame:
+        base = f"{self.root}/{table}"
+        folder = f"{base}/{prefix}{_dataset_folder(dataset)}" if dataset else f"{base}/{prefix}"
+        return read_parquet(self.spark, folder.rstrip("/"), schema, base)
 
     # --- the layers -------------------------------------------------------------------
 
@@ -161,41 +171,42 @@ class Store:
             "written_at",
         )
 
-    def _snapshots(self, layer: str) -> DataFrame:
-        path = f"{self.root}/snapshots"
-        stored = read_parquet(self.spark, path, schemas.LAYER_SNAPSHOT)
-        return stored.where(F.col("layer") == layer)
-
-    def _newest_snapshot(self, layer: str) -> DataFrame:
-        """Compacted records, of each dataset's newest compaction only."""
-        stored = self._snapshots(layer)
-        newest = stored.groupBy(*schemas.IDENTITY).agg(F.max("compaction").alias("compaction"))
+    def _snapshot(self, layer: str, dataset: Identity | None) -> DataFrame | None:
+        """Records of the newest compaction of each dataset; None where nothing is compacted."""
+        prefix = f"layer={layer}/"
+        stored = self._partitioned("snapshots", schemas.LAYER_SNAPSHOT, dataset, prefix)
+        newest = self.compactions.current().where(F.col("layer") == layer)
+        if dataset:
+            row = _of_dataset(newest, dataset).first()
+            return stored.where(F.col("compaction") == row.compaction) if row else None
+        if newest.isEmpty():
+            return None
         return stored.join(newest, [*schemas.IDENTITY, "compaction"], "left_semi")
 
-    def records(self, layer: str, dataset: tuple[str, str, str] | None = None) -> DataFrame:
+    def records(self, layer: str, dataset: Identity | None = None) -> DataFrame:
         """Current records with their arrival columns; all datasets or a single one."""
-        log = _of_dataset(self.log(), dataset)
-        fresh = self._log_records(layer, log)
-        stored = _of_dataset(self._snapshots(layer), dataset)
-        if stored.isEmpty():
+        fresh = self._log_records(layer, self.log(dataset))
+        snapshot = self._snapshot(layer, dataset)
+        if snapshot is None:
             return latest(fresh, RECORD_KEY, ARRIVAL)
-        base = _of_dataset(self._newest_snapshot(layer), dataset).select(*fresh.columns)
-        if self._all_newer(fresh, base):
+        base = snapshot.select(*fresh.columns)
+        if self._all_newer(fresh, layer):
             return upsert_newer(base, fresh, RECORD_KEY, ARRIVAL)
         return latest(base.unionByName(fresh), RECORD_KEY, ARRIVAL)
 
-    @staticmethod
-    def _all_newer(fresh: DataFrame, base: DataFrame) -> bool:
+    def _all_newer(self, fresh: DataFrame, layer: str) -> bool:
         """Whether every logged run began after all compacted runs of its dataset.
 
-        Reads the one start-time column of each side, constant within a file.
+        Of the log only the start time is read, one value per file.
         """
         first = fresh.groupBy(*schemas.IDENTITY).agg(F.min("started_at").alias("first"))
-        last = base.groupBy(*schemas.IDENTITY).agg(F.max("started_at").alias("last"))
-        overlap = first.join(last, schemas.IDENTITY).where(F.col("first") <= F.col("last"))
+        compacted = self.compactions.current().where(F.col("layer") == layer)
+        overlap = first.join(compacted, schemas.IDENTITY).where(
+            F.col("first") <= F.col("last_started")
+        )
         return overlap.isEmpty()
 
-    def layer(self, layer: str, dataset: tuple[str, str, str] | None = None) -> DataFrame:
+    def layer(self, layer: str, dataset: Identity | None = None) -> DataFrame:
         """The layer as its table: one current row per record key."""
         return self.records(layer, dataset).select(
             *schemas.IDENTITY,
@@ -205,42 +216,53 @@ class Store:
             F.col("written_at").alias(LAYERS[layer]),
         )
 
-    def raw(self, dataset: tuple[str, str, str] | None = None) -> DataFrame:
+    def raw(self, dataset: Identity | None = None) -> DataFrame:
         return self.layer("raw", dataset)
 
-    def normalized(self, dataset: tuple[str, str, str] | None = None) -> DataFrame:
+    def normalized(self, dataset: Identity | None = None) -> DataFrame:
         return self.layer("normalized", dataset)
 
     # --- compaction -------------------------------------------------------------------
 
-    def compact(self, dataset: tuple[str, str, str]) -> list[str]:
+    def compact(self, dataset: Identity) -> list[str]:
         """Writes a dataset's current records as a new snapshot of both layers.
 
         Reading stays right whether or not the covered folders are still there, as an upsert
         of rows already present changes nothing. Returns those folders for ``drop``.
         """
-        log = _of_dataset(self.log(), dataset)
+        log = self.log(dataset)
         covered = [
             f"{self.log_path}/{Attempt(**row.asDict()).folder()}"
             for row in log.select(*_FOLDERS).distinct().toLocalIterator()
         ]
         compaction = next_ticket()
         for layer in LAYERS:
-            stored = _of_dataset(self._snapshots(layer), dataset)
-            previous = stored.select("compaction").distinct().toLocalIterator()
-            folders = [self._snapshot_folder(layer, dataset, row.compaction) for row in previous]
-            base = _of_dataset(self._newest_snapshot(layer), dataset)
-            fresh = self._log_records(layer, log)
-            rows = latest(base.select(*fresh.columns).unionByName(fresh), RECORD_KEY, ARRIVAL)
-            rows.drop(*schemas.IDENTITY).write.mode("overwrite").parquet(
-                self._snapshot_folder(layer, dataset, compaction)
+            rows = self._log_records(layer, log)
+            previous = self._snapshot(layer, dataset)
+            if previous is not None:
+                rows = previous.select(*rows.columns).unionByName(rows)
+                covered.append(self._snapshot_folder(layer, dataset, self._number(layer, dataset)))
+            folder = self._snapshot_folder(layer, dataset, compaction)
+            kept = latest(rows, RECORD_KEY, ARRIVAL)
+            kept.drop(*schemas.IDENTITY).write.mode("errorifexists").parquet(folder)
+            written = self.spark.read.schema("started_at timestamp").parquet(folder)
+            last = written.agg(F.max("started_at").alias("last_started")).first().last_started
+            self.compactions.upsert(
+                self.compactions.one_row(
+                    **dict(zip(schemas.IDENTITY, dataset)),
+                    layer=layer,
+                    compaction=compaction,
+                    last_started=last,
+                )
             )
-            covered.extend(folders)
         return covered
 
-    def _snapshot_folder(self, layer: str, dataset: tuple[str, str, str], compaction: int) -> str:
-        names = zip(schemas.IDENTITY, dataset)
-        path = "/".join(f"{name}={_folder_value(value)}" for name, value in names)
+    def _number(self, layer: str, dataset: Identity) -> int:
+        rows = self.compactions.current().where(F.col("layer") == layer)
+        return _of_dataset(rows, dataset).first().compaction
+
+    def _snapshot_folder(self, layer: str, dataset: Identity, compaction: int) -> str:
+        path = _dataset_folder(dataset)
         return f"{self.root}/snapshots/layer={layer}/{path}/compaction={compaction}"
 
     def drop(self, folders: list[str]) -> None:
@@ -255,7 +277,7 @@ class Store:
 
     # --- checkpoints ------------------------------------------------------------------
 
-    def last_value(self, dataset: tuple[str, str, str]) -> str | None:
+    def last_value(self, dataset: Identity) -> str | None:
         """The stored cursor of a dataset."""
         row: Row | None = _of_dataset(self.checkpoints.changes(), dataset).select(
             F.max_by(
@@ -270,7 +292,7 @@ class Store:
 _FOLDERS = [*schemas.IDENTITY, "execution_id", "attempt"]
 
 
-def _of_dataset(df: DataFrame, dataset: tuple[str, str, str] | None) -> DataFrame:
+def _of_dataset(df: DataFrame, dataset: Identity | None) -> DataFrame:
     for name, value in zip(schemas.IDENTITY, dataset or ()):
         df = df.where(F.col(name) == value)
     return df

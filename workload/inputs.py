@@ -281,5 +281,5 @@ VISIBLE_SCHEMAS = """
 SELECT concat('t', cast(l_suppkey % 5 AS string)) AS tenant_id,
        concat('s', cast(l_suppkey AS string)) AS source_id,
        concat('schema', cast(l_partkey % 25 AS string)) AS schema_name
-FROM {lineitem} WHERE l_returnflag = 'A'
+FROM {lineitem} WHERE (l_partkey % 25 + l_suppkey) % 3 <> 0
 """
