@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "strings": T.ArrayType(T.StringType()),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "decimal": T.DecimalType(38, 10),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """Columns as ``name type``; unlike a DDL string this needs no running session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 IDENTITY = ["tenant_id", "source_id", "dataset_id"]
@@ -41,19 +56,20 @@ SYNC_CHECKPOINTS = _schema(
 # --- layers ---------------------------------------------------------------------------
 
 # A cursor of any supported type: exactly one field is filled, so the struct sorts by it.
-CURSOR = _schema("at timestamp_ntz, number decimal(38,10), real double, word string")
+CURSOR = _schema("at timestamp_ntz, number decimal, real double, word string")
+_TYPES["cursor"] = CURSOR
 
 _PARTITIONS = "tenant_id string, source_id string, dataset_id string, execution_id string"
 
 # One row per source row; both layers are column subsets of the same files.
 SYNC_LOG = _schema(
     "raw_key string, raw_payload string, normalized_key string, normalized_payload string, "
-    f"cursor {CURSOR.simpleString()}, started_at timestamp, written_at timestamp, "
+    "cursor cursor, started_at timestamp, written_at timestamp, "
     f"{_PARTITIONS}, attempt bigint"
 )
 
 LAYER_SNAPSHOT = _schema(
-    f"record_key string, payload string, cursor {CURSOR.simpleString()}, "
+    "record_key string, payload string, cursor cursor, "
     "execution_id string, started_at timestamp, written_at timestamp, "
     "layer string, tenant_id string, source_id string, dataset_id string, compaction bigint"
 )
@@ -72,7 +88,7 @@ SYNC_REQUEST = _schema(
 TEST_REQUEST = _schema("tenant_id string, source_id string, request_id string")
 DISCOVERY_REQUEST = _schema(
     "tenant_id string, source_id string, request_id string, filter_schema string, "
-    "allowed_tables array<string>"
+    "allowed_tables strings"
 )
 RESET_REQUEST = _schema(
     "tenant_id string, source_id string, dataset_id string, request_id string"
