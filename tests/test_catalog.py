@@ -1,0 +1,211 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import discover, schemas
+from tidemark.operators import catalog
+from tidemark.plans.discovery import process_discoveries
+from tidemark.sources import catalogs
+
+
+def frame(spark, columns, *rows):
+    return spark.createDataFrame(list(rows), columns)
+
+
+@pytest.fixture(scope="module")
+def postgres(spark):
+    table = "table_schema string, table_name string"
+    return catalogs.from_frames(
+        "postgres",
+        {
+            "schemata": frame(
+                spark, "schema_name string", ("public",), ("pg_catalog",), ("audit",), ("empty",)
+            ),
+            "tables": frame(
+                spark, f"{table}, table_type string",
+                ("public", "orders", "BASE TABLE"), ("public", "v", "VIEW"),
+                ("public", "far", "FOREIGN"), ("audit", "orders", "BASE TABLE"),
+                ("audit", "bare", "BASE TABLE"), ("pg_catalog", "pg_class", "BASE TABLE"),
+            ),
+            "columns": frame(
+                spark,
+                f"{table}, column_name string, data_type string, is_nullable string, "
+                "ordinal_position int",
+                ("public", "orders", "id", "bigint", "NO", 1),
+                ("public", "orders", "customer", "bigint", "NO", 2),
+                ("public", "orders", "note", "text", "YES", 3),
+                ("public", "v", "id", "bigint", "YES", 1),
+                ("public", "far", "id", "bigint", "YES", 1),
+                ("audit", "orders", "id", "bigint", "NO", 1),
+                ("pg_catalog", "pg_class", "oid", "oid", "NO", 1),
+            ),
+            # The composite key's second column is part of a foreign key as well; the audit
+            # schema reuses the name of a primary-key constraint for a unique one.
+            "key_column_usage": frame(
+                spark, f"{table}, column_name string, constraint_name string",
+                ("public", "orders", "id", "pk"), ("public", "orders", "customer", "pk"),
+                ("public", "orders", "customer", "fk"), ("audit", "orders", "id", "pk"),
+            ),
+            "table_constraints": frame(
+                spark, f"{table}, constraint_name string, constraint_type string",
+                ("public", "orders", "pk", "PRIMARY KEY"),
+                ("public", "orders", "fk", "FOREIGN KEY"),
+                ("audit", "orders", "pk", "UNIQUE"),
+            ),
+        },
+    )
+
+
+def listed(rows):
+    return sorted((r.schema_name, r.table_name) for r in rows.collect())
+
+
+def test_all_tables(postgres):
+    found = discover(postgres)
+    assert sorted(r.schema_name for r in found.schemas.collect()) == ["audit", "empty", "public"]
+    assert listed(found.objects) == [
+        ("audit", "bare"), ("audit", "orders"), ("public", "far"), ("public", "orders"),
+        ("public", "v"),
+    ]
+    kinds = {r.table_name: r.object_type for r in found.objects.collect()}
+    assert (kinds["v"], kinds["far"], kinds["orders"]) == ("view", "table", "table")
+    assert found.summary().first() == (3, 5)
+
+
+def test_primary_keys(postgres):
+    rows = discover(postgres).columns.where("name IS NOT NULL").collect()
+    assert len(rows) == 6
+    flags = {(r.schema_name, r.table_name, r.name): r.is_primary for r in rows}
+    assert [key for key, flag in sorted(flags.items()) if flag] == [
+        ("public", "orders", "customer"), ("public", "orders", "id")
+    ]
+    nullable = {r.name: r.nullable for r in rows if r.table_name == "orders"}
+    assert nullable == {"id": False, "customer": False, "note": True}
+
+
+def test_schema_filter_leaves_the_schema_list(postgres):
+    found = discover(postgres, filter_schema="audit")
+    assert listed(found.objects) == [("audit", "bare"), ("audit", "orders")]
+    assert found.summary().first() == (3, 2)
+    assert discover(postgres, filter_schema="absent").summary().first() == (3, 0)
+    # A system schema is not user-visible even when asked for.
+    assert discover(postgres, filter_schema="pg_catalog").summary().first() == (3, 0)
+
+
+def test_allow_list(spark, postgres):
+    names = frame(spark, "table_name string", ("orders",), ("orders",), ("x",))
+    for allowed in (["orders", "x"], names):
+        assert listed(discover(postgres, allowed_tables=allowed).objects) == [
+            ("audit", "orders"), ("public", "orders")
+        ]
+    assert discover(postgres, allowed_tables=[]).objects.count() == 5
+    assert discover(postgres, allowed_tables=["ORDERS"]).objects.count() == 0
+
+
+def test_nested_form(postgres):
+    rows = {(r.schema_name, r.table_name): r for r in discover(postgres).nested().collect()}
+    assert [c.name for c in rows["public", "orders"].columns] == ["id", "customer", "note"]
+    assert rows["audit", "bare"].columns == []
+
+
+def test_wide_tables_continue_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "ROLLUP_WIDTH", 10)
+    columns = spark.range(0, 35).select(
+        F.lit("s").alias("schema_name"), F.lit("t").alias("table_name"),
+        F.lit("table").alias("object_type"), F.concat(F.lit("c"), F.col("id")).alias("name"),
+        F.lit("int").alias("data_type"), F.lit(True).alias("nullable"),
+        F.lit(False).alias("is_primary"), F.col("id").cast("int").alias("ordinal_position"),
+    )
+    rows = sorted(catalog.roll_up(columns).collect(), key=lambda r: r.part)
+    assert [len(r.columns) for r in rows] == [10, 10, 10, 5]
+    assert [c.name for r in rows for c in r.columns] == [f"c{n}" for n in range(35)]
+
+
+def test_sqlserver_uses_the_primary_key_index(spark):
+    found = catalogs.from_frames(
+        "sqlserver",
+        {
+            "schemata": frame(
+                spark, "schema_id int, name string, principal_id int", (1, "dbo", 1), (2, "sys", 4)
+            ),
+            "objects": frame(
+                spark, "object_id int, schema_id int, name string, type string, type_desc string",
+                (10, 1, "t", "U", "USER_TABLE"), (11, 1, "v", "V", "VIEW"),
+                (12, 1, "p", "P", "SQL_STORED_PROCEDURE"), (13, 2, "o", "U", "USER_TABLE"),
+            ),
+            "columns": frame(
+                spark,
+                "object_id int, column_id int, name string, user_type_id int, is_nullable boolean",
+                (10, 1, "id", 56, False), (10, 2, "day", 40, False), (11, 1, "id", 56, True),
+                (12, 1, "x", 56, True), (13, 1, "y", 56, True),
+            ),
+            "types": frame(spark, "user_type_id int, name string", (56, "int"), (40, "date")),
+            # Index 1 is the clustered one, on the day; the primary key is index 2.
+            "index_columns": frame(
+                spark, "object_id int, column_id int, index_id int, index_column_id int",
+                (10, 2, 1, 1), (10, 1, 2, 1),
+            ),
+            "indexes": frame(
+                spark, "object_id int, index_id int, is_primary_key boolean",
+                (10, 1, False), (10, 2, True),
+            ),
+        },
+    )
+    result = discover(found)
+    assert listed(result.objects) == [("dbo", "t"), ("dbo", "v")]
+    flags = {(r.table_name, r.name): (r.data_type, r.is_primary) for r in result.columns.collect()}
+    assert flags == {
+        ("t", "id"): ("int", True), ("t", "day"): ("date", False), ("v", "id"): ("int", False)
+    }
+
+
+def test_unknown_connector(spark):
+    with pytest.raises(ValueError, match="unsupported connector: oracle"):
+        catalogs.from_frames("oracle", {})
+    with pytest.raises(ValueError, match="unsupported connector: oracle"):
+        catalogs.read_catalog(spark, "oracle", {})
+
+
+@pytest.mark.parametrize("connector", ["postgres", "mysql", "sqlserver"])
+def test_catalog_is_read_by_a_few_queries(spark, connector):
+    asked = []
+
+    def load(query):
+        asked.append(query)
+        names = query.split(" FROM ")[0].removeprefix("SELECT ").split(", ")
+        names = [n.split(" AS ")[-1] for n in names]
+        kinds = {"is_primary_key": "boolean", "is_nullable": "string"}
+        return spark.createDataFrame([], ", ".join(f"{n} {kinds.get(n, 'string')}" for n in names))
+
+    found = catalogs.read_catalog(spark, connector, {}, load)
+    assert len(asked) == len(catalogs.CATALOG_QUERIES[connector])
+    assert discover(found).summary().first() == (0, 0)
+
+
+def test_discovery_requests(spark, store, postgres):
+    store.sources.upsert(
+        store.sources.one_row(tenant_id="t", source_id="s", connector_type="postgres")
+    )
+    names = schemas.DISCOVERY_REQUEST
+    requests = spark.createDataFrame(
+        [
+            ("t", "s", "r1", "audit", None), ("t", "s", "r2", None, ["orders"]),
+            ("t", "none", "r3", None, None), ("t", "s", "r4", "boom", None),
+        ],
+        names,
+    )
+
+    def open_catalog(row):
+        if row.filter_schema == "boom":
+            raise ConnectionError("refused")
+        return postgres
+
+    process_discoveries(store, requests, open_catalog)
+    fields = "success boolean, schema_count int, table_count int, error string"
+    got = {
+        r.key: tuple(r.v)
+        for r in store.messages().select("key", F.from_json("value", fields).alias("v")).collect()
+    }
+    assert got == {
+        "r1": (True, 3, 2, None), "r2": (True, 3, 2, None),
+        "r3": (False, 0, 0, "source not registered: t/none"), "r4": (False, 0, 0, "refused"),
+    }
