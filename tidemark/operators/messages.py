@@ -77,24 +77,24 @@ def batch_processed(batches: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def closing(executions: DataFrame, at: Column) -> DataFrame:
-    """Messages at the end of executions: their batches, then the outcome (T5).
+def completion(executions: DataFrame, at: Column) -> DataFrame:
+    """The closing messages of completed executions: their batches, then the outcome."""
+    completed = executions.where(F.col("status") == "completed")
+    return batch_processed(batches_of(completed), at).unionByName(sync_completed(completed, at))
+
+
+def lifecycle(executions: DataFrame, started: Column, finished: Column) -> DataFrame:
+    """All messages of finished executions: started, batches, then the outcome (T5).
 
     A failed execution has written nothing, so it has no batches.
     """
-    completed = executions.where(F.col("status") == "completed")
     return (
-        batch_processed(batches_of(completed), at)
-        .unionByName(sync_completed(executions, at))
-        .unionByName(sync_failed(executions, at))
+        sync_started(executions, started)
+        .unionByName(completion(executions, finished))
+        .unionByName(sync_failed(executions, finished))
     )
 
 
-def lifecycle(executions: DataFrame, started: Column, finished: Column) -> DataFrame:
-    """All messages of finished executions."""
-    return sync_started(executions, started).unionByName(closing(executions, finished))
-
-
 def test_results(checked: DataFrame, at: Column) -> DataFrame:
     """Connection-test results keyed by request."""
     return _messages(

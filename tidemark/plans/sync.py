@@ -190,10 +190,15 @@ def record_outcome(
         completed_at=completed,
     )
     store.executions.upsert(row)
-    told = row.withColumn("correlation_id", F.lit(execution.correlation_id)).withColumn(
-        "batch_size", F.lit(dataset.batch_size)
+    if result.status == "failed":
+        return messages.sync_failed(row, F.lit(completed))
+    told = row.withColumns(
+        {
+            "correlation_id": F.lit(execution.correlation_id),
+            "batch_size": F.lit(dataset.batch_size),
+        }
     )
-    return messages.closing(told, F.lit(completed))
+    return messages.completion(told, F.lit(completed))
 
 
 def started_messages(

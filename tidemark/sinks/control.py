@@ -10,10 +10,12 @@ import threading
 import time
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.upsert import latest
 
@@ -82,15 +84,17 @@ class ControlTable:
         )
 
     def _append(self, rows: DataFrame, deleted: bool) -> None:
-        present = set(rows.columns)
-        changes = rows.select(
-            *(
-                (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in self.schema.fields
-            ),
-            F.lit(deleted).alias("deleted"),
-        )
-        append_folder(changes, self.path)
+        if rows.schema != self.schema:
+            present = set(rows.columns)
+            rows = rows.select(
+                *(
+                    (F.col(f.name) if f.name in present else F.lit(None))
+                    .cast(f.dataType)
+                    .alias(f.name)
+                    for f in self.schema.fields
+                )
+            )
+        append_folder(rows.withColumn("deleted", F.lit(deleted)), self.path)
 
     def upsert(self, rows: DataFrame) -> None:
         """Inserts rows or replaces those of the same key (K3, K5, K6, K7)."""
@@ -109,9 +113,6 @@ class ControlTable:
 
     def one_row(self, **values: object) -> DataFrame:
         """A single row of this table's schema."""
-        return self.spark.range(0, 1, 1, 1).select(
-            *(
-                F.lit(values.get(f.name)).cast(f.dataType).alias(f.name)
-                for f in self.schema.fields
-            )
+        return self.spark.createDataFrame(
+            pa.Table.from_pylist([values], to_arrow_schema(self.schema)), self.schema
         )
