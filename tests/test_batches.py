@@ -23,7 +23,7 @@ def test_unique_keys(spark, size):
     assert ledger(rows, "k", size) == brute_pages(keys, size)
 
 
-def test_hot_key_is_spread_over_ranges(spark, tmp_path, monkeypatch):
+def test_hot_key_is_spread_over_ranges(spark, tmp_path):
     rows = spark.range(0, 9000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 11).alias("k"),
         F.col("id"),
@@ -35,8 +35,7 @@ def test_hot_key_is_spread_over_ranges(spark, tmp_path, monkeypatch):
     assert sorted(numbered.collect()) == sorted(again.collect())
 
     folder = str(tmp_path / "numbered")
-    monkeypatch.setattr(batches, "scratch_dir", lambda spark, purpose: folder)
-    batches.number_rows(rows, "k", 100, partitions=6)
+    batches.number_rows(rows, "k", 100, partitions=6, folder=folder)
     hot = spark.read.parquet(folder).where("k = 5").groupBy("_range").count()
     assert hot.count() > 1
     assert hot.agg(F.max("count")).first()[0] < 2500

@@ -112,7 +112,7 @@ def test_process_requests(spark, registered, testdata):
         "e1": "completed", "e3": "completed", "e4": "failed", "e7": "failed"
     }
     assert ledger["e4"].error_message == "unsupported sync mode: mirror"
-    assert ledger["e7"].error_message == "unsupported connector type: oracle"
+    assert ledger["e7"].error_message == "create connector: unsupported connector type: oracle"
     assert ledger["e1"].total_batches == -(-ledger["e1"].total_records // 100)
     refused = {r.error for r in registered.rejected().where("kind = 'sync'").collect()}
     assert refused == {

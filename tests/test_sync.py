@@ -122,6 +122,7 @@ def test_bad_checkpoint_fails_and_stays(store, orders):
         ({"incremental_column": None}, "incremental_column not configured for dataset orders"),
         ({"incremental_type": "serial"}, "unsupported incremental type: serial"),
         ({"incremental_column": "nope"}, "column 'nope' not found"),
+        ({"sync_mode": "full", "technical_key": "nope"}, "column 'nope' not found"),
     ],
 )
 def test_configuration_errors(store, orders, change, error):

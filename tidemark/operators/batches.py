@@ -23,6 +23,7 @@ def number_rows(
     batch_size: int,
     tie_break: Sequence[str] = (),
     partitions: int | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Adds ``batch_number``: pages of ``batch_size`` rows in key order, from 1.
 
@@ -30,7 +31,8 @@ def number_rows(
     the shared scratch folder together with their place in the partition; the page then
     follows from the row count of the partitions before it. ``tie_break`` columns and a hash
     of the row take part in the ranges, so rows of one hot key are spread over several
-    partitions and the numbers do not depend on task order.
+    partitions and the numbers do not depend on task order. The result reads from ``folder``,
+    by default a new one in the shared scratch folder, until the caller removes it.
     """
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
@@ -42,7 +44,7 @@ def number_rows(
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    folder = scratch_dir(spark, "numbered")
+    folder = folder or scratch_dir(spark, "numbered")
     (
         ranged.sortWithinPartitions(*order)
         .select("*", F.spark_partition_id().alias("_range"), place.alias("_place"))

@@ -182,7 +182,9 @@ def _sync_error() -> Column:
         .when(~F.col("enabled"), F.lit(None))
         .when(
             ~F.col("source_connector").isin(*CONNECTORS),
-            F.concat(F.lit("unsupported connector type: "), F.col("source_connector")),
+            F.concat(
+                F.lit("create connector: unsupported connector type: "), F.col("source_connector")
+            ),
         )
         .when(
             ~F.col("sync_mode").isin(*SYNC_MODES),

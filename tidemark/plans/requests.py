@@ -88,7 +88,7 @@ def _run_one(
         )
         execution = Execution(
             row.execution_id,
-            row.connector_type or row.source_connector,
+            row.connector_type or "",
             row.trigger_type or "",
             row.correlation_id or "",
         )

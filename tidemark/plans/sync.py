@@ -114,6 +114,8 @@ def _read_and_write(
     column = None
     if dataset.sync_mode == "full":
         rows = open_source()
+        if dataset.technical_key:
+            require_column(rows, dataset.technical_key)
     elif dataset.sync_mode == "incremental":
         column = dataset.incremental_column
         if not column:

@@ -125,7 +125,7 @@ SELECT r.execution_id, r.tenant_id, r.source_id, r.dataset_id,
             THEN 'dataset not registered: ' || r.tenant_id || '/' || r.source_id || '/'
                  || r.dataset_id
             WHEN NOT d.enabled THEN NULL
-            WHEN s.connector_type = 'oracle' THEN 'unsupported connector type: oracle'
+            WHEN s.connector_type = 'oracle' THEN 'create connector: unsupported connector type: oracle'
             WHEN d.sync_mode = 'mirror' THEN 'unsupported sync mode: mirror'
             WHEN d.sync_mode = 'incremental' AND d.incremental_column IS NULL
             THEN 'incremental_column not configured for dataset ' || r.dataset_id

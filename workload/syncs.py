@@ -86,7 +86,7 @@ def sync_compacted(spark, sf):
     store = new_store(spark)
     customer = table(spark, sf, "customer")
     _sync(store, CUSTOMER, customer, "full-1")
-    store.compact(CUSTOMER.identity)
+    store.drop(store.compact(CUSTOMER.identity))
     richer = customer.where(F.col("c_acctbal") >= 0).withColumn(
         "c_mktsegment", F.lower("c_mktsegment")
     )

@@ -16,24 +16,25 @@ from workload.inputs import EXECUTIONS, as_sql, derive, table
 LINE_ORDER = ["l_shipdate", "l_extendedprice", "l_linenumber", "l_partkey", "l_suppkey"]
 IDENTITY = ["tenant_id", "source_id", "dataset_id"]
 
-# Two runs of one dataset: the second sees only rich customers and doubles their balance.
+# Two runs of one dataset per nation: the second sees only customers without debts and doubles
+# their balance.
 FIRST_RUN = """
-SELECT 't' AS tenant_id, 's' AS source_id, 'customer' AS dataset_id,
+SELECT 't' AS tenant_id, 's' AS source_id, concat('customer', cast(c_nationkey AS string)) AS dataset_id,
        cast(c_custkey AS string) AS record_key, 'run1' AS execution_id,
        c_acctbal AS balance, cast('2024-01-01 00:00:00' AS timestamp) AS started_at
 FROM {customer}
 """
 SECOND_RUN = """
-SELECT 't' AS tenant_id, 's' AS source_id, 'customer' AS dataset_id,
+SELECT 't' AS tenant_id, 's' AS source_id, concat('customer', cast(c_nationkey AS string)) AS dataset_id,
        cast(c_custkey AS string) AS record_key, 'run2' AS execution_id,
        c_acctbal * 2 AS balance, cast('2024-01-02 00:00:00' AS timestamp) AS started_at
 FROM {customer} WHERE c_acctbal >= 0
 """
 FULL_RUNS = """
-SELECT 't' AS tenant_id, 's' AS source_id, 'customer' AS dataset_id,
+SELECT 't' AS tenant_id, 's' AS source_id, concat('customer', cast(c_nationkey AS string)) AS dataset_id,
        max(CASE WHEN c_acctbal >= 0 THEN 'run2' ELSE 'run1' END) AS execution_id,
        cast('2024-01-02 00:00:00' AS timestamp) AS started_at
-FROM {customer}
+FROM {customer} GROUP BY c_nationkey
 """
 
 
@@ -136,7 +137,8 @@ _PICK = ", ".join(f"r.{c} AS {c}" for c in LINE_ORDER)
 _CURRENT = f"""
     SELECT * FROM {as_sql(SECOND_RUN)} b UNION ALL
     SELECT * FROM {as_sql(FIRST_RUN)} a WHERE NOT EXISTS (
-        SELECT 1 FROM {as_sql(SECOND_RUN)} b WHERE b.record_key = a.record_key)
+        SELECT 1 FROM {as_sql(SECOND_RUN)} b
+        WHERE b.dataset_id = a.dataset_id AND b.record_key = a.record_key)
 """
 _CURRENT_COLUMNS = "tenant_id, source_id, dataset_id, record_key, execution_id, balance"
 
@@ -175,8 +177,8 @@ QUERIES = {
     "stale_after_full": (
         stale_after_full,
         "SELECT cast(c_custkey AS varchar) AS record_key, 'run1' AS execution_id, "
-        "c_acctbal AS balance FROM customer WHERE c_acctbal < 0 "
-        "AND EXISTS (SELECT 1 FROM customer WHERE c_acctbal >= 0)",
+        "c_acctbal AS balance FROM customer c WHERE c_acctbal < 0 AND EXISTS "
+        "(SELECT 1 FROM customer d WHERE d.c_acctbal >= 0 AND d.c_nationkey = c.c_nationkey)",
     ),
     "records_of_executions": (
         records_of_executions,
