@@ -24,21 +24,30 @@ def hash_key(payload: Column, bits: int = 64) -> Column:
     return F.substring(F.sha2(hashed_form(payload), 256), 1, bits // 4)
 
 
-def raw_key(df: DataFrame, technical_key: str | None, payload: Column, bits: int = 64) -> Column:
-    """Text of the technical key as scanned, else the hash key."""
+def raw_key_or(df: DataFrame, technical_key: str | None, fallback: Column) -> Column:
+    """Text of the technical key as scanned, else the fallback."""
     field = find_column(df, technical_key) if technical_key else None
     if field is None:
-        return hash_key(payload, bits)
-    text = value_text(column_of(field.name), field.dataType)
-    return F.coalesce(text, hash_key(payload, bits))
+        return fallback
+    return F.coalesce(value_text(column_of(field.name), field.dataType), fallback)
+
+
+def normalized_key_or(df: DataFrame, technical_key: str | None, fallback: Column) -> Column:
+    """Text of the normalised technical key, else the fallback."""
+    field = find_column(df, technical_key) if technical_key else None
+    if field is None:
+        return fallback
+    text = normalized_value(column_of(field.name), field.dataType).cast("string")
+    return F.coalesce(text, fallback)
+
+
+def raw_key(df: DataFrame, technical_key: str | None, payload: Column, bits: int = 64) -> Column:
+    """Text of the technical key as scanned, else the hash key."""
+    return raw_key_or(df, technical_key, hash_key(payload, bits))
 
 
 def normalized_key(
     df: DataFrame, technical_key: str | None, payload: Column, bits: int = 64
 ) -> Column:
     """Text of the normalised technical key, else the hash key."""
-    field = find_column(df, technical_key) if technical_key else None
-    if field is None:
-        return hash_key(payload, bits)
-    text = normalized_value(column_of(field.name), field.dataType).cast("string")
-    return F.coalesce(text, hash_key(payload, bits))
+    return normalized_key_or(df, technical_key, hash_key(payload, bits))

@@ -105,6 +105,22 @@ def require_column(df: DataFrame, name: str) -> T.StructField:
     return field
 
 
+def alters(df: DataFrame) -> Column | None:
+    """Whether normalisation gives a row another payload; None if it never does for this table."""
+    names = normalized_names(df.columns)
+    if any(name != wanted for name, wanted in names.items()):
+        return F.lit(True)
+    changed = None
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.BinaryType):
+            return F.lit(True)
+        if isinstance(field.dataType, T.StringType):
+            text = column_of(field.name)
+            differs = F.coalesce(text != trimmed(text), F.lit(False))
+            changed = differs if changed is None else changed | differs
+    return changed
+
+
 def normalized(df: DataFrame) -> DataFrame:
     """All rows with normalised names and values."""
     names = normalized_names(df.columns)
