@@ -158,7 +158,7 @@ def test_empty_table(spark):
 def test_open_with_resolves_the_secret(spark, monkeypatch):
     seen = {}
 
-    def read_table(session, connector, options, table, key, cursor, batch):
+    def read_table(session, connector, options, table, key, cursor, batch, last_value):
         seen.update(connector=connector, table=table, key=key, cursor=cursor, **options)
 
     monkeypatch.setattr(jdbc, "read_table", read_table)
@@ -166,7 +166,35 @@ def test_open_with_resolves_the_secret(spark, monkeypatch):
         source_connector="mysql", host="h", port=3306, database_name="db", username="u",
         password_ref="ref", ssl_mode="disable", dataset_schema="s", table_name="t",
         technical_key="id", incremental_column="at", sync_mode="full", batch_size=10,
+        last_value=None,
     )
     jdbc.open_with(spark, {"ref": "secret"}.get)(row)
     assert seen["password"] == "secret" and seen["table"] == "`s`.`t`"
     assert seen["cursor"] is None
+
+
+@pytest.mark.parametrize(
+    "kind, text, expected",
+    [
+        (T.LongType(), "42", "42"), (T.DoubleType(), "1.0E10", "10000000000"),
+        (T.TimestampType(), "2024-01-02T03:04:05.123456Z", "'2024-01-02 03:04:05.123'"),
+        (T.DateType(), "2024-01-02T00:00:00Z", "'2024-01-02 00:00:00.000'"),
+        (T.LongType(), "1; DROP TABLE t", None), (T.LongType(), "NaN", None),
+        (T.TimestampType(), "<nil>", None), (T.StringType(), "a", None),
+    ],
+)
+def test_range_literal(kind, text, expected):
+    assert jdbc.range_literal(kind, text) == expected
+
+
+def test_ranges_cover_the_new_rows_only(spark):
+    rows = spark.range(0, 100).selectExpr("id", "id * 10 AS v")
+    found, loads = read(
+        rows, technical_key="id", incremental_column="v", last_value="900", connections=4
+    )
+    ranged = [s for s in loads if "partitionColumn" in s]
+    assert [(s["lowerBound"], s["upperBound"]) for s in ranged] == [("91", "99")]
+    # The ranges only divide the work; filtering by the cursor is the caller's.
+    assert found.count() == 100
+    nothing_new, _ = read(rows, technical_key="id", incremental_column="v", last_value="990")
+    assert nothing_new.where("v > 990").count() == 0

@@ -203,3 +203,16 @@ def test_every_required_connection_field(spark, kind):
             rows = spark.createDataFrame([tuple(row[n] for n in names)], fields)
             error = check_required(rows, kind).first().error
             assert (error is None) == (name in optional[kind]), (kind, name)
+
+
+def test_a_store_that_cannot_be_written_is_reported(spark, registered, testdata, monkeypatch):
+    def broken(rows):
+        raise OSError("read-only store")
+
+    monkeypatch.setattr(registered.executions, "upsert", broken)
+    requests = rows_of(
+        spark, schemas.SYNC_REQUEST,
+        *(request("part", f"e{n}", f"2024-01-01 00:00:{n:02d}") for n in range(4)),
+    )
+    with pytest.raises(OSError, match="read-only store"):
+        process_requests(registered, requests, parquet_folder(spark, testdata), workers=2)

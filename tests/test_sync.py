@@ -174,6 +174,7 @@ def test_empty_dataset(store, orders):
     assert (result.status, result.total_records, result.total_batches) == ("completed", 0, 0)
     assert store.last_value(ORDERS.identity) is None
     assert store.messages().where("topic LIKE '%batch%'").count() == 0
+    assert store.log().inputFiles() == []
 
 
 def test_null_cursors_are_read_once(spark, store):

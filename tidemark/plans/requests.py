@@ -52,17 +52,22 @@ def process_requests(
     )
     room = threading.Semaphore(workers * 2)
     newest: dict[tuple[str, str, str], Future] = {}
+    troubles: list[BaseException] = []
     with ThreadPoolExecutor(workers) as pool:
         for row in todo.toLocalIterator():
             room.acquire()
+            if troubles:
+                break
             identity = (row.tenant_id, row.source_id, row.dataset_id)
             newest = {key: job for key, job in newest.items() if not job.done()}
             before = newest.get(identity)
             newest[identity] = pool.submit(
-                _run_one, store, row, open_dataset, before, room, on_result
+                _run_one, store, row, open_dataset, before, room, on_result, troubles
             )
-    for job in newest.values():
-        job.result()
+    # A failed sync is a result; this is a store that could not be written. The caller, or the
+    # stream, has to repeat the requests.
+    if troubles:
+        raise troubles[0]
 
 
 def _run_one(
@@ -72,6 +77,7 @@ def _run_one(
     before: Future | None,
     room: threading.Semaphore,
     on_result: Callable[[SyncResult], None] | None,
+    troubles: list[BaseException],
 ) -> None:
     try:
         if before is not None:
@@ -101,5 +107,8 @@ def _run_one(
             result = run_sync(store, dataset, lambda: open_dataset(row), execution)
         if on_result is not None:
             on_result(result)
+    except BaseException as error:
+        troubles.append(error)
+        raise
     finally:
         room.release()

@@ -144,6 +144,8 @@ def _read_and_write(
     else:
         facts = written.agg(count).first()
         last = None
+    if facts.records == 0:
+        store.discard(attempt)
     size = dataset.batch_size if dataset.batch_size > 0 else DEFAULT_BATCH_SIZE
     batches = -(-facts.records // size)
     return SyncResult(execution.execution_id, "completed", facts.records, batches, last)

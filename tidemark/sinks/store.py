@@ -147,6 +147,10 @@ class Store:
         stored = T.StructType([f for f in schemas.SYNC_LOG.fields if f.name not in _FOLDERS])
         return self.spark.read.schema(stored).parquet(folder)
 
+    def discard(self, attempt: Attempt) -> None:
+        """Removes an attempt without rows, so that idle runs do not pile up empty folders."""
+        self.drop([f"{self.log_path}/{attempt.folder()}"])
+
     def log(self, dataset: Identity | None = None) -> DataFrame:
         """Every written row of every attempt; of one dataset, only its folders are listed."""
         return self._partitioned("log", schemas.SYNC_LOG, dataset)

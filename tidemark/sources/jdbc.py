@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -116,6 +118,23 @@ def plan_partitions(
     return ReadPlan(None, "single")
 
 
+def range_literal(kind: T.DataType, text: str) -> str | None:
+    """A stored cursor as a SQL literal for laying out ranges; None if it has no plain form.
+
+    Moments are cut to milliseconds, which every server reads; ranges need no more.
+    """
+    try:
+        if is_moment(kind):
+            moment = datetime.datetime.fromisoformat(text).replace(tzinfo=None)
+            return f"'{moment.isoformat(' ', 'milliseconds')}'"
+        if isinstance(kind, T.NumericType):
+            number = decimal.Decimal(text)
+            return f"{number:f}" if number.is_finite() else None
+    except (ValueError, decimal.InvalidOperation):
+        pass
+    return None
+
+
 def read_table(
     spark: SparkSession,
     connector: str,
@@ -126,20 +145,30 @@ def read_table(
     batch_size: int = 1000,
     connections: int = MAX_CONNECTIONS,
     query_seconds: int = 0,
+    last_value: str | None = None,
 ) -> DataFrame:
     """A table read over several connections (S2, S3); ``table`` is already qualified.
 
     Connections see different moments of a table that is being written, so the read is bounded
-    by the greatest cursor found first; rows beyond it belong to the next run.
+    by the greatest cursor found first; rows beyond it belong to the next run. With the stored
+    cursor as ``last_value`` the ranges are laid over the new rows only, which otherwise would all
+    fall to one connection; it filters nothing.
     """
     settings = {**options, "fetchsize": str(batch_size), "queryTimeout": str(query_seconds)}
     reader = spark.read.format("jdbc").options(**settings)
     whole = reader.option("dbtable", table).load()
     plan = plan_partitions(whole.schema, technical_key, incremental_column)
 
+    newer = ""
+    if incremental_column and last_value:
+        cursor = require_column(whole, incremental_column)
+        literal = range_literal(cursor.dataType, last_value)
+        if literal:
+            newer = f" WHERE {quoted(connector, cursor.name)} > {literal}"
+
     def bounds(column: str) -> Row:
         name = quoted(connector, column)
-        query = f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}"
+        query = f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}{newer}"
         return reader.option("query", query).load().toDF("low", "high").first()
 
     rows = whole
@@ -193,6 +222,7 @@ def open_with(
             dataset.technical_key,
             dataset.incremental_column if dataset.sync_mode == "incremental" else None,
             dataset.batch_size,
+            last_value=dataset.last_value,
         )
 
     return open_dataset
