@@ -159,3 +159,40 @@ def test_scratch_is_the_configured_folder(spark):
     assert scratch_root(spark) == root
     assert scratch_dir(spark, "x").startswith(f"{root}/x-")
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_control_tables_are_compacted_without_change(store):
+    def checkpoint(name, **values):
+        return store.checkpoints.one_row(
+            tenant_id="t", source_id="s", dataset_id=name, **values
+        )
+
+    def source(host, at):
+        return store.sources.one_row(
+            tenant_id="t", source_id="s", host=host, created_at=at, updated_at=at
+        )
+
+    def state():
+        return [sorted(map(tuple, t.current().collect())) for t in (store.checkpoints, store.sources)]
+
+    for value in ("1", "2"):
+        store.checkpoints.upsert(checkpoint("kept", last_value=value))
+        store.checkpoints.upsert(checkpoint("gone", last_value=value))
+    store.checkpoints.delete(checkpoint("gone"))
+    store.sources.upsert(source("old", JANUARY))
+    store.sources.upsert(source("new", FEBRUARY))
+    before = state()
+    covered = store.compact_control()
+    assert len(covered) == 7
+    # A change made before the old folders are gone is kept.
+    store.checkpoints.upsert(checkpoint("late", last_value="9"))
+    store.drop(covered)
+    assert store.checkpoints.changes().count() == 3
+    assert store.last_value(("t", "s", "late")) == "9"
+    assert store.last_value(("t", "s", "kept")) == "2"
+    assert store.last_value(("t", "s", "gone")) is None
+    store.checkpoints.delete(checkpoint("late"))
+    assert state() == before
+    assert before[1][0][-2:] != before[1][0][-1:] * 2  # created in January, updated later
+    store.sources.upsert(source("newer", FEBRUARY))
+    assert store.sources.current().first().created_at < store.sources.current().first().updated_at

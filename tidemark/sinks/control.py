@@ -19,8 +19,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.operators.upsert import latest
 
-# Partition column of append-only tables: the moment of the write, and so its place in order.
+# Place of a change in the order of changes, and partition column of append-only tables.
 TICKET = "change_ticket"
+WRITE = "write_ticket"
 
 _ticket_lock = threading.Lock()
 _last_ticket = 0
@@ -56,7 +57,7 @@ def append_folder(rows: DataFrame, path: str) -> None:
     Two jobs that append to one folder share its temporary files, and the first to finish
     removes those of the other; separate folders keep concurrent writers apart.
     """
-    rows.write.mode("errorifexists").parquet(f"{path}/{TICKET}={next_ticket()}")
+    rows.write.mode("errorifexists").parquet(f"{path}/{WRITE}={next_ticket()}")
 
 
 class ControlTable:
@@ -78,8 +79,9 @@ class ControlTable:
         self.change_schema = T.StructType(
             [
                 *schema.fields,
-                T.StructField("deleted", T.BooleanType()),
                 T.StructField(TICKET, T.LongType()),
+                T.StructField("deleted", T.BooleanType()),
+                T.StructField(WRITE, T.LongType()),
             ]
         )
 
@@ -94,7 +96,8 @@ class ControlTable:
                     for f in self.schema.fields
                 )
             )
-        append_folder(rows.withColumn("deleted", F.lit(deleted)), self.path)
+        marks = {TICKET: F.lit(next_ticket()), "deleted": F.lit(deleted)}
+        append_folder(rows.withColumns(marks), self.path)
 
     def upsert(self, rows: DataFrame) -> None:
         """Inserts rows or replaces those of the same key (K3, K5, K6, K7)."""
@@ -107,8 +110,23 @@ class ControlTable:
     def changes(self) -> DataFrame:
         return read_parquet(self.spark, self.path, self.change_schema)
 
+    def _last_changes(self, changes: DataFrame) -> DataFrame:
+        return latest(changes.drop(WRITE), self.keys, [TICKET], self.keep_first)
+
+    def compact(self) -> list[str]:
+        """Writes the last change of every key, deletions included, as one more folder.
+
+        These rows keep their place in the order, so a change made meanwhile still wins.
+        Returns the folders that are no longer needed.
+        """
+        changes = self.changes()
+        writes = changes.select(WRITE).distinct().toLocalIterator()
+        covered = [f"{self.path}/{WRITE}={row[WRITE]}" for row in writes]
+        append_folder(self._last_changes(changes), self.path)
+        return covered
+
     def current(self) -> DataFrame:
-        last = latest(self.changes(), self.keys, [TICKET], self.keep_first)
+        last = self._last_changes(self.changes())
         return last.where(~F.col("deleted")).select(*self.schema.fieldNames())
 
     def one_row(self, **values: object) -> DataFrame:

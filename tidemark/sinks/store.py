@@ -261,6 +261,13 @@ class Store:
             )
         return covered
 
+    def compact_control(self) -> list[str]:
+        """Rewrites the control tables in few files; returns the covered folders for ``drop``."""
+        tables = (
+            self.sources, self.datasets, self.checkpoints, self.executions, self.compactions
+        )
+        return [folder for table in tables for folder in table.compact()]
+
     def _number(self, layer: str, dataset: Identity) -> int:
         rows = self.compactions.current().where(F.col("layer") == layer)
         return _of_dataset(rows, dataset).first().compaction
