@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language, packing, tokens
+from tidemark.llm import digests, language, packing, tokens, toxicity
 
 CAPACITY = 4096
 
@@ -21,6 +21,14 @@ def held_out(folds: int, fold: int) -> Column:
     return F.coalesce(checksum % folds == fold, F.lit(True))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
+    texts, toxic = toxicity.sample(docs, labels)
+    scored = toxicity.score(docs, toxicity.fit(texts, toxic))
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "spans")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +40,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     profiles = language.learn_profiles(docs.where(~held_out(3, 1)))
@@ -40,7 +52,9 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": (op1_toxicity, None),
     "op2_packing": (op2_packing, None),
     "op5_token_counts": (op5_token_counts, None),
+    "op6_fingerprints": (op6_fingerprints, None),
     "op7_language": (op7_language, None),
 }
