@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import digests, language, packing, tokens, toxicity
+from tidemark.llm import digests, jaccard, language, mixing, packing, tokens, toxicity, urls
 
 CAPACITY = 4096
 
@@ -51,10 +51,44 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "source", "copy", "mix_key", F.md5("text").alias("text_md5"))
+
+
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = jaccard.similar(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page shows the document whose number its path ends in; that one's labels are the URL's."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    number = F.regexp_extract(urls.path(F.col("url")), r"([0-9]{1,18})[^/]*/?$", 1)
+    unwanted = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", unwanted.alias("label"))
+    labelled = pages.withColumn("doc_id", number.try_cast("long")).join(
+        labels, "doc_id"
+    )
+    return urls.judge(pages, RULES, urls.fit(labelled))
+
+
+#: The rules (verdict, host, path) that the URLs are judged by.
+RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
+
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_packing": (op2_packing, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_language": (op7_language, None),
+    "op8_mixing": (op8_mixing, mixing.mix_sql("documents")),
+    "op9_jaccard": (op9_jaccard, None),
+    "op10_urls": (op10_urls, None),
 }
