@@ -161,25 +161,27 @@ def identify(
     """
     if id_column in ("lang_pred", "score"):
         raise ValueError(f"{id_column!r} is a column of the result")
-    known = Profiles(profiles.collect(), size)
-    kind = docs.schema[id_column].dataType.simpleString()
+    judged = docs.select(id_column, judge(profiles, size, batch_bytes)(text_column).alias("_judged"))
+    return judged.select(id_column, "_judged.lang_pred", "_judged.score")
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            judged = [
-                known.nearest(text)
-                for part in byte_slices(batch.column(1).cast(pa.large_string()), batch_bytes)
-                for text in part.to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([j[0] for j in judged], pa.string()),
-                    pa.array([j[1] for j in judged], pa.float64()),
-                ],
-                [id_column, "lang_pred", "score"],
-            )
 
-    return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(
-        judge, f"`{id_column}` {kind}, lang_pred string, score double"
-    )
+def judge(profiles: DataFrame, size: int = PROFILE_SIZE, batch_bytes: int = BATCH_BYTES):
+    """An Arrow function of a text column: struct (lang_pred, score), as ``identify`` says."""
+    known = Profiles(profiles.collect(), size)
+
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def nearest(texts: pa.Array) -> pa.Array:
+        judged = [
+            known.nearest(text)
+            for part in byte_slices(texts.cast(pa.large_string()), batch_bytes)
+            for text in part.to_pylist()
+        ]
+        return pa.StructArray.from_arrays(
+            [
+                pa.array([j[0] for j in judged], pa.string()),
+                pa.array([j[1] for j in judged], pa.float64()),
+            ],
+            ["lang_pred", "score"],
+        )
+
+    return lambda text: nearest(F.col(text).cast("string"))

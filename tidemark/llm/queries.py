@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import digests, jaccard, language, mixing, packing, tokens, toxicity, urls
+from tidemark.llm import (
+    chunks,
+    digests,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    projections,
+    tokens,
+    toxicity,
+    urls,
+)
 
 CAPACITY = 4096
 
@@ -35,6 +46,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary, capacity=CAPACITY, end_id=1)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = chunks.deduplicate(docs)
+    cut = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda held, s: held + (s["end"] - s["begin"])
+    )
+    return done.select("doc_id", "text", "spans", cut.alias("cut_bytes"))
+
+
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projections.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -85,6 +109,8 @@ RULES = (
 QUERIES = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_packing": (op2_packing, None),
+    "op3_substrings": (op3_substrings, None),
+    "op4_embeddings": (op4_embeddings, None),
     "op5_token_counts": (op5_token_counts, None),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_language": (op7_language, None),
