@@ -61,11 +61,16 @@ def boundaries(data: bytes, mean_bits: int = MEAN_BITS, longest: int = LONGEST)
     ends = np.append(ends[values[ends] & 0xC0 != 0x80], n)  # never inside a character
     gaps = np.diff(ends, prepend=0)
     if (gaps > longest).any():
-        parts = [
-            np.arange(end - gap + longest, end, longest) if gap > longest else ()
-            for end, gap in zip(ends.tolist(), gaps.tolist(), strict=True)
-        ]
-        ends = np.unique(np.concatenate([ends, *(p for p in parts if len(p))])).astype(np.int64)
+        forced = np.concatenate(
+            [
+                np.arange(end - gap + longest, end, longest)
+                for end, gap in zip(ends.tolist(), gaps.tolist(), strict=True)
+                if gap > longest
+            ]
+        )
+        for _ in range(3):  # back to the start of a character
+            forced = forced - (values[forced] & 0xC0 == 0x80)
+        ends = np.unique(np.concatenate([ends, forced]))
     return ends
 
 

@@ -27,10 +27,12 @@ def poisson(mean: Column, uniform: Column) -> Column:
     """
     zero = F.struct(F.lit(0).alias("k"), F.exp(-mean).alias("p"), F.exp(-mean).alias("sum"))
     steps = F.sequence(F.lit(1), F.lit(6 * LARGEST_MEAN + 20))
+
     def grow(held: Column, k: Column) -> Column:
         p = held["p"] * mean / k
         new = F.struct(k.alias("k"), p.alias("p"), (held["sum"] + p).alias("sum"))
-        return F.when(held["sum"] > uniform, held).otherwise(new)
+        ended = (held["sum"] > uniform) | (held["sum"] + p == held["sum"])
+        return F.when(ended, held).otherwise(new)
 
     return F.aggregate(steps, zero, grow, lambda held: held["k"])
 
@@ -113,13 +115,14 @@ steps AS (
   UNION ALL
   SELECT s.source, k + 1, p * (rate - sure) / (k + 1), total + p * (rate - sure) / (k + 1)
   FROM steps s JOIN split r ON s.source IS NOT DISTINCT FROM r.source WHERE k < {6 * LARGEST_MEAN + 20}),
+levels AS (SELECT source, k, total, max(total) OVER (PARTITION BY source) AS top FROM steps),
 draws AS (
   SELECT d.doc_id, d.source, d.text, s.sure, {drawn(seed, ident)} / {float(span)!r} AS u
   FROM {table} d JOIN split s ON d.source IS NOT DISTINCT FROM s.source),
 counted AS (
   SELECT doc_id, d.source, any_value(text) AS text,
-         any_value(sure) + coalesce(min(k) FILTER (WHERE total > u), {6 * LARGEST_MEAN + 20}) AS n
-  FROM draws d JOIN steps s ON d.source IS NOT DISTINCT FROM s.source GROUP BY doc_id, d.source),
+         any_value(sure) + coalesce(min(k) FILTER (WHERE total > u), min(k) FILTER (WHERE total = top)) AS n
+  FROM draws d JOIN levels s ON d.source IS NOT DISTINCT FROM s.source GROUP BY doc_id, d.source),
 copies AS (
   SELECT doc_id, source, text, cast(unnest(generate_series(0, n - 1)) AS integer) AS copy
   FROM counted WHERE n > 0)
