@@ -107,17 +107,15 @@ def test_nested_form(postgres):
     assert rows["audit", "bare"].columns == []
 
 
-def test_wide_tables_continue_in_parts(spark, monkeypatch):
-    monkeypatch.setattr(catalog, "ROLLUP_WIDTH", 10)
-    columns = spark.range(0, 35).select(
+def test_wide_tables_stay_one_row(spark):
+    columns = spark.range(0, 70_000, 1, 4).select(
         F.lit("s").alias("schema_name"), F.lit("t").alias("table_name"),
         F.lit("table").alias("object_type"), F.concat(F.lit("c"), F.col("id")).alias("name"),
         F.lit("int").alias("data_type"), F.lit(True).alias("nullable"),
         F.lit(False).alias("is_primary"), F.col("id").cast("int").alias("ordinal_position"),
     )
-    rows = sorted(catalog.roll_up(columns).collect(), key=lambda r: r.part)
-    assert [len(r.columns) for r in rows] == [10, 10, 10, 5]
-    assert [c.name for r in rows for c in r.columns] == [f"c{n}" for n in range(35)]
+    (row,) = catalog.roll_up(columns).collect()
+    assert [c.name for c in row.columns] == [f"c{n}" for n in range(70_000)]
 
 
 def test_sqlserver_uses_the_primary_key_index(spark):

@@ -125,14 +125,37 @@ def read(rows, **settings):
 
 
 def test_numeric_key_is_split_into_ranges(spark):
-    found, loads = read(spark.range(10, 20), technical_key="ID", connections=4)
+    rows = spark.range(10, 20, 1, 8)
+    found, loads = read(rows, technical_key="ID", connections=4, partitions=50)
     assert found.count() == 10
+    assert found.rdd.getNumPartitions() == 4  # so many queries at a time
+    free, _ = read(rows, technical_key="ID", connections=None)
+    assert free.rdd.getNumPartitions() == 8
     ranged = [s for s in loads if "partitionColumn" in s]
     assert [(s["partitionColumn"], s["lowerBound"], s["upperBound"], s["numPartitions"])
-            for s in ranged] == [('"id"', "10", "19", "4")]
+            for s in ranged] == [('"id"', "10", "19", "50")]
     assert ranged[0]["fetchsize"] == "1000"
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(20,3)", "decimal(30,0)", "float"])
+def test_other_numbers_are_split_by_predicates(spark, kind):
+    rows = spark.range(0, 1000).selectExpr(
+        f"cast(if(id % 10 = 3, NULL, (id - 300) * 1234.567) AS {kind}) AS k"
+    )
+    found, loads = read(rows, technical_key="k", partitions=40)
+    shares = loads[-1]["predicates"]
+    assert len(shares) == 40 and found.count() == 1000
+    in_spark = [s.replace('"k"', "k") for s in shares]
+    counted = rows.selectExpr(*(f"count_if({s}) AS n{i}" for i, s in enumerate(in_spark))).first()
+    assert sum(counted) == 1000 and max(counted) <= 140  # nulls are in the first
+
+
+def test_numbers_without_a_range(spark):
+    for value in ("NULL", "1.5D", "double('NaN')", "double('Infinity')"):
+        found, loads = read(spark.sql(f"SELECT {value} AS k"), technical_key="k")
+        assert found.count() == 1 and "predicates" not in loads[-1]
+
+
 def test_text_key_is_split_by_hash(spark):
     rows = spark.range(5).selectExpr("cast(id AS string) AS code")
     _, loads = read(rows, technical_key="code", connections=3)
@@ -158,8 +181,9 @@ def test_empty_table(spark):
 def test_open_with_resolves_the_secret(spark, monkeypatch):
     seen = {}
 
-    def read_table(session, connector, options, table, key, cursor, batch, last_value):
+    def read_table(session, connector, options, table, key, cursor, batch, *limits):
         seen.update(connector=connector, table=table, key=key, cursor=cursor, **options)
+        seen["limits"] = limits
 
     monkeypatch.setattr(jdbc, "read_table", read_table)
     row = Row(
@@ -170,7 +194,9 @@ def test_open_with_resolves_the_secret(spark, monkeypatch):
     )
     jdbc.open_with(spark, {"ref": "secret"}.get)(row)
     assert seen["password"] == "secret" and seen["table"] == "`s`.`t`"
-    assert seen["cursor"] is None
+    assert seen["cursor"] is None and seen["limits"] == (10, 600, None, 200)
+    jdbc.open_with(spark, {"ref": "secret"}.get, connections=3, partitions=9, query_seconds=5)(row)
+    assert seen["limits"] == (3, 5, None, 9)
 
 
 @pytest.mark.parametrize(

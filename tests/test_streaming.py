@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark import Dataset, schemas
+from tidemark import Dataset, Execution, run_sync, schemas
 from tidemark.streaming import topics
 from tidemark.streaming.ingest import stream_rows
 
@@ -57,6 +57,54 @@ def test_repeated_micro_batch_writes_nothing_twice(spark, store, tmp_path):
     assert store.executions.current().count() == 1
 
 
+def test_ingest_keeps_cursor_and_tells(spark, store, tmp_path):
+    arrivals = str(tmp_path / "in")
+    dataset = Dataset("t", "s", "d", "incremental", "id", "key", "id")
+    spark.range(0, 50).write.parquet(arrivals)
+
+    def run():
+        rows = spark.readStream.schema("id bigint").parquet(arrivals)
+        finish(stream_rows(store, rows, dataset, "arrivals", str(tmp_path / "offsets")))
+
+    run()
+    assert store.last_value(dataset.identity) == "49"
+    spark.range(10, 20).write.mode("append").parquet(arrivals)
+    run()
+    assert store.last_value(dataset.identity) == "49"
+    topics_told = {r.topic for r in store.messages().collect()}
+    assert any("started" in t for t in topics_told) and any("completed" in t for t in topics_told)
+    result = run_sync(store, dataset, lambda: spark.range(0, 60), Execution("later"))
+    assert (result.total_records, result.last_value) == (10, "59")
+
+
+def test_failed_and_empty_batches(spark, store, tmp_path):
+    arrivals = str(tmp_path / "in")
+    spark.range(0, 5).write.parquet(arrivals)
+    dataset = Dataset("t", "s", "d", technical_key="id")
+    rows = spark.readStream.schema("id bigint").parquet(arrivals)
+    broken = rows.withColumn("id", F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")))
+    query = stream_rows(store, broken, dataset, "broken", str(tmp_path / "one"))
+    with pytest.raises(Exception, match="no"):
+        query.awaitTermination()
+    assert store.log().count() == 0
+    none = rows.where("id > 100")
+    finish(stream_rows(store, none, dataset, "none", str(tmp_path / "two")))
+    assert {r.status for r in store.executions.current().collect()} <= {"failed"}
+    assert store.attempts.changes().count() == 0
+
+
+def test_repeated_batch_keeps_rejects_once(spark, store, tmp_path):
+    folder, offsets = str(tmp_path / "in"), tmp_path / "offsets"
+    lines = ["{bad", '{"tenant_id":"t"}', '{"tenant_id":"t","source_id":"s","dataset_id":"d"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(folder)
+    for _ in range(2):
+        stream = topics.read_messages(spark, "text", {}, folder)
+        finish(topics.reset_requests(store, stream, str(offsets)))
+        assert store.rejected().count() == 2
+        for commit in (offsets / "commits").iterdir():  # as if the driver had died before it
+            commit.unlink()
+
+
 def test_sync_requests_of_several_files(spark, store, tmp_path, testdata):
     from tidemark.sources.tables import parquet_folder
 

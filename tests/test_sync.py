@@ -135,7 +135,7 @@ def test_crash_between_layers_and_checkpoint_is_repaired(store, orders, monkeypa
         raise KeyboardInterrupt
 
     with monkeypatch.context() as patch:
-        patch.setattr(sync_module, "_move_checkpoint", lost)
+        patch.setattr(sync_module, "move_checkpoint", lost)
         with pytest.raises(KeyboardInterrupt):
             go(store, ORDERS, orders, "e1")
     assert store.last_value(ORDERS.identity) is None
@@ -174,7 +174,7 @@ def test_empty_dataset(store, orders):
     assert (result.status, result.total_records, result.total_batches) == ("completed", 0, 0)
     assert store.last_value(ORDERS.identity) is None
     assert store.messages().where("topic LIKE '%batch%'").count() == 0
-    assert store.log().inputFiles() == []
+    assert not any("/log/" in f for f in store.log().inputFiles())
 
 
 def test_null_cursors_are_read_once(spark, store):

@@ -16,10 +16,6 @@ SQLSERVER_OWNER = 1
 SQLSERVER_OBJECTS = ("U", "V")
 VIEW_TYPES = ("VIEW", "VIEW (SQL View)", "V")
 
-# Columns of one array in the nested form. No supported database allows as many columns in
-# one table, so a real table is one row; wider input continues in further parts.
-ROLLUP_WIDTH = 32_768
-
 
 def user_schemas(schemata: DataFrame, connector: str) -> DataFrame:
     """``schema_name`` of the schemas that belong to users."""
@@ -168,13 +164,14 @@ def columns_of_objects(objects: DataFrame, columns: DataFrame) -> DataFrame:
 
 
 def roll_up(columns: DataFrame) -> DataFrame:
-    """One row per table with its columns as an array in ordinal order."""
+    """One row per table with its columns as an array in ordinal order.
+
+    The servers bound the number of columns of a table, and so the array.
+    """
     fields = ["ordinal_position", "name", "data_type", "nullable", "is_primary"]
-    part = F.floor(F.coalesce(F.col("ordinal_position"), F.lit(0)) / ROLLUP_WIDTH).cast("int")
     listed = F.when(F.col("name").isNotNull(), F.struct(*fields))
-    return (
-        columns.groupBy("schema_name", "table_name", "object_type", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(listed)).alias("columns"))
+    return columns.groupBy("schema_name", "table_name", "object_type").agg(
+        F.array_sort(F.collect_list(listed)).alias("columns")
     )
 
 

@@ -17,9 +17,9 @@ from tidemark.operators.requests import (
 from tidemark.sinks.store import Store
 
 
-def _refuse(store: Store, kind: str, refused: DataFrame) -> None:
+def _refuse(store: Store, kind: str, refused: DataFrame, batch: str | None = None) -> None:
     body = F.to_json(F.struct(*(c for c in refused.columns if c != "error")))
-    store.reject(refused.select(F.lit(kind).alias("kind"), body.alias("body"), "error"))
+    store.reject(refused.select(F.lit(kind).alias("kind"), body.alias("body"), "error"), batch)
 
 
 def register_sources(store: Store, requests: DataFrame) -> None:
@@ -40,10 +40,10 @@ def register_datasets(store: Store, requests: DataFrame) -> None:
     store.datasets.upsert(dataset_rows(known, F.current_timestamp()))
 
 
-def reset_checkpoints(store: Store, requests: DataFrame) -> None:
+def reset_checkpoints(store: Store, requests: DataFrame, batch: str | None = None) -> None:
     """Deletes stored cursors, so the next incremental run is a first run."""
     valid, refused = split_by_error(check_required(requests, "reset"))
-    _refuse(store, "reset", refused)
+    _refuse(store, "reset", refused, batch)
     store.checkpoints.delete(valid.dropDuplicates(["tenant_id", "source_id", "dataset_id"]))
 
 

@@ -30,8 +30,9 @@ def process_requests(
     open_dataset: Callable[[Row], DataFrame],
     workers: int = 4,
     on_result: Callable[[SyncResult], None] | None = None,
+    batch: str | None = None,
 ) -> None:
-    """Resolves and runs sync requests.
+    """Resolves and runs sync requests (X6); ``batch`` names a micro-batch that may be repeated.
 
     Requests are resolved by joins; each runnable one is a Spark job of its own, with a few
     jobs at a time. Requests for one dataset run one after another in timestamp order. Rows
@@ -45,7 +46,8 @@ def process_requests(
             F.lit("sync").alias("kind"),
             F.to_json(F.struct(*schemas.SYNC_REQUEST.fieldNames())).alias("body"),
             "error",
-        )
+        ),
+        batch,
     )
     todo = resolved.where(F.col("outcome").isin("run", "failed")).orderBy(
         "timestamp", "execution_id"

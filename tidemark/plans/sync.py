@@ -18,7 +18,6 @@ from tidemark.operators.envelope import log_rows
 from tidemark.operators.requests import INCREMENTAL_TYPES
 from tidemark.sinks.control import next_ticket
 from tidemark.sinks.store import Attempt, Store
-from tidemark.sources.tables import spread
 
 log = logging.getLogger(__name__)
 
@@ -89,15 +88,15 @@ def run_sync(
         )
     except Exception as error:  # noqa: BLE001 - every failure belongs in the ledger
         log.warning("sync %s failed", execution.execution_id, exc_info=True)
-        result = SyncResult(execution.execution_id, "failed", error=_text(error))
+        result = SyncResult(execution.execution_id, "failed", error=error_text(error))
     recorded = record_outcome(store, dataset, execution, started, result)
     if result.status == "completed":
-        _move_checkpoint(store, dataset, old, result)
+        move_checkpoint(store, dataset, old, result)
     tell(store, recorded)
     return result
 
 
-def _text(error: Exception) -> str:
+def error_text(error: Exception) -> str:
     return str(error).strip() or type(error).__name__
 
 
@@ -129,7 +128,6 @@ def _read_and_write(
         raise ValueError(f"unsupported sync mode: {dataset.sync_mode}")
 
     attempt = Attempt(*dataset.identity, execution.execution_id, next_ticket())
-    rows = spread(rows)
     written = store.write(
         log_rows(rows, dataset.technical_key, column, key_bits), attempt, started, now()
     )
@@ -144,14 +142,16 @@ def _read_and_write(
     else:
         facts = written.agg(count).first()
         last = None
-    if facts.records == 0:
+    if facts.records:
+        store.commit(attempt, started, facts.records, last)
+    else:
         store.discard(attempt)
     size = dataset.batch_size if dataset.batch_size > 0 else DEFAULT_BATCH_SIZE
     batches = -(-facts.records // size)
     return SyncResult(execution.execution_id, "completed", facts.records, batches, last)
 
 
-def _move_checkpoint(
+def move_checkpoint(
     store: Store, dataset: Dataset, old: str | None, result: SyncResult
 ) -> None:
     """Clears the cursor after a full load, advances it after an incremental one (F8)."""

@@ -53,6 +53,12 @@ SYNC_CHECKPOINTS = _schema(
     "updated_at timestamp"
 )
 
+# A written attempt of an execution; without this row its files do not count.
+SYNC_ATTEMPTS = _schema(
+    "tenant_id string, source_id string, dataset_id string, execution_id string, "
+    "attempt bigint, started_at timestamp, records bigint, last_value string"
+)
+
 # --- layers ---------------------------------------------------------------------------
 
 # A cursor of any supported type: exactly one field is filled, so the struct sorts by it.

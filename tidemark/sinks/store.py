@@ -14,6 +14,7 @@ from tidemark import schemas
 from tidemark.operators.upsert import latest, upsert_newer
 from tidemark.sinks.control import (
     TICKET,
+    WRITE,
     ControlTable,
     append_folder,
     next_ticket,
@@ -23,6 +24,7 @@ from tidemark.sinks.control import (
 Identity = tuple[str, str, str]
 
 LAYERS = {"raw": "ingested_at", "normalized": "normalized_at"}
+_FOLDERS = [*schemas.IDENTITY, "execution_id", "attempt"]
 RECORD_KEY = [*schemas.IDENTITY, "record_key"]
 # Arrival order of records: runs by start, then the source's own order within a run. The
 # remaining columns break ties, so the outcome never depends on task order.
@@ -90,6 +92,9 @@ class Store:
             spark, f"{control}/sync_executions", schemas.SYNC_EXECUTIONS, ["execution_id"],
             [*schemas.IDENTITY, "connector_type", "trigger_type", "started_at"],
         )
+        self.attempts = ControlTable(
+            spark, f"{control}/sync_attempts", schemas.SYNC_ATTEMPTS, _FOLDERS
+        )
         self.compactions = ControlTable(
             spark, f"{control}/compactions", schemas.COMPACTIONS, ["layer", *schemas.IDENTITY]
         )
@@ -106,11 +111,17 @@ class Store:
     def messages(self) -> DataFrame:
         return self._appended("messages", schemas.MESSAGE)
 
-    def reject(self, refused: DataFrame) -> None:
-        """Keeps refused requests as ``(kind, body, error)``."""
-        append_folder(
-            refused.select(*schemas.REJECTED.fieldNames()), f"{self.root}/rejected"
-        )
+    def reject(self, refused: DataFrame, batch: str | None = None) -> None:
+        """Keeps refused requests as ``(kind, body, error)``.
+
+        A micro-batch that is repeated under its name ``batch`` replaces what it left before.
+        """
+        rows = refused.select(*schemas.REJECTED.fieldNames())
+        folder = f"{self.root}/rejected"
+        if batch is None:
+            append_folder(rows, folder)
+        else:
+            rows.write.mode("overwrite").parquet(f"{folder}/{WRITE}={_folder_value(batch)}")
 
     def rejected(self) -> DataFrame:
         return self._appended("rejected", schemas.REJECTED)
@@ -135,7 +146,8 @@ class Store:
         """Writes both layers' rows of one attempt in a single pass (K1, K2).
 
         The folder belongs to this attempt alone, so a task or job retry replaces nothing
-        else. Returns the written rows, read back from the files.
+        else. Nothing of it is read or compacted before ``commit``. Returns the written rows,
+        read back from the files.
         """
         folder = f"{self.log_path}/{attempt.folder()}"
         (
@@ -147,13 +159,35 @@ class Store:
         stored = T.StructType([f for f in schemas.SYNC_LOG.fields if f.name not in _FOLDERS])
         return self.spark.read.schema(stored).parquet(folder)
 
+    def commit(
+        self,
+        attempt: Attempt,
+        started_at: datetime.datetime,
+        records: int,
+        last_value: str | None = None,
+    ) -> None:
+        """Makes a completely written attempt visible, in both layers at once."""
+        row = self.attempts.one_row(
+            **attempt.__dict__, started_at=started_at, records=records, last_value=last_value
+        )
+        self.attempts.upsert(row)
+
+    def committed(self, attempt: Attempt) -> Row | None:
+        """The commit row of an attempt, if there is one."""
+        found = self.attempts.current()
+        for name, value in attempt.__dict__.items():
+            found = found.where(F.col(name) == value)
+        return found.first()
+
     def discard(self, attempt: Attempt) -> None:
         """Removes an attempt without rows, so that idle runs do not pile up empty folders."""
         self.drop([f"{self.log_path}/{attempt.folder()}"])
 
     def log(self, dataset: Identity | None = None) -> DataFrame:
-        """Every written row of every attempt; of one dataset, only its folders are listed."""
-        return self._partitioned("log", schemas.SYNC_LOG, dataset)
+        """Every row of every committed attempt; of one dataset, only its folders are listed."""
+        rows = self._partitioned("log", schemas.SYNC_LOG, dataset)
+        valid = _of_dataset(self.attempts.current(), dataset).select(*_FOLDERS)
+        return rows.join(valid, _FOLDERS, "left_semi").select(*schemas.SYNC_LOG.fieldNames())
 
     def _partitioned(
         self, table: str, schema: T.StructType, dataset: Identity | None, prefix: str = ""
@@ -194,21 +228,30 @@ class Store:
         if snapshot is None:
             return latest(fresh, RECORD_KEY, ARRIVAL)
         base = snapshot.select(*fresh.columns)
-        if self._all_newer(fresh, layer):
+        late = self._late(layer, dataset)
+        if late.isEmpty():
             return upsert_newer(base, fresh, RECORD_KEY, ARRIVAL)
-        return latest(base.unionByName(fresh), RECORD_KEY, ARRIVAL)
 
-    def _all_newer(self, fresh: DataFrame, layer: str) -> bool:
-        """Whether every logged run began after all compacted runs of its dataset.
+        def part(rows: DataFrame, how: str) -> DataFrame:
+            return rows.join(late, schemas.IDENTITY, how)
+
+        in_turn = upsert_newer(part(base, "left_anti"), part(fresh, "left_anti"), RECORD_KEY, ARRIVAL)
+        mixed = part(base, "left_semi").unionByName(part(fresh, "left_semi"))
+        return in_turn.unionByName(latest(mixed, RECORD_KEY, ARRIVAL).select(*in_turn.columns))
+
+    def _late(self, layer: str, dataset: Identity | None) -> DataFrame:
+        """Datasets with a run that began no later than the last compacted one.
 
-        Of the log only the start time is read, one value per file.
+        Start times come from the commit rows; no row of the log is read.
         """
-        first = fresh.groupBy(*schemas.IDENTITY).agg(F.min("started_at").alias("first"))
+        attempts = _of_dataset(self.attempts.current(), dataset)
+        first = attempts.groupBy(*schemas.IDENTITY).agg(F.min("started_at").alias("first"))
         compacted = self.compactions.current().where(F.col("layer") == layer)
-        overlap = first.join(compacted, schemas.IDENTITY).where(
-            F.col("first") <= F.col("last_started")
+        return (
+            first.join(compacted, schemas.IDENTITY)
+            .where(F.col("first") <= F.col("last_started"))
+            .select(*schemas.IDENTITY)
         )
-        return overlap.isEmpty()
 
     def layer(self, layer: str, dataset: Identity | None = None) -> DataFrame:
         """The layer as its table: one current row per record key."""
@@ -231,14 +274,20 @@ class Store:
     def compact(self, dataset: Identity) -> list[str]:
         """Writes a dataset's current records as a new snapshot of both layers.
 
-        Reading stays right whether or not the covered folders are still there, as an upsert
-        of rows already present changes nothing. Returns those folders for ``drop``.
+        Covers the attempts that are committed when it begins, one row per run since the last
+        compaction; afterwards their rows count by the snapshot alone. An attempt that is still
+        being written, or was given up, is left alone. Returns the covered folders for ``drop``.
         """
-        log = self.log(dataset)
-        covered = [
-            f"{self.log_path}/{Attempt(**row.asDict()).folder()}"
-            for row in log.select(*_FOLDERS).distinct().toLocalIterator()
+        attempts = [
+            Attempt(**row.asDict())
+            for row in _of_dataset(self.attempts.current(), dataset).select(*_FOLDERS).collect()
         ]
+        covered = [f"{self.log_path}/{attempt.folder()}" for attempt in attempts]
+        pinned = self.spark.createDataFrame(
+            [tuple(a.__dict__[name] for name in _FOLDERS) for a in attempts],
+            T.StructType([schemas.SYNC_ATTEMPTS[name] for name in _FOLDERS]),
+        )
+        log = self._partitioned("log", schemas.SYNC_LOG, dataset).join(pinned, _FOLDERS, "left_semi")
         compaction = next_ticket()
         for layer in LAYERS:
             rows = self._log_records(layer, log)
@@ -259,12 +308,15 @@ class Store:
                     last_started=last,
                 )
             )
+        if attempts:
+            self.attempts.delete(pinned)
         return covered
 
     def compact_control(self) -> list[str]:
         """Rewrites the control tables in few files; returns the covered folders for ``drop``."""
         tables = (
-            self.sources, self.datasets, self.checkpoints, self.executions, self.compactions
+            self.sources, self.datasets, self.checkpoints, self.executions, self.attempts,
+            self.compactions,
         )
         return [folder for table in tables for folder in table.compact()]
 
@@ -300,9 +352,6 @@ class Store:
         return row.change.last_value
 
 
-_FOLDERS = [*schemas.IDENTITY, "execution_id", "attempt"]
-
-
 def _of_dataset(df: DataFrame, dataset: Identity | None) -> DataFrame:
     for name, value in zip(schemas.IDENTITY, dataset or ()):
         df = df.where(F.col(name) == value)

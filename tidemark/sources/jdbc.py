@@ -14,9 +14,13 @@ from pyspark.sql import types as T
 from tidemark.functions.defaults import DEFAULT_SSL_MODE
 from tidemark.functions.values import column_of, is_moment, require_column
 
-# Seconds to wait for a connection, and connections open at one time.
+# Seconds to wait for a connection, connections open at one time, and seconds
+# that a query of a sync may take.
 CONNECT_SECONDS = 10
 MAX_CONNECTIONS = 10
+QUERY_SECONDS = 600
+# Shares of a table, each read by a query of its own; a connection takes one after another.
+PARTITIONS = 200
 
 _DRIVERS = {
     "postgres": "org.postgresql.Driver",
@@ -87,12 +91,25 @@ def text_key_shares(connector: str, column: str, shares: int) -> list[str]:
     return [first, *(f"{bucket} = {share}" for share in range(1, shares))]
 
 
+def number_shares(
+    connector: str, column: str, low: decimal.Decimal, high: decimal.Decimal, shares: int
+) -> list[str]:
+    """Predicates over even ranges of any number; every row, nulls included, is in one (S3)."""
+    name = quoted(connector, column)
+    edges = [f"{low + (high - low) * k / shares:f}" for k in range(1, shares)]
+    edges = list(dict.fromkeys(edges))
+    if not edges:
+        return ["1 = 1"]
+    inner = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"({name} < {edges[0]} OR {name} IS NULL)", *inner, f"{name} >= {edges[-1]}"]
+
+
 @dataclass(frozen=True)
 class ReadPlan:
     """How a table is split over connections."""
 
     column: str | None
-    kind: str  # "range", "hash" or "single"
+    kind: str  # "range", "number", "hash" or "single"
 
 
 def plan_partitions(
@@ -100,8 +117,8 @@ def plan_partitions(
 ) -> ReadPlan:
     """The column to split a read by (S3).
 
-    A number or a date is split into ranges and text by its hash. The technical key comes
-    first: it is unique, so its shares are even where many rows have one cursor value.
+    A number or a date is split into ranges and text by its hash; Spark lays out ranges of whole
+    numbers and moments, other numbers get predicates. The technical key comes first: it is unique, so its shares are even where many rows have one cursor value.
     """
     by_name = {field.name.lower(): field for field in schema.fields}
     found = [
@@ -110,8 +127,10 @@ def plan_partitions(
         if name and name.lower() in by_name
     ]
     for field in found:
-        if is_moment(field.dataType) or isinstance(field.dataType, T.NumericType):
+        if is_moment(field.dataType) or isinstance(field.dataType, T.IntegralType):
             return ReadPlan(field.name, "range")
+        if isinstance(field.dataType, T.NumericType):
+            return ReadPlan(field.name, "number")
     for field in found:
         if isinstance(field.dataType, T.StringType):
             return ReadPlan(field.name, "hash")
@@ -143,12 +162,16 @@ def read_table(
     technical_key: str | None = None,
     incremental_column: str | None = None,
     batch_size: int = 1000,
-    connections: int = MAX_CONNECTIONS,
-    query_seconds: int = 0,
+    connections: int | None = MAX_CONNECTIONS,
+    query_seconds: int = QUERY_SECONDS,
     last_value: str | None = None,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
     """A table read over several connections (S2, S3); ``table`` is already qualified.
 
+    The table is read in ``partitions`` queries, at most ``connections`` at a time (None: as many
+    as there are task slots, where each query is a task that is repeated alone).
+
     Connections see different moments of a table that is being written, so the read is bounded
     by the greatest cursor found first; rows beyond it belong to the next run. With the stored
     cursor as ``last_value`` the ranges are laid over the new rows only, which otherwise would all
@@ -171,6 +194,10 @@ def read_table(
         query = f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {table}{newer}"
         return reader.option("query", query).load().toDF("low", "high").first()
 
+    def by_predicates(shares: list[str]) -> DataFrame:
+        properties = {k: v for k, v in settings.items() if k != "url"}
+        return spark.read.jdbc(options["url"], table, predicates=shares, properties=properties)
+
     rows = whole
     if plan.kind == "range":
         limits = bounds(plan.column)
@@ -182,13 +209,18 @@ def read_table(
                 .option("partitionColumn", quoted(connector, plan.column))
                 .option("lowerBound", str(limits.low))
                 .option("upperBound", str(limits.high))
-                .option("numPartitions", str(connections))
+                .option("numPartitions", str(partitions))
                 .load()
             )
+    elif plan.kind == "number":
+        limits = bounds(plan.column)
+        ends = [_finite(limits.low), _finite(limits.high)]
+        if None not in ends and ends[0] < ends[1]:
+            rows = by_predicates(number_shares(connector, plan.column, *ends, partitions))
     elif plan.kind == "hash":
-        properties = {k: v for k, v in settings.items() if k != "url"}
-        shares = text_key_shares(connector, plan.column, connections)
-        rows = spark.read.jdbc(options["url"], table, predicates=shares, properties=properties)
+        rows = by_predicates(text_key_shares(connector, plan.column, connections or MAX_CONNECTIONS))
+    if connections and plan.kind in ("range", "number") and connections < partitions:
+        rows = rows.coalesce(connections)
     if incremental_column:
         cursor = require_column(whole, incremental_column)
         high = bounds(cursor.name).high
@@ -198,8 +230,17 @@ def read_table(
     return rows
 
 
+def _finite(value: object) -> decimal.Decimal | None:
+    number = None if value is None else decimal.Decimal(str(value))
+    return number if number is not None and number.is_finite() else None
+
+
 def open_with(
-    spark: SparkSession, password_of: Callable[[str], str]
+    spark: SparkSession,
+    password_of: Callable[[str], str],
+    connections: int | None = MAX_CONNECTIONS,
+    partitions: int = PARTITIONS,
+    query_seconds: int = QUERY_SECONDS,
 ) -> Callable[[Row], DataFrame]:
     """Opens a resolved dataset over JDBC; ``password_of`` looks a secret up by reference."""
 
@@ -222,7 +263,10 @@ def open_with(
             dataset.technical_key,
             dataset.incremental_column if dataset.sync_mode == "incremental" else None,
             dataset.batch_size,
-            last_value=dataset.last_value,
+            connections,
+            query_seconds,
+            dataset.last_value,
+            partitions,
         )
 
     return open_dataset

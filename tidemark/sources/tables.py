@@ -25,12 +25,3 @@ def parquet_folder(spark: SparkSession, folder: str) -> Callable[[Row], DataFram
 
     return open_dataset
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over more tasks when the scan has too few splits to keep the cluster busy.
-
-    A large table has splits enough and is returned as it is, unshuffled. The rebalanced
-    partitions are sized at run time, so a tiny table stays in one piece.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.hint("rebalance") if df.rdd.getNumPartitions() * 2 <= slots else df

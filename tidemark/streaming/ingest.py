@@ -8,12 +8,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions import cursors
 from tidemark.functions.defaults import DEFAULT_BATCH_SIZE
+from tidemark.functions.values import require_column
 from tidemark.operators.envelope import log_rows
-from tidemark.plans.sync import Dataset, Execution, SyncResult, now, record_outcome, tell
+from tidemark.plans.sync import (
+    Dataset,
+    Execution,
+    SyncResult,
+    error_text,
+    move_checkpoint,
+    now,
+    record_outcome,
+    started_messages,
+    tell,
+)
 from tidemark.sinks.store import Attempt, Store
 
 
+def _write(
+    store: Store, batch: DataFrame, dataset: Dataset, attempt: Attempt, old: str | None, key_bits: int
+) -> tuple[int, str | None]:
+    """Count of a micro-batch and the cursor after it, which never falls behind ``old``.
+
+    A batch that is repeated after it was committed is not written again.
+    """
+    known = store.committed(attempt)
+    if known:
+        return known.records, known.last_value
+    started = now()
+    column = dataset.incremental_column
+    written = store.write(
+        log_rows(batch, dataset.technical_key, column, key_bits), attempt, started, now()
+    )
+    top = F.lit(None).cast("string")
+    if column:
+        kind = require_column(batch, column).dataType
+        greatest = F.max("cursor")
+        if old:
+            greatest = F.greatest(greatest, cursors.sortable(cursors.cursor_value(old, kind), kind))
+        top = cursors.checkpoint_text(greatest, kind)
+    facts = written.agg(F.count(F.lit(1)).alias("records"), top.alias("last")).first()
+    store.commit(attempt, started, facts.records, facts["last"])
+    return facts.records, facts["last"]
+
+
 def stream_rows(
     store: Store,
     rows: DataFrame,
@@ -25,22 +64,34 @@ def stream_rows(
 ) -> StreamingQuery:
     """Writes each micro-batch as one execution of the dataset.
 
-    A repeated micro-batch holds the same rows and has the same folder, which it overwrites,
-    so a restart writes nothing twice.
+    A batch tells of its start and outcome and has a ledger row like any sync, also when it
+    fails; an incremental dataset's cursor advances with it, so a later ``run_sync`` reads only
+    what came after. Empty batches leave nothing. A repeated batch that was committed is not
+    written again.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         started = now()
         execution = Execution(f"{name}-{batch_id:012d}", trigger_type="event")
         attempt = Attempt(*dataset.identity, execution.execution_id, batch_id)
-        rows_of_batch = log_rows(
-            batch, dataset.technical_key, dataset.incremental_column, key_bits
-        )
-        written = store.write(rows_of_batch, attempt, started, now())
-        records = written.agg(F.count(F.lit(1)).alias("records")).first().records
+        tell(store, started_messages(store, execution, started))
+        try:
+            old = store.last_value(dataset.identity)
+            records, last = _write(store, batch, dataset, attempt, old, key_bits)
+        except Exception as error:
+            failed = SyncResult(execution.execution_id, "failed", error=error_text(error))
+            tell(store, record_outcome(store, dataset, execution, started, failed))
+            raise
         size = dataset.batch_size if dataset.batch_size > 0 else DEFAULT_BATCH_SIZE
-        result = SyncResult(execution.execution_id, "completed", records, -(-records // size))
-        tell(store, record_outcome(store, dataset, execution, started, result))
+        result = SyncResult(
+            execution.execution_id, "completed", records, -(-records // size), last
+        )
+        recorded = record_outcome(store, dataset, execution, started, result)
+        if dataset.sync_mode == "incremental":
+            move_checkpoint(store, dataset, old, result)
+        tell(store, recorded)
 
     return (
         rows.writeStream.foreachBatch(on_batch)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -49,17 +50,28 @@ def _start(
     kind: str,
     messages: DataFrame,
     schema: T.StructType,
-    handle: Callable[[DataFrame], None],
+    handle: Callable[[DataFrame, str], None],
     checkpoint_location: str,
     trigger: Mapping[str, object],
 ) -> StreamingQuery:
-    """Parses each micro-batch, keeps malformed messages, hands on the rest."""
+    """Parses each micro-batch, keeps malformed messages, hands on the rest.
 
-    def on_batch(batch: DataFrame, _: int) -> None:
-        rows = parse(batch, schema)
-        bad = rows.where(F.col("error").isNotNull())
-        store.reject(bad.select(F.lit(kind).alias("kind"), "body", "error"))
-        handle(rows.where(F.col("error").isNull()).select(*schema.fieldNames()))
+    Malformed messages are kept under the batch's own name, so a repeated batch keeps them once.
+    """
+
+    stream = hashlib.sha256(checkpoint_location.encode()).hexdigest()[:16]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = parse(batch, schema).persist()  # bounded by the reader's options
+        try:
+            bad = rows.where(F.col("error").isNotNull())
+            if not bad.isEmpty():
+                refused = bad.select(F.lit(kind).alias("kind"), "body", "error")
+                store.reject(refused, f"{stream}-{batch_id}")
+            good = rows.where(F.col("error").isNull()).select(*schema.fieldNames())
+            handle(good, f"{stream}-{batch_id}-refused")
+        finally:
+            rows.unpersist()
 
     return (
         messages.writeStream.foreachBatch(on_batch)
@@ -82,8 +94,8 @@ def sync_requests(
 ) -> StreamingQuery:
     """Runs each requested sync."""
 
-    def handle(requests: DataFrame) -> None:
-        process_requests(store, requests, open_dataset, workers)
+    def handle(requests: DataFrame, batch: str) -> None:
+        process_requests(store, requests, open_dataset, workers, batch=batch)
 
     return _start(
         store, "sync", messages, schemas.SYNC_REQUEST, handle, checkpoint_location, trigger
@@ -99,7 +111,7 @@ def test_requests(
 ) -> StreamingQuery:
     """Checks the schema of each requested source."""
 
-    def handle(requests: DataFrame) -> None:
+    def handle(requests: DataFrame, _: str) -> None:
         check_sources(store, requests, read_schemata())
 
     return _start(
@@ -116,7 +128,7 @@ def discovery_requests(
 ) -> StreamingQuery:
     """Discovers each requested source."""
 
-    def handle(requests: DataFrame) -> None:
+    def handle(requests: DataFrame, _: str) -> None:
         process_discoveries(store, requests, open_catalog)
 
     return _start(
@@ -133,8 +145,8 @@ def reset_requests(
 ) -> StreamingQuery:
     """Deletes the cursor of each requested dataset."""
 
-    def handle(requests: DataFrame) -> None:
-        reset_checkpoints(store, requests)
+    def handle(requests: DataFrame, batch: str) -> None:
+        reset_checkpoints(store, requests, batch)
 
     return _start(
         store, "reset", messages, schemas.RESET_REQUEST, handle, checkpoint_location, trigger

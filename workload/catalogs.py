@@ -110,7 +110,7 @@ def columns_ordered(spark, sf):
 def roll_up(spark, sf):
     nested = discover(postgres(spark, sf)).nested()
     return nested.select(
-        "schema_name", "table_name", "object_type", "part",
+        "schema_name", "table_name", "object_type",
         F.size("columns").alias("width"), F.to_json("columns").alias("columns"),
     )
 
@@ -244,13 +244,12 @@ QUERIES = {
     "catalog_roll_up": (
         roll_up,
         f"""
-        SELECT schema_name, table_name, object_type, part,
+        SELECT schema_name, table_name, object_type,
                cast(count(name) AS integer) AS width,
                cast(to_json(coalesce(list({_COLUMN_STRUCT} ORDER BY ordinal_position)
                    FILTER (WHERE name IS NOT NULL), [])) AS varchar) AS columns
-        FROM (SELECT *, cast(coalesce(ordinal_position, 0) // 32768 AS integer) AS part
-              FROM ({_OBJECT_COLUMNS}))
-        GROUP BY schema_name, table_name, object_type, part
+        FROM ({_OBJECT_COLUMNS})
+        GROUP BY schema_name, table_name, object_type
         """,
     ),
     "catalog_roll_up_turns": (
