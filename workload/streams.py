@@ -6,7 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.sync import Dataset
+from tidemark.plans.sync import Dataset, Execution, run_sync
 from tidemark.session import scratch_dir
 from tidemark.sources.catalogs import from_frames
 from tidemark.sources.tables import parquet_folder
@@ -15,6 +15,7 @@ from tidemark.streaming.ingest import stream_rows
 from workload import catalogs, inputs, sql
 from workload.inputs import as_sql, derive, table
 from workload.syncs import (
+    EVENTS,
     REQUESTED_SQL,
     SOURCE_ROWS,
     SYNC_ROWS,
@@ -65,6 +66,26 @@ def stream_rejected(spark, sf):
     return store.rejected().select("kind", "body", "error")
 
 
+def stream_rejected_replayed(spark, sf):
+    """The same micro-batch twice: a stream that begins anew with the offsets of the first."""
+    store = new_store(spark)
+    orders = table(spark, sf, "orders")
+    broken = orders.select(F.concat(F.lit("{bad "), F.col("o_orderkey")).alias("value"))
+    folder = scratch_dir(spark, "messages")
+    broken.write.text(folder)
+    offsets = scratch_dir(spark, "offsets")
+    for _ in range(2):
+        _finish(topics.reset_requests(store, topics.read_messages(spark, "text", {}, folder), offsets))
+        _forget_offsets(spark, offsets)
+    return store.rejected().select("kind", "body", "error")
+
+
+def _forget_offsets(spark, folder):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stream_resets(spark, sf):
     """Cursors of all customers, of which those with failed executions are reset."""
     store = new_store(spark)
@@ -135,6 +156,22 @@ def stream_ingest(spark, sf):
     return store.normalized(dataset.identity).select("dataset_id", "record_key", "payload")
 
 
+def stream_ingest_then_incremental(spark, sf):
+    """Early events by stream, then a sync of all events, which reads what came after."""
+    store = new_store(spark)
+    folder = scratch_dir(spark, "arrivals")
+    events = table(spark, sf, "events")
+    early = events.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz"))
+    early.write.parquet(folder)
+    arriving = spark.readStream.schema(events.schema).parquet(folder)
+    _finish(stream_rows(store, arriving, EVENTS, "arrivals", scratch_dir(spark, "offsets")))
+    result = run_sync(store, EVENTS, lambda: events, Execution("inc-2"))
+    if result.status != "completed":
+        raise RuntimeError(result.error)
+    records = store.normalized(EVENTS.identity)
+    return records.select("dataset_id", "execution_id", "record_key", "payload")
+
+
 _PG_OBJECTS = catalogs.QUERIES["catalog_tables"][1]
 _PG_SCHEMAS = catalogs.QUERIES["catalog_schemas_postgres"][1]
 
@@ -151,6 +188,21 @@ QUERIES = {
         FROM orders WHERE o_orderstatus = 'F'
         """,
     ),
+    "stream_rejected_replayed": (
+        stream_rejected_replayed,
+        "SELECT 'reset' AS kind, '{bad ' || o_orderkey AS body, 'malformed message' AS error "
+        "FROM orders",
+    ),
+    "stream_ingest_then_incremental": (
+        stream_ingest_then_incremental,
+        f"""
+        SELECT 'events' AS dataset_id,
+               CASE WHEN ts < timestamp '2024-01-20 00:00:00' THEN 'arrivals-000000000000'
+                    ELSE 'inc-2' END AS execution_id,
+               cast(event_id AS varchar) AS record_key, {sql.json(sql.EVENTS)} AS payload
+        FROM events
+        """,
+    ),
     "stream_resets": (
         stream_resets,
         f"""

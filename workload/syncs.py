@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.envelope import log_rows
 from tidemark.plans.registration import register_datasets, register_sources, reset_checkpoints
 from tidemark.plans.requests import process_requests
-from tidemark.plans.sync import Dataset, Execution, run_sync
+from tidemark.plans.sync import Dataset, Execution, now, run_sync
 from tidemark.session import scratch_dir
-from tidemark.sinks.store import Store
+from tidemark.sinks.store import Attempt, Store
 from tidemark.sources.tables import parquet_folder
 from workload import sql
 from workload.inputs import table
@@ -39,6 +40,17 @@ def sync_full(spark, sf):
     return _records(store.normalized(CUSTOMER.identity))
 
 
+def sync_unfinished_attempt(spark, sf):
+    """A run that is written but not committed is neither read nor compacted away."""
+    store = new_store(spark)
+    customer = table(spark, sf, "customer")
+    _sync(store, CUSTOMER, customer, "full-1")
+    stray = log_rows(customer.withColumn("c_name", F.upper("c_name")), "c_custkey")
+    store.write(stray, Attempt(*CUSTOMER.identity, "full-2", 1), now(), now())
+    store.drop(store.compact(CUSTOMER.identity))
+    return _records(store.normalized(CUSTOMER.identity))
+
+
 def sync_full_by_hash(spark, sf):
     store = new_store(spark)
     pages = Dataset("acme", "web", "pages")
@@ -178,6 +190,11 @@ QUERIES = {
         f"SELECT 'customer' AS dataset_id, 'full-1' AS execution_id, "
         f"cast(c_custkey AS varchar) AS record_key, {CUSTOMER_JSON} AS payload FROM customer",
     ),
+    "sync_unfinished_attempt": (
+        sync_unfinished_attempt,
+        f"SELECT 'customer' AS dataset_id, 'full-1' AS execution_id, "
+        f"cast(c_custkey AS varchar) AS record_key, {CUSTOMER_JSON} AS payload FROM customer",
+    ),
     "sync_full_by_hash": (
         sync_full_by_hash,
         f"SELECT DISTINCT 'pages' AS dataset_id, 'full-1' AS execution_id, "
