@@ -76,3 +76,11 @@ def test_batches_from_counts(spark):
     assert counted == {
         "b": (3, 25, 3), "c": (2, 20, 2), "d": (2, 1500, 2), "e": (25_001, 25_001, 25_001)
     }
+
+
+def test_maps_take_part(spark, tmp_path):
+    rows = spark.range(7).selectExpr("id % 2 AS k", "map('a', id) AS m")
+    got = batches.number_rows(rows, "k", 3, folder=str(tmp_path / "numbered")).collect()
+    assert sorted(r.batch_number for r in got) == [1, 1, 1, 2, 2, 2, 3]
+    found = batches.batch_ledger(rows, "k", 3, folder=str(tmp_path / "ledger"))
+    assert found.count() == 3 and (tmp_path / "ledger").exists()

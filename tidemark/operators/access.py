@@ -11,6 +11,11 @@ from tidemark.functions.defaults import null_to_empty
 VALIDATED = "connection validated: host reachable, authentication ok, database and schema accessible"
 
 
+# The texts about a schema that cannot be seen.
+NOT_ACCESSIBLE = ("connection ok but ", " is not accessible")
+NO_SCHEMA = " does not exist or is not accessible to the configured user"
+
+
 def check_schemas(sources: DataFrame, schemata: DataFrame) -> DataFrame:
     """Sources with ``success``, ``message`` and ``error``.
 
@@ -28,17 +33,14 @@ def check_schemas(sources: DataFrame, schemata: DataFrame) -> DataFrame:
         .withColumn(
             "message",
             F.when(F.col("success"), F.lit(VALIDATED)).otherwise(
-                F.concat(F.lit("connection ok but "), quoted, F.lit(" is not accessible"))
+                F.concat(F.lit(NOT_ACCESSIBLE[0]), quoted, F.lit(NOT_ACCESSIBLE[1]))
             ),
         )
         .withColumn(
             "error",
             F.when(
                 ~F.col("success"),
-                F.concat(
-                    quoted,
-                    F.lit(" does not exist or is not accessible to the configured user"),
-                ),
+                F.concat(quoted, F.lit(NO_SCHEMA)),
             ),
         )
         .select(*sources.columns, "success", "message", "error")

@@ -39,7 +39,16 @@ def number_rows(
     spark = df.sparkSession
     wanted = [key, *tie_break]
     order = [column_of(require_column(df, c).name).asc_nulls_last() for c in wanted]
-    order.append(F.xxhash64(*map(column_of, df.columns)).asc())
+    # Maps cannot be hashed; such a column takes part by its JSON text.
+    order.append(
+        F.xxhash64(
+            *(
+                F.to_json(F.struct(column_of(f.name))) if "map<" in f.dataType.simpleString()
+                else column_of(f.name)
+                for f in df.schema.fields
+            )
+        ).asc()
+    )
     ranged = (
         df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     )
@@ -66,11 +75,19 @@ def number_rows(
 
 
 def batch_ledger(
-    df: DataFrame, key: str, batch_size: int, tie_break: Sequence[str] = ()
+    df: DataFrame,
+    key: str,
+    batch_size: int,
+    tie_break: Sequence[str] = (),
+    folder: str | None = None,
 ) -> DataFrame:
-    """Rows and key range of every batch (A2). Only the ordering columns are moved."""
+    """Rows and key range of every batch (A2). Only the ordering columns are moved.
+
+    Reads from ``folder`` as ``number_rows`` does, until the caller removes it.
+    """
     fields = [require_column(df, c).name for c in (key, *tie_break)]
-    numbered = number_rows(df.select(*map(column_of, fields)), key, batch_size, tie_break)
+    ordering = df.select(*map(column_of, fields))
+    numbered = number_rows(ordering, key, batch_size, tie_break, folder=folder)
     first = column_of(fields[0])
     return numbered.groupBy("batch_number").agg(
         F.count(F.lit(1)).alias("records_in_batch"),

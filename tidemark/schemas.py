@@ -113,10 +113,3 @@ DATASET_REQUEST = _schema(
 
 MESSAGE = _schema("topic string, key string, value string")
 REJECTED = _schema("kind string, body string, error string")
-
-# --- discovered columns ---------------------------------------------------------------
-
-CATALOG_COLUMN = _schema(
-    "schema_name string, table_name string, object_type string, name string, "
-    "data_type string, nullable boolean, is_primary boolean, ordinal_position int"
-)

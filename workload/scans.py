@@ -24,6 +24,10 @@ def scan_nested(spark, sf):
         "vec_id", "label", F.size("embedding").alias("width"),
         F.element_at("embedding", 1).alias("first_value"),
         F.element_at("embedding", -1).alias("last_value"),
+        F.aggregate(
+            F.transform("embedding", lambda x: F.floor(x.cast("double") * 1_000_000)),
+            F.lit(0).cast("bigint"), lambda held, x: held + x,
+        ).alias("millionths"),
     )
 
 
@@ -124,7 +128,10 @@ QUERIES = {
     "scan_nested": (
         scan_nested,
         "SELECT vec_id, label, cast(len(embedding) AS integer) AS width, "
-        "embedding[1] AS first_value, embedding[-1] AS last_value FROM embeddings",
+        "embedding[1] AS first_value, embedding[-1] AS last_value, "
+        "cast(list_sum(list_transform(embedding, lambda x: "
+        "cast(floor(cast(x AS double) * 1000000) AS bigint))) AS bigint) AS millionths "
+        "FROM embeddings",
     ),
     "scan_keyset_batches": (
         scan_keyset_batches,
