@@ -2,13 +2,16 @@
 
 1. Documents with equal sets are one class. Tokens (hashed shingles) have one order: those that
    a count sketch of fixed size finds frequent come last, others by their hash.
-2. Classes that share minima of the hash are compared with the first of them, which makes groups
-   of similar documents in linear time.
+2. Classes that share minima of the hash are compared with the most usual of them, which makes
+   groups of similar documents in linear time.
 3. The matrix holds, for each group, the union of its members' tokens that matter: of a set of n
    tokens the first n - ceil(8n/9) + 1, since a pair with similarity 0.8 shares one of these and
    one of the first n - ceil(4n/5) + 1 of the larger set. If a query has none of its first tokens
-   in the union, it overlaps the union in fewer than 0.8 n tokens, and the group stays closed.
-4. Only in qualifying other groups are the members compared with the query, by whole sets.
+   in the union, it overlaps the union in fewer than 0.8 n tokens, and the group stays closed. It
+   does also where the first common token stands so late that too few can follow it, in the
+   query or in all members.
+4. Only in qualifying other groups are the members compared with the query: first by a sketch of
+   parities, which bounds their difference from below, then by whole sets.
 
 A pair inside one group is linked already, so large groups of copies are never compared with
 themselves, and no link between groups is lost.
@@ -28,17 +31,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.encoding import BATCH_BYTES, byte_slices
-from tidemark.llm.graph import components, kept
+from tidemark.llm.graph import Scratch, components, kept
 
 #: The sketch has 2^SKETCH_BITS counters, whatever the corpus.
 SKETCH_BITS = 20
 _BLOCKS = 64
 _LANES = 64
-#: Classes are grouped by the minima of so many scrambled hashes, ``GROUP_MINIMA`` at a time.
-GROUPINGS = 3
-GROUP_MINIMA = 2
-#: Ids up to this number are broadcast to find their texts; more are joined.
-BROADCAST_IDS = 200_000
+#: Classes are grouped by minima of scrambled hashes: in some groupings by two minima over rare
+#: tokens, which keeps shared passages out, in others by one over all tokens, which finds large
+#: families, whose common tokens are frequent.
+RARE_GROUPINGS = 2
+WHOLE_GROUPINGS = 3
+#: Tables of up to so many rows of a few numbers are broadcast; larger ones are joined.
+BROADCAST_ROWS = 300_000
+#: Partners that one set meets in a lane.
+LANE_ROWS = 250
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
      0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3],
@@ -149,39 +156,55 @@ def frequent_cells(texts: DataFrame, words_each: int = 5, bits: int = SKETCH_BIT
     return found
 
 
-def _first_tokens(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The tokens by which a set looks for partners, in the common order."""
-    n = len(found)
-    late = frequent[(found >> np.uint64(64 - int(len(frequent)).bit_length() + 1)).astype(np.int64)]
-    order = np.concatenate([found[~late], found[late]])
-    return order[: n - (4 * n + 4) // 5 + 1]
+def _late(found: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Which tokens are in a cell that stands out, and so come last in the common order."""
+    bits = len(frequent).bit_length() - 1
+    return frequent[(found >> np.uint64(64 - bits)).astype(np.int64)]
+
+
+def parities(found: np.ndarray) -> bytes:
+    """A bit per cell of tokens: whether their number is odd. There are about as many cells."""
+    cells = 1 << max(3, (len(found) - 1).bit_length())
+    counts = np.bincount((found & np.uint64(cells - 1)).astype(np.int64), minlength=cells)
+    return np.packbits(counts & 1 == 1).tobytes()
+
+
+def differences(one: bytes, other: bytes) -> int:
+    """At most the number of tokens that are in one of two sets only, from their parities."""
+    a, b = (np.frombuffer(p, np.uint8) for p in sorted((one, other), key=len))
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def signatures(
     docs: DataFrame, id_column: str, text_column: str, frequent: np.ndarray, words_each: int
 ) -> DataFrame:
-    """A row per document: id, n, a digest of its set, group keys, and its first tokens."""
+    """A row per document: id, n, the share of frequent tokens, digest and parities of its set,
+    group keys, and first tokens."""
     schema = pa.schema(
-        [("n", pa.int64()), ("digest", pa.binary()), ("keys", pa.list_(pa.int64())),
+        [("n", pa.int64()), ("usual", pa.float64()), ("digest", pa.binary()), ("parity", pa.binary()), ("keys", pa.list_(pa.int64())),
          ("firsts", pa.list_(pa.int64()))]
     )
-    bits = np.uint64(64 - int(len(frequent)).bit_length() + 1)
 
     def sign(text: str | None) -> tuple:
         found = tokens(text, words_each)
         if not len(found):
-            return 0, b"", [], []
-        rare = found[~frequent[(found >> bits).astype(np.int64)]]
-        rare = rare if len(rare) else found
+            return 0, 0.0, b"", b"", [], []
+        late = _late(found, frequent)
+        rare = found if late.all() else found[~late]
         keys = []
-        for k in range(GROUPINGS):
+        for k in range(RARE_GROUPINGS + WHOLE_GROUPINGS):
+            used, each = (rare, 2) if k < RARE_GROUPINGS else (found, 1)
             minima = [
-                int(_mixed(rare * _MULTIPLIERS[j % 8] + np.uint64(j)).min())
-                for j in range(k * GROUP_MINIMA, (k + 1) * GROUP_MINIMA)
+                int(_mixed(used * _MULTIPLIERS[j % 8] + np.uint64(97 * j)).min())
+                for j in range(2 * k, 2 * k + each)
             ]
             keys.append(xxhash.xxh3_64_intdigest(repr((k, minima))) - (1 << 63))
-        firsts = _first_tokens(found, frequent).view(np.int64)
-        return len(found), xxhash.xxh3_128_digest(found.tobytes()), keys, firsts
+        ordered = np.concatenate([found[~late], found[late]])
+        firsts = ordered[: len(found) - (4 * len(found) + 4) // 5 + 1].view(np.int64)
+        digest = xxhash.xxh3_128_digest(found.tobytes())
+        return len(found), float(late.mean()), digest, parities(found), keys, firsts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -195,53 +218,129 @@ def signatures(
     kind = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string"))
     return chosen.mapInArrow(
-        run, f"id {kind}, n long, digest binary, keys array<long>, firsts array<long>"
+        run,
+        f"id {kind}, n long, usual double, digest binary, parity binary, keys array<long>, firsts array<long>",
     ).withColumn("row", F.monotonically_increasing_id())
 
 
-def _sets(
-    docs: DataFrame, id_column: str, text_column: str, wanted: DataFrame, words_each: int
-) -> DataFrame:
-    """(class, set) of the wanted classes (class, id, digest), from their texts."""
-    schema = pa.schema([("class", pa.int64()), ("digest", pa.binary()), ("set", pa.binary())])
+def _few(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it has few rows and joined otherwise."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
-    def make(number: int, digest: bytes, text: str | None) -> tuple:
-        found = tokens(text, words_each).tobytes()
-        return number, digest, found if xxhash.xxh3_128_digest(found) == digest else None
 
-    wanted = kept(wanted.select("class", F.col("id").alias("_id"), "digest"), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_column).alias("_own"), F.col(text_column).cast("string").alias("_t"))
-    found = texts.join(wanted, F.col("_own").eqNullSafe(F.col("_id")))
-    made = found.select("class", "digest", "_t").mapInArrow(
-        _each(3, make, schema), "class long, digest binary, set binary"
+def _promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parities leave it open whether their sets are similar enough."""
+
+    @F.arrow_udf("boolean")
+    def open_still(n: pa.Array, m: pa.Array, one: pa.Array, other: pa.Array) -> pa.Array:
+        rows = zip(n.to_pylist(), m.to_pylist(), one.to_pylist(), other.to_pylist(), strict=True)
+        return pa.array(
+            [(100 + percent) * differences(a, b) <= (100 - percent) * (x + y) for x, y, a, b in rows],
+            pa.bool_(),
+        )
+
+    left = classes.select(F.col("class").alias("one"), F.col("n").alias("_n"), F.col("parity").alias("_p"))
+    right = classes.select(F.col("class").alias("other"), F.col("n").alias("_m"), F.col("parity").alias("_q"))
+    both = pairs.join(left, "one").join(right, "other")
+    return both.where(open_still("_n", "_m", "_p", "_q")).select("one", "other")
+
+
+def _verified(
+    docs: DataFrame,
+    id_column: str,
+    text_column: str,
+    classes: DataFrame,
+    pairs: DataFrame,
+    words_each: int,
+    percent: int,
+    scratch: Scratch,
+) -> DataFrame:
+    """The pairs (one, other) of classes whose whole sets overlap in ``percent`` of their union.
+
+    Sets are made from the texts again, only for classes in a pair. They meet by ``other``, whose
+    set comes first; one with many partners is met in several lanes.
+    """
+    pairs = scratch.keep(_promising(pairs, classes, percent), "promising")
+    lanes = pairs.groupBy("other").agg(F.ceil(F.count("*") / LANE_ROWS).cast("int").alias("_lanes"))
+    lanes = scratch.keep(lanes, "lanes")
+    meeting = F.struct("lead", "lane", "side").alias("meeting")
+    members = pairs.join(lanes, "other").select(
+        F.col("one").alias("class"),
+        F.col("other").alias("lead"),
+        F.pmod(F.xxhash64("one"), "_lanes").cast("int").alias("lane"),
+        F.lit(1).alias("side"),
     )
-    # Rows that repeat an id and a text give one set.
-    sets = made.where("set IS NOT NULL").groupBy("class").agg(F.max("set").alias("set"))
-    return kept(sets, "sets")
+    leads = lanes.select(
+        F.col("other").alias("class"),
+        F.col("other").alias("lead"),
+        F.explode(F.sequence(F.lit(0), F.col("_lanes") - 1)).alias("lane"),
+        F.lit(0).alias("side"),
+    )
+    wanted = members.unionByName(leads).select("class", meeting).groupBy("class").agg(
+        F.collect_list("meeting").alias("meetings")  # as many as the class has pairs
+    )
+    named = classes.select("class", F.col("id").alias("_id"), "digest")
+    wanted = scratch.keep(wanted.join(named, "class"), "wanted")
+    texts = docs.select(F.col(id_column).alias("_own"), F.col(text_column).cast("string").alias("_t"))
+    found = texts.join(_few(wanted), F.col("_own").eqNullSafe(F.col("_id")))
+    names = ["lead", "lane", "side", "class", "set"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = 0
+            for part in byte_slices(batch.column(3).cast(pa.large_string()), BATCH_BYTES // 4):
+                others = [c.slice(place, len(part)).to_pylist() for c in batch.columns[:3]]
+                place += len(part)
+                out: list[tuple] = []
+                held = 0
+                for number, digest, meetings, text in zip(*others, part.to_pylist(), strict=True):
+                    made = tokens(text, words_each).tobytes()
+                    if xxhash.xxh3_128_digest(made) != digest:  # another row of that id
+                        continue
+                    for m in meetings:
+                        out.append((m["lead"], m["lane"], m["side"], number, made))
+                        held += len(made)
+                        if held > BATCH_BYTES:
+                            yield as_batch(out)
+                            out, held = [], 0
+                if out:
+                    yield as_batch(out)
+
+    def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
+        )
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (one, other) of classes whose sets overlap in ``percent`` of their union."""
-    schema = pa.schema([("one", pa.int64()), ("other", pa.int64())])
+    met = (
+        found.select("class", "digest", "meetings", "_t")
+        .mapInArrow(make, "lead long, lane int, side int, class long, set binary")
+        .repartition("lead", "lane")
+        .sortWithinPartitions("lead", "lane", "side")
+    )
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, first = None, np.empty(0, np.uint64)
         for batch in batches:
-            one, other, left, right = batch.columns
-            keep = []
-            for a, b in zip(left, right, strict=True):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([x, y]))
+            one: list[int] = []
+            other: list[int] = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for now, _, side, number, made in zip(*columns, strict=True):
+                own = np.frombuffer(made, np.uint64)
+                if not side:
+                    lead, first = now, own
+                    continue
+                both = np.sort(np.concatenate([first, own]))
                 common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common))
-            chosen = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([one.filter(chosen), other.filter(chosen)], schema=schema)
+                if now == lead and 100 * common >= percent * (len(both) - common):
+                    one.append(number)
+                    other.append(now)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one, pa.int64()), pa.array(other, pa.int64())], ["one", "other"]
+            )
 
-    left = sets.select(F.col("class").alias("one"), F.col("set").alias("left"))
-    right = sets.select(F.col("class").alias("other"), F.col("set").alias("right"))
-    joined = pairs.join(left, "one").join(right, "other").select("one", "other", "left", "right")
-    return joined.mapInArrow(test, "one long, other long")
+    return met.mapInArrow(test, "one long, other long").distinct()
 
 
 def similar(
@@ -269,74 +368,104 @@ def similar(
         raise ValueError("the order of tokens is laid out for 80 percent or more")
     if id_column in ("n_shingles", "class", "component_id"):
         raise ValueError(f"{id_column!r} is a column of the result")
+    spark = docs.sparkSession
+    lasting, scratch = Scratch(spark), Scratch(spark)
     texts = docs.select(F.col(text_column).cast("string"))
     frequent = frequent_cells(texts, words_each, sketch_bits)
-    rows = kept(signatures(docs, id_column, text_column, frequent, words_each), "signatures")
-    classes = kept(
-        rows.where("n > 0")
-        .groupBy("digest")
-        .agg(
-            F.min("row").alias("class"),
-            F.min("id").alias("id"),
-            F.first("n").alias("n"),
-            F.first("keys").alias("keys"),
-            F.first("firsts").alias("firsts"),
-        ),
-        "classes",
+    rows = lasting.keep(signatures(docs, id_column, text_column, frequent, words_each), "signatures")
+    classes = rows.where("n > 0").groupBy("digest").agg(
+        F.min("row").alias("class"),
+        F.min("id").alias("id"),
+        F.first("n").alias("n"),
+        F.first("usual").alias("usual"),
+        F.first("keys").alias("keys"),
+        F.first("parity").alias("parity"),
+    )
+    classes = scratch.keep(classes, "classes")
+    exact = docs, id_column, text_column, classes
+
+    # Groups: everyone with the most usual of those that share a key. In a family of edited copies
+    # the most usual one is the least edited, which most others are near.
+    keyed = classes.select("class", "usual", F.explode("keys").alias("key"))
+    firsts = keyed.groupBy("key").agg(
+        F.max_by("class", F.struct("usual", "class")).alias("other"), F.count("*").alias("of")
     )
-    # Groups: everyone with the first of those that share a key.
-    keyed = classes.select("class", F.posexplode("keys").alias("_k", "key"))
-    firsts = keyed.groupBy("key").agg(F.min("class").alias("other"), F.count("*").alias("of"))
     pairs = keyed.join(firsts.where("of > 1"), "key").where(F.col("class") != F.col("other"))
-    pairs = kept(pairs.select(F.col("class").alias("one"), "other").distinct(), "pairs")
-    named = pairs.select(F.col("one").alias("class")).union(pairs.select("other")).distinct()
-    wanted = classes.select("class", "id", "digest").join(named, "class")
-    sets = _sets(docs, id_column, text_column, wanted, words_each)
-    links = kept(_linked(pairs, sets, percent), "links")
-    grouped = components(links, "one", "other").withColumnRenamed("id", "class")
-
-    members = classes.join(grouped, "class", "left").select(
-        "class", "n", F.coalesce("component", "class").alias("group"), "firsts"
+    pairs = scratch.keep(pairs.select(F.col("class").alias("one"), "other").distinct(), "pairs")
+    found = _verified(*exact, pairs, words_each, percent, scratch)
+    links = lasting.keep(found, "links")
+    grouped = components(links, "one", "other").select(F.col("id").alias("class"), "component")
+    grouped = scratch.keep(
+        classes.select("class", "n")
+        .join(grouped, "class", "left")
+        .select(
+            "class", "n", F.coalesce("component", "class").alias("group"),
+            F.col("component").isNotNull().alias("many"),
+        ),
+        "groups",
     )
-    query = members.select("class", "n", "group", F.explode("firsts").alias("token"))
-    tell = F.col("n") - F.floor((8 * F.col("n") + 8) / 9) + 1
+
+    # The matrix of tokens and groups; only groups of several have tokens in common to add up.
+    members = rows.select(F.col("row").alias("class"), "firsts").join(_few(grouped), "class")
+    query = members.select("class", "n", "group", F.posexplode("firsts").alias("at", "token"))
+    tell = (F.col("n") - F.floor((8 * F.col("n") + 8) / 9) + 1).cast("int")
     own = members.select(
-        "class", "n", "group", F.explode(F.slice("firsts", F.lit(1), tell.cast("int"))).alias("token")
+        "class", "n", "group", "many",
+        F.posexplode(F.slice("firsts", F.lit(1), tell)).alias("at", "token"),
+    )
+    # Overlap o and sizes n, m: o / (n + m - o) >= p / 100 means (100 + p) o >= p (n + m). From the
+    # first common token on, at place ``at``, at most n - at tokens are common.
+    room = (100 + percent) * (F.col("n") - F.col("at")) - percent * F.col("n")
+    query = query.withColumn("query_room", room).drop("at")
+    alone = own.where("NOT many").select(
+        "token", F.col("group").alias("in_group"), F.col("n").alias("least"),
+        F.col("n").alias("most"), room.alias("room"), F.col("class").alias("member"),
     )
-    matrix = own.groupBy("token", F.col("group").alias("in_group")).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"),
-        F.min("class").alias("member"), F.count("*").alias("of"),
+    union = own.where("many").groupBy("token", F.col("group").alias("in_group")).agg(
+        F.min("n").alias("least"),
+        F.max("n").alias("most"),
+        F.max(room).alias("room"),
+        F.when(F.count("*") == 1, F.min("class")).alias("member"),
     )
-    opened = query.join(matrix, "token").where(
+    opened = query.join(alone.unionByName(union), "token").where(
         (F.col("group") != F.col("in_group"))
         & (F.col("least") <= F.col("n"))
         & (5 * F.col("most") >= 4 * F.col("n"))
+        & (F.col("room") >= percent * F.col("n"))
+        & (F.col("query_room") >= percent * F.col("least"))
+    )
+    opened = scratch.keep(
+        opened.select(
+            F.col("class").alias("one"), "n", "in_group", "member",
+            F.when(F.col("member").isNull(), F.col("token")).alias("token"),
+            F.when(F.col("member").isNull(), F.col("query_room")).alias("query_room"),
+        ).distinct(),
+        "opened",
     )
-    opened = kept(opened.select("class", "n", "token", "in_group", "member", "of"), "opened")
-    single = opened.where("of = 1").select(F.col("class").alias("one"), F.col("member").alias("other"))
-    inside = own.select(F.col("class").alias("other"), F.col("n").alias("m"), "group", "token").join(
-        opened.where("of > 1").select(F.col("in_group").alias("group"), "token").distinct(),
-        ["group", "token"],
-        "left_semi",
+    single = opened.where("member IS NOT NULL").select("one", F.col("member").alias("other"))
+    # In an open group of several, the members that share the token and are of a fitting size.
+    several = opened.where("member IS NULL").select("one", "n", "in_group", "token", "query_room")
+    inside = own.where("many").select(
+        F.col("class").alias("other"), F.col("n").alias("m"), F.col("group").alias("in_group"),
+        "token", room.alias("room"),
     )
     several = (
-        opened.where("of > 1")
-        .select(F.col("class").alias("one"), "n", "token", F.col("in_group").alias("group"))
-        .join(inside, ["group", "token"])
+        several.join(inside, ["in_group", "token"])
         .where((F.col("m") <= F.col("n")) & (5 * F.col("m") >= 4 * F.col("n")))
+        .where((F.col("room") >= percent * F.col("n")) & (F.col("query_room") >= percent * F.col("m")))
         .select("one", "other")
     )
-    more = kept(single.unionByName(several).distinct(), "pairs")
-    named = more.select(F.col("one").alias("class")).union(more.select("other")).distinct()
-    wanted = classes.select("class", "id", "digest").join(named, "class")
-    sets = _sets(docs, id_column, text_column, wanted, words_each)
-    links = kept(links.unionByName(_linked(more, sets, percent)), "links")
+    more = scratch.keep(single.unionByName(several).distinct(), "pairs")
+    found = _verified(*exact, more, words_each, percent, scratch)
+    links = lasting.keep(links.unionByName(found), "links")
 
     whole = components(links, "one", "other").withColumnRenamed("id", "class")
     labelled = classes.select("digest", "class", "id").join(whole, "class", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
     smallest = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
-    labelled = kept(labelled.join(smallest, "component").select("digest", "class", "component_id"), "labels")
+    labelled = labelled.join(smallest, "component").select("digest", "class", "component_id")
+    labelled = lasting.keep(labelled, "labels")
+    scratch.release()
     found = rows.select("id", "n", "digest", "row").join(labelled, "digest", "left")
     return (
         found.select(
