@@ -118,7 +118,8 @@ def plan_partitions(
     """The column to split a read by (S3).
 
     A number or a date is split into ranges and text by its hash; Spark lays out ranges of whole
-    numbers and moments, other numbers get predicates. The technical key comes first: it is unique, so its shares are even where many rows have one cursor value.
+    numbers and moments, other numbers get predicates. The technical key comes first: it is
+    unique, so its shares are even where many rows have one cursor value.
     """
     by_name = {field.name.lower(): field for field in schema.fields}
     found = [
