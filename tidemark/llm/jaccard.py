@@ -183,8 +183,8 @@ def signatures(
     """A row per document: id, n, the share of frequent tokens, digest and parities of its set,
     group keys, and first tokens."""
     schema = pa.schema(
-        [("n", pa.int64()), ("usual", pa.float64()), ("digest", pa.binary()), ("parity", pa.binary()), ("keys", pa.list_(pa.int64())),
-         ("firsts", pa.list_(pa.int64()))]
+        [("n", pa.int64()), ("usual", pa.float64()), ("digest", pa.binary()),
+         ("parity", pa.binary()), ("keys", pa.list_(pa.int64())), ("firsts", pa.list_(pa.int64()))]
     )
 
     def sign(text: str | None) -> tuple:
@@ -219,7 +219,8 @@ def signatures(
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string"))
     return chosen.mapInArrow(
         run,
-        f"id {kind}, n long, usual double, digest binary, parity binary, keys array<long>, firsts array<long>",
+        f"id {kind}, n long, usual double, digest binary, parity binary, keys array<long>,"
+        " firsts array<long>",
     ).withColumn("row", F.monotonically_increasing_id())
 
 

@@ -121,7 +121,8 @@ draws AS (
   FROM {table} d JOIN split s ON d.source IS NOT DISTINCT FROM s.source),
 counted AS (
   SELECT doc_id, d.source, any_value(text) AS text,
-         any_value(sure) + coalesce(min(k) FILTER (WHERE total > u), min(k) FILTER (WHERE total = top)) AS n
+         any_value(sure) + coalesce(min(k) FILTER (WHERE total > u),
+                                    min(k) FILTER (WHERE total = top)) AS n
   FROM draws d JOIN levels s ON d.source IS NOT DISTINCT FROM s.source GROUP BY doc_id, d.source),
 copies AS (
   SELECT doc_id, source, text, cast(unnest(generate_series(0, n - 1)) AS integer) AS copy
