@@ -27,7 +27,9 @@ MEAN_BITS = 5
 LONGEST = 512
 #: Repeats of fewer bytes in a row stay.
 LEAST_BYTES = 80
-CHUNK = ["d1", "d2", "id", "key", "begin", "end", "sure", "source"]
+#: Chunks that a task remembers at one time, about.
+HELD_CHUNKS = 250_000
+CHUNK = ["d1", "d2", "id", "key", "begin", "bytes", "sure", "source"]
 
 
 def _gears() -> np.ndarray:
@@ -39,6 +41,7 @@ def _gears() -> np.ndarray:
 
 
 _GEARS = _gears()
+_LOW = (1 << 64) - 1
 
 
 def boundaries(data: bytes, mean_bits: int = MEAN_BITS, longest: int = LONGEST) -> np.ndarray:
@@ -75,7 +78,8 @@ def boundaries(data: bytes, mean_bits: int = MEAN_BITS, longest: int = LONGEST)
 
 
 def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
-    """A row per chunk of (id, key, text); ``source`` is set where its batch has met it before.
+    """A row per chunk of (id, key, text), with 80 bits of its digest; ``source`` is set where its
+    batch has met it before.
 
     Such a repeat is certain and needs no look at other rows, so a chunk of a third of all rows
     leaves each batch once. ``source`` is the place's document in that batch.
@@ -89,10 +93,13 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
             )
             batch = batch.take(order)
             documents = list(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True))
-            holders: dict[bytes, int] = {}
+            holders: dict[int, int] = {}
             place = -1
-            for part in byte_slices(batch.column(2).cast(pa.large_string()), BATCH_BYTES):
-                digests: list[bytes] = []
+            # Cleared when large: a chunk then leaves the batch a few times instead of once.
+            for part in byte_slices(batch.column(2), BATCH_BYTES):
+                if len(holders) > HELD_CHUNKS:
+                    holders.clear()
+                digests: list[int] = []
                 sources: list[int | None] = []
                 owners: list[int] = []
                 ends: list[np.ndarray] = []
@@ -103,10 +110,12 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
                     data, begin = text.encode(), 0
                     found = boundaries(data, mean_bits)
                     for end in found.tolist():
-                        digest = xxhash.xxh3_128_digest(data[begin:end])
+                        digest = xxhash.xxh3_128_intdigest(data[begin:end])
                         holder = holders.get(digest)
                         if holder is None:
                             holders[digest] = place
+                        else:  # it need not meet the others of its chunk: spread by place
+                            digest = xxhash.xxh3_128_intdigest(repr((documents[place], begin)))
                         digests.append(digest)
                         sources.append(holder)
                         begin = end
@@ -115,15 +124,15 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
                 if not digests:
                     continue
                 begins = np.concatenate([np.append([0], e[:-1]) for e in ends])
-                halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                stops = np.concatenate(ends)
                 at, held = pa.array(owners, pa.int64()), pa.array(sources, pa.int64())
                 columns = [
-                    pa.array(halves[:, 0]),
-                    pa.array(halves[:, 1]),
+                    pa.array([(d & _LOW) - (1 << 63) for d in digests], pa.int64()),
+                    pa.array([(d >> 112) - (1 << 15) for d in digests], pa.int16()),
                     batch.column(0).take(at),
                     batch.column(1).take(at),
                     pa.array(begins, pa.int32()),
-                    pa.array(np.concatenate(ends), pa.int32()),
+                    pa.array(stops - begins, pa.int32()),
                     pc.is_valid(held),
                     batch.column(0).take(held),
                 ]
@@ -131,7 +140,7 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
 
     return docs.mapInArrow(
         cut,
-        f"d1 long, d2 long, id {kind}, key long, begin int, end int, sure boolean, source {kind}",
+        f"d1 long, d2 short, id {kind}, key int, begin int, bytes int, sure boolean, source {kind}",
     )
 
 
@@ -148,18 +157,16 @@ def repeats(
     ``source`` is a document that has the chunk earlier, perhaps the same one.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    keyed = docs.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    keyed = docs.select(F.col(id_column).alias("id"), F.hash(text).alias("key"), text.alias("text"))
     chunks = _chunk_rows(keyed, docs.schema[id_column].dataType.simpleString(), mean_bits)
-    # Sure repeats are spread by their own place: they need not meet the others of their chunk.
-    spread = F.when(F.col("sure"), F.xxhash64("id", "key", "begin")).otherwise(F.lit(0))
     order = [F.col("id").asc_nulls_last(), "key", "begin"]
-    chunk = Window.partitionBy("d1", "d2", "spread").orderBy(*order)
+    chunk = Window.partitionBy("d1", "d2").orderBy(*order)
     first = F.first(F.struct("id", "key", "begin")).over(chunk)
-    ranked = chunks.withColumn("spread", spread).withColumn("_first", first)
+    ranked = chunks.withColumn("_first", first)
     later = ~F.col("_first").eqNullSafe(F.struct("id", "key", "begin"))
     source = F.when(F.col("sure"), F.col("source")).otherwise(F.col("_first.id"))
     return ranked.where(F.col("sure") | later).select(
-        "id", "key", "begin", "end", source.alias("source")
+        "id", "key", "begin", (F.col("begin") + F.col("bytes")).alias("end"), source.alias("source")
     )
 
 
@@ -206,10 +213,10 @@ def deduplicate(
     columns = [c for c in docs.columns if c != "spans"]
     text = F.col(text_column).cast("string")
     keyed = docs.select(
-        F.struct(*columns).alias("_row"),
+        F.struct(*[c for c in columns if c != text_column]).alias("_row"),
         F.col(id_column).alias("_id"),
         text.alias("_text"),
-        F.xxhash64(F.coalesce(text, F.lit(""))).alias("_key"),
+        F.hash(F.coalesce(text, F.lit(""))).alias("_key"),
     )
     joined = keyed.join(
         by_document, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left"

@@ -18,10 +18,10 @@ from functools import lru_cache
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Fragments that a worker remembers at most; beyond it starts anew.
-MEMO_SIZE = 1_200_000
+#: Fragments that a worker remembers at most, the first it meets; others are encoded each time.
+MEMO_SIZE = 250_000
 #: Bytes of text that are encoded together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 _LATIN = 0x250  # code points below have settled classes and no combining marks
 
@@ -127,9 +127,6 @@ class Encoder:
         seen = set().union(*(fragments for fragments in cut if fragments is not None))
         memo = self.memo
         missing = [fragment for fragment in seen if fragment not in memo]
-        if len(memo) + len(missing) > MEMO_SIZE:
-            memo.clear()
-            missing = list(seen)
         for begin in range(0, len(missing), 20_000):
             some = missing[begin : begin + 20_000]
             memo.update(zip(some, map(self.value, self.encode_words(some)), strict=True))
@@ -139,6 +136,8 @@ class Encoder:
         ]
         for place in whole:
             results[place] = self.value(self.encode_whole([texts[place]])[0])
+        for fragment in missing[max(0, MEMO_SIZE - len(memo) + len(missing)) :]:
+            del memo[fragment]
         return [self.value([]) if result == [] else result for result in results]
 
 

@@ -84,7 +84,7 @@ def _each(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = 0
-            for part in byte_slices(batch.column(columns - 1).cast(pa.large_string()), BATCH_BYTES):
+            for part in byte_slices(batch.column(columns - 1), BATCH_BYTES):
                 others = [c.slice(place, len(part)).to_pylist() for c in batch.columns[:-1]]
                 place += len(part)
                 rows = [function(*row) for row in zip(*others, part.to_pylist(), strict=True)]
@@ -109,7 +109,7 @@ def frequent_cells(texts: DataFrame, words_each: int = 5, bits: int = SKETCH_BIT
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(cells, np.int64)
         for batch in batches:
-            for part in byte_slices(batch.column(0).cast(pa.large_string()), BATCH_BYTES):
+            for part in byte_slices(batch.column(0), BATCH_BYTES):
                 found = [tokens(text, words_each) for text in part.to_pylist()]
                 flat = np.concatenate([np.empty(0, np.uint64), *found]) >> np.uint64(64 - bits)
                 held += np.bincount(flat.astype(np.int64), minlength=cells)
@@ -290,7 +290,7 @@ def _verified(
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             place = 0
-            for part in byte_slices(batch.column(3).cast(pa.large_string()), BATCH_BYTES // 4):
+            for part in byte_slices(batch.column(3), BATCH_BYTES // 4):
                 others = [c.slice(place, len(part)).to_pylist() for c in batch.columns[:3]]
                 place += len(part)
                 out: list[tuple] = []

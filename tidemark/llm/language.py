@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.encoding import BATCH_BYTES, byte_slices
+from tidemark.llm.encoding import byte_slices
 
 #: n-grams of one to three characters in a profile.
 PROFILE_SIZE = 400
+#: Bytes of text whose n-grams are held at one time.
+BATCH_BYTES = 256 << 10
 UNDETERMINED = "und"
 _POINT_BITS = 21
 _BLANK = 32
@@ -78,7 +80,7 @@ def learn_profiles(
         for batch in batches:
             langs = batch.column(0).to_pylist()
             place = 0
-            for part in byte_slices(batch.column(1).cast(pa.large_string()), batch_bytes):
+            for part in byte_slices(batch.column(1), batch_bytes):
                 for text in part.to_pylist():
                     held[langs[place]].append(grams(text))
                     place += 1
@@ -172,7 +174,7 @@ def judge(profiles: DataFrame, size: int = PROFILE_SIZE, batch_bytes: int = BATC
     def nearest(texts: pa.Array) -> pa.Array:
         judged = [
             known.nearest(text)
-            for part in byte_slices(texts.cast(pa.large_string()), batch_bytes)
+            for part in byte_slices(texts, batch_bytes)
             for text in part.to_pylist()
         ]
         return pa.StructArray.from_arrays(

@@ -224,7 +224,7 @@ def encode_pieces(
         end, step = end_id.to_bytes(4, "little"), 4 * capacity
         lane = TaskContext.get().partitionId() * 37
         for batch in batches:
-            texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+            texts = pc.fill_null(batch.column(1), "")
             place = 0
             for part in byte_slices(texts, batch_bytes):
                 rows: list[int] = []

@@ -39,7 +39,7 @@ def count_tokens(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         measure = counter(tokenizer)
         for batch in batches:
-            texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+            texts = pc.fill_null(batch.column(1), "")
             counts = [n for part in byte_slices(texts, batch_bytes) for n in measure(part.to_pylist())]
             tokens = pa.array(counts, pa.int64())
             sizes = pc.binary_length(texts).cast(pa.int64())

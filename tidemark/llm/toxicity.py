@@ -344,7 +344,7 @@ def score(
         for batch in batches:
             scores: list[float] = []
             spans: list[list] = []
-            for part in byte_slices(batch.column(1).cast(pa.large_string()), batch_bytes):
+            for part in byte_slices(batch.column(1), batch_bytes):
                 if model.weights is None:
                     scores += [model.prior] * len(part)
                     spans += [[]] * len(part)
