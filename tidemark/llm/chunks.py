@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.encoding import BATCH_BYTES, byte_slices
+from tidemark.llm.encoding import BATCH_BYTES, byte_slices, release
 
 #: Bytes that decide about a boundary: as many as a 16-bit gear hash remembers.
 WINDOW = 16
@@ -137,6 +137,7 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
                     batch.column(0).take(held),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, CHUNK)
+            release()
 
     return docs.mapInArrow(
         cut,
@@ -242,7 +243,10 @@ def deduplicate(
                 rows.append({"text": new, "spans": gone})
             else:
                 rows.append({"text": old.as_py(), "spans": []})
-        return pa.array(rows, target)
+        result = pa.array(rows, target)
+        del rows
+        release()
+        return result
 
     done = joined.select("_row", cut("_text", "_found").alias("_done"))
     return done.select(

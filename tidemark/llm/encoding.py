@@ -8,6 +8,7 @@ cuts could be read differently here and in the library are left to the library a
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
@@ -63,6 +64,14 @@ def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
         yield texts.slice(begin)
 
 
+def release() -> None:
+    """Hands freed memory back: Python workers live on between stages beside their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class Encoder:
     """Encodes texts with one vocabulary; ``value`` turns the ids of a fragment into what is kept
     for it, and ``total`` the kept values of a text's fragments into its result."""
@@ -86,7 +95,11 @@ class Encoder:
                 e.ids for e in vocabulary.encode_batch_fast(texts, add_special_tokens=False)
             ]
 
-        self.encode_whole = self.encode_words = ids_of(Tokenizer.from_file(path))
+        @lru_cache(maxsize=1)
+        def whole() -> Callable:
+            return ids_of(Tokenizer.from_file(path))
+
+        self.encode_whole = self.encode_words = lambda texts: whole()(texts)
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         cut, norm = described["pre_tokenizer"] or {}, described["normalizer"]

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.encoding import BATCH_BYTES, byte_slices
+from tidemark.llm.encoding import BATCH_BYTES, byte_slices, release
 from tidemark.llm.graph import Scratch, components, kept
 
 #: The sketch has 2^SKETCH_BITS counters, whatever the corpus.
@@ -123,6 +123,7 @@ def frequent_cells(texts: DataFrame, words_each: int = 5, bits: int = SKETCH_BIT
             ],
             ["block", "lane", "counts"],
         )
+        release()
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(zlib.decompress(c), np.int64) for c in group["counts"])
@@ -214,6 +215,7 @@ def signatures(
                 columns = [ids.slice(place, made.num_rows), *made.columns]
                 place += made.num_rows
                 yield pa.RecordBatch.from_arrays(columns, ["id", *schema.names])
+            release()
 
     kind = docs.schema[id_column].dataType.simpleString()
     chosen = docs.select(F.col(id_column).alias("id"), F.col(text_column).cast("string"))
@@ -307,6 +309,7 @@ def _verified(
                             out, held = [], 0
                 if out:
                     yield as_batch(out)
+            release()
 
     def as_batch(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)

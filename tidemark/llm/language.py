@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.encoding import byte_slices
+from tidemark.llm.encoding import byte_slices, release
 
 #: n-grams of one to three characters in a profile.
 PROFILE_SIZE = 400
@@ -96,6 +96,7 @@ def learn_profiles(
                 ],
                 ["lang", "gram", "n"],
             )
+        release()
 
     taught = docs.select(
         F.col(lang_column).cast("string").alias("lang"),
@@ -177,6 +178,7 @@ def judge(profiles: DataFrame, size: int = PROFILE_SIZE, batch_bytes: int = BATC
             for part in byte_slices(texts, batch_bytes)
             for text in part.to_pylist()
         ]
+        release()
         return pa.StructArray.from_arrays(
             [
                 pa.array([j[0] for j in judged], pa.string()),

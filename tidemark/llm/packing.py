@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.encoding import BATCH_BYTES, byte_slices, encoder
+from tidemark.llm.encoding import BATCH_BYTES, byte_slices, encoder, release
 from tidemark.session import scratch_dir
 
 #: Lengths above this share of the capacity are grouped.
@@ -254,6 +254,7 @@ def encode_pieces(
                     )
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     schema = f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long, lane int"
     return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(
