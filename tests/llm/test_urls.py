@@ -77,3 +77,18 @@ def test_trees_learn_from_labels(spark):
     assert right >= 0.95 * len(judged)
     assert all(0 <= r.score <= 1 for r in judged)
     assert urls.judge(held.limit(0), (), model).collect() == []
+
+
+def test_sampled_classes_keep_their_shares(spark):
+    rng = random.Random(5)
+    rows = [
+        (k, f"http://a.org/{rng.randrange(10**9)}", int(rng.random() < 0.2))
+        for k in range(4000)
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, label int")
+    blocked = {}
+    for cap in (300, 10_000):  # below and above both classes
+        model = urls.fit(pages.where("page_id < 3000"), sample=cap, rounds=5, depth=2)
+        judged = urls.judge(pages.where("page_id >= 3000"), (), model)
+        blocked[cap] = judged.where("verdict = 'block'").count()
+    assert blocked[10_000] <= 10 and blocked[300] <= 10, blocked

@@ -106,8 +106,9 @@ def fit(
     """(trees, suffix shares, overall share of label 1) of labelled URLs.
 
     Shares cover all labelled rows; the trees see at most ``sample`` URLs of each class, those
-    with the smallest hash. Rows without a URL or a label of 0 or 1 teach nothing, and without
-    both classes there are no trees.
+    with the smallest hash, each weighing as many URLs of its class as it stands for, so the
+    classes keep their true shares. Rows without a URL or a label of 0 or 1 teach nothing, and
+    without both classes there are no trees.
     """
     known = labelled.select(
         F.col(url_column).alias("url"), F.col(label_column).cast("int").alias("label")
@@ -130,11 +131,15 @@ def fit(
         for label in (0, 1)
     ]
     taught = _with_share(reduce(DataFrame.unionByName, drawn), shares, overall)
+    stands_for = {label: max(n / sample, 1.0) for label, n in counts.items()}
+    weight = F.when(F.col("label") == 1, stands_for[1]).otherwise(stands_for[0])
+    taught = taught.withColumn("_weight", weight)
     assembler = VectorAssembler(inputCols=[f"_{name}" for name in FEATURES], outputCol="_features")
     trees = GBTClassifier(
-        featuresCol="_features", labelCol="label", maxIter=rounds, maxDepth=depth, seed=seed
+        featuresCol="_features", labelCol="label", weightCol="_weight", maxIter=rounds,
+        maxDepth=depth, seed=seed,
     )
-    model = trees.fit(assembler.transform(taught).select("_features", "label"))
+    model = trees.fit(assembler.transform(taught).select("_features", "label", "_weight"))
     return PipelineModel([assembler, model]), shares, overall
 
 
