@@ -98,3 +98,24 @@ def test_query_shape(spark, testdata):
     assert values(rows, "doc_id") == values(
         spark.read.parquet(f"{testdata}/documents.parquet"), "doc_id"
     )
+
+
+def test_scores_keep_the_true_share(spark):
+    # A word in 60 % of the toxic tenth and in 20 % of the others: not toxic more often than not.
+    rows = []
+    for k in range(2000):
+        toxic = int(k % 10 == 0)
+        words = prose(k, 30).split()
+        if k // 10 % 10 < (6 if toxic else 2):
+            words[k % 20] = "snarkly"
+        rows.append((k, " ".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    counts = toxicity.counted(docs)
+    assert counts == {0: 1800, 1: 200}
+    flagged = {}
+    for cap in (180, 5000):  # below and above both classes
+        model = toxicity.fit(*toxicity.sample(docs, docs, documents=cap), of_class=counts)
+        scored = [model.score(odds) for odds, _ in model.documents([r[1] for r in rows])]
+        assert abs(sum(scored) / len(scored) - 0.1) < 0.04
+        flagged[cap] = sum(s >= 0.5 for s in scored)
+    assert max(flagged.values()) <= 100, flagged

@@ -4,8 +4,8 @@ Labels come by document. A word of a toxic sample document counts as labelled to
 features (the word, its prefixes and suffixes) is about as telling of toxic documents as any in
 that document. The field is fitted to these words, in chains of up to ``CHAIN`` words, by gradient
 ascent on the conditional likelihood. Scoring takes all chains of a whole text: marginals give
-the offending offsets, and the probability that any word is toxic, calibrated on the sample,
-gives the score.
+the offending offsets, and the probability that any word is toxic, calibrated on the sample with
+the classes at their true shares, gives the score.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import math
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -205,8 +205,17 @@ def _without_copies(words: list[list[str]]) -> list[int]:
     return kept
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS) -> Model:
-    """The field of a sample of labelled documents; of copies the first one counts."""
+def fit(
+    texts: list[str],
+    labels: list[int],
+    rounds: int = ROUNDS,
+    of_class: Mapping[int, int] | None = None,
+) -> Model:
+    """The field of a sample of labelled documents; of copies the first one counts.
+
+    ``of_class`` has the number of documents of each class the sample stands for (``counted``);
+    without it the sample's own shares are taken as the true ones.
+    """
     model = Model(sum(labels) / len(labels) if labels else 0.0)
     words = [WORD.findall(text.lower()) for text in texts]
     kept = _without_copies(words)
@@ -263,24 +272,53 @@ def fit(texts: list[str], labels: list[int], rounds: int = ROUNDS) -> Model:
             held += 0.3 * np.clip(slope * rate, -1, 1)
             value += held
     odds = np.array([o for o, _ in model.documents(list(texts))])
-    model.calibration = _calibrate(odds, np.array(labels, float))
+    truth = np.array(labels)
+    model.calibration = _calibrate(odds, truth.astype(float), _weights(truth, of_class))
     model.memo.clear()
     return model
 
 
-def _calibrate(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+def _weights(labels: np.ndarray, of_class: Mapping[int, int] | None) -> np.ndarray:
+    """Weights, 1 on average, by which both classes have the shares they have in ``of_class``."""
+    drawn = np.bincount(labels, minlength=2)
+    held = np.array([of_class.get(0, 0), of_class.get(1, 0)]) if of_class else drawn
+    if not drawn.all() or not held.all():
+        return np.ones(len(labels))
+    return (held / held.sum() * len(labels) / drawn)[labels]
+
+
+def _calibrate(odds: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve, held back by a small penalty; the slope stays positive."""
     slope, shift = 1.0, 0.0
     for _ in range(300):
         p = 1 / (1 + np.exp(-np.clip(slope * odds + shift, -60, 60)))
-        gap = labels - p
-        curve = np.maximum(p * (1 - p), 1e-4)
+        gap = weights * (labels - p)
+        curve = weights * np.maximum(p * (1 - p), 1e-4)
         shift += 0.5 * (gap.sum() - 0.1 * shift) / (curve.sum() + 0.1)
         slope += 0.5 * ((gap * odds).sum() - 0.1 * (slope - 1)) / ((curve * odds**2).sum() + 0.1)
         slope = max(slope, 0.05)
     return float(slope), float(shift)
 
 
+def _marked(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
+    return (
+        labels.select(
+            F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("_label")
+        )
+        .where("_id IS NOT NULL AND _label IN (0, 1)")
+        .groupBy("_id")
+        .agg(F.max("_label").alias("_label"))
+    )
+
+
+def counted(
+    labels: DataFrame, *, id_column: str = "doc_id", label_column: str = "toxic"
+) -> dict[int, int]:
+    """The number of labelled ids of each class, of all that ``sample`` draws from."""
+    classes = _marked(labels, id_column, label_column).groupBy("_label").count()
+    return {r["_label"]: r["count"] for r in classes.collect()}
+
+
 def sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -296,14 +334,7 @@ def sample(
     Ids are chosen from the labels alone; longer texts than ``characters`` are passed over, as
     are ids that are null, repeated labels, and labels other than 0 and 1.
     """
-    marked = (
-        labels.select(
-            F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("_label")
-        )
-        .where("_id IS NOT NULL AND _label IN (0, 1)")
-        .groupBy("_id")
-        .agg(F.max("_label").alias("_label"))
-    )
+    marked = _marked(labels, id_column, label_column)
     chosen = None
     for label in (0, 1):
         some = marked.where(F.col("_label") == label)
