@@ -115,7 +115,28 @@ def test_scores_keep_the_true_share(spark):
     flagged = {}
     for cap in (180, 5000):  # below and above both classes
         model = toxicity.fit(*toxicity.sample(docs, docs, documents=cap), of_class=counts)
-        scored = [model.score(odds) for odds, _ in model.documents([r[1] for r in rows])]
+        scored = [model.score(odds, n) for odds, _, n in model.documents([r[1] for r in rows])]
         assert abs(sum(scored) / len(scored) - 0.1) < 0.04
         flagged[cap] = sum(s >= 0.5 for s in scored)
     assert max(flagged.values()) <= 100, flagged
+
+
+def test_long_clean_documents_are_not_flagged(spark):
+    rows = []
+    for k in range(400):
+        toxic, size = int(k % 4 == 0), 4000 if k % 10 == 9 else 60
+        words = prose(k, size).split()
+        if toxic:
+            words[k % 50] = ("grubbish", "snarkly")[k % 2]
+        elif k % 8 == 1:
+            words[k % 50] = "grubby"
+        rows.append((k, " ".join(words), toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.where("doc_id < 300")
+    first = toxicity.fit(*toxicity.sample(docs, labels), of_class=toxicity.counted(labels))
+    model = toxicity.calibrated(first, docs, labels)
+    held = docs.where("doc_id >= 300")
+    judged = toxicity.score(held, model).join(held, "doc_id").collect()
+    long = [r for r in judged if len(r.text) > toxicity.SAMPLE_CHARACTERS and not r.toxic]
+    assert len(long) == 10 and sum(r.predicted for r in long) == 0
+    assert sum(r.predicted == r.toxic for r in judged) >= 90

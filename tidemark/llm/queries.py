@@ -36,7 +36,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~held_out(5, 0))
     texts, toxic = toxicity.sample(docs, labels)
-    model = toxicity.fit(texts, toxic, of_class=toxicity.counted(labels))
+    model = toxicity.calibrated(toxicity.fit(texts, toxic), docs, labels)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "spans")
 

@@ -4,8 +4,8 @@ Labels come by document. A word of a toxic sample document counts as labelled to
 features (the word, its prefixes and suffixes) is about as telling of toxic documents as any in
 that document. The field is fitted to these words, in chains of up to ``CHAIN`` words, by gradient
 ascent on the conditional likelihood. Scoring takes all chains of a whole text: marginals give
-the offending offsets, and the probability that any word is toxic, calibrated on the sample with
-the classes at their true shares, gives the score.
+the offending offsets, and the probability that any word is toxic, calibrated with the number of
+words, on documents of all lengths and with the classes at their true shares, gives the score.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.encoding import BATCH_BYTES, MEMO_SIZE, byte_slices
 
-#: Labelled documents of each class that the field is fitted to, at most, and their characters.
+#: Labelled documents of each class, at most, that the field is fitted to (of so many characters
+#: at most) and that it is calibrated on (of any length).
 SAMPLE_DOCUMENTS = 1500
 SAMPLE_CHARACTERS = 12_000
 CHAIN = 64
@@ -116,7 +117,7 @@ class Model:
     weights: np.ndarray | None = None
     start: np.ndarray | None = None
     move: np.ndarray | None = None
-    calibration: tuple[float, float] = (1.0, 0.0)
+    calibration: tuple[float, float, float] = (1.0, 0.0, 0.0)
     memo: dict[str, float] = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
@@ -128,8 +129,10 @@ class Model:
         weights = self.weights[np.array([s for some in slots for s in some])]
         self.memo.update(zip(words, np.add.reduceat(weights, first).tolist(), strict=True))
 
-    def documents(self, texts: list[str]) -> Iterator[tuple[float, list[tuple[int, int, float]]]]:
-        """(raw log-odds of any toxic word, spans) of each text."""
+    def documents(
+        self, texts: list[str]
+    ) -> Iterator[tuple[float, list[tuple[int, int, float]], int]]:
+        """(raw log-odds of any toxic word, spans, number of words) of each text."""
         words = [WORD.findall(text.lower()) for text in texts]
         if len(self.memo) > MEMO_SIZE:
             self.memo.clear()
@@ -151,7 +154,7 @@ class Model:
         for at, text in enumerate(texts):
             any_toxic = -math.expm1(min(clear[at], -1e-12))
             odds = math.log(any_toxic) - max(clear[at], -700.0)
-            yield odds, self._spans(text, hits[at]) if at in hits else []
+            yield odds, self._spans(text, hits[at]) if at in hits else [], int(sizes[at])
 
     @staticmethod
     def _spans(text: str, hits: list[tuple[int, float]]) -> list[tuple[int, int, float]]:
@@ -168,9 +171,10 @@ class Model:
             before = place
         return spans
 
-    def score(self, odds: float) -> float:
-        slope, shift = self.calibration
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, slope * odds + shift))))
+    def score(self, odds: float, words: int) -> float:
+        slope, shift, length = self.calibration
+        raw = slope * odds + shift + length * math.log(words) if words else -60.0
+        return 1 / (1 + math.exp(-max(-60.0, min(60.0, raw))))
 
 
 def _evidence(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> dict[str, float]:
@@ -271,9 +275,8 @@ def fit(
             held *= 0.8
             held += 0.3 * np.clip(slope * rate, -1, 1)
             value += held
-    odds = np.array([o for o, _ in model.documents(list(texts))])
-    truth = np.array(labels)
-    model.calibration = _calibrate(odds, truth.astype(float), _weights(truth, of_class))
+    found = [(o, n) for o, _, n in model.documents(list(texts))]
+    model.calibration = _calibrate(*np.array(found).T, np.array(labels), of_class)
     model.memo.clear()
     return model
 
@@ -287,17 +290,44 @@ def _weights(labels: np.ndarray, of_class: Mapping[int, int] | None) -> np.ndarr
     return (held / held.sum() * len(labels) / drawn)[labels]
 
 
-def _calibrate(odds: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, held back by a small penalty; the slope stays positive."""
-    slope, shift = 1.0, 0.0
-    for _ in range(300):
-        p = 1 / (1 + np.exp(-np.clip(slope * odds + shift, -60, 60)))
-        gap = weights * (labels - p)
-        curve = weights * np.maximum(p * (1 - p), 1e-4)
-        shift += 0.5 * (gap.sum() - 0.1 * shift) / (curve.sum() + 0.1)
-        slope += 0.5 * ((gap * odds).sum() - 0.1 * (slope - 1)) / ((curve * odds**2).sum() + 0.1)
-        slope = max(slope, 0.05)
-    return float(slope), float(shift)
+def _calibrate(
+    odds: np.ndarray, words: np.ndarray, labels: np.ndarray, of_class: Mapping[int, int] | None
+) -> tuple[float, float, float]:
+    """Slope, shift and weight of log(words) of a logistic curve; the slope stays positive.
+
+    The chance of any toxic word adds up over the words, which the third one makes up for. All are
+    held back by a small penalty. Texts without a word do not count, their score is fixed.
+    """
+    some = words > 0
+    odds, words, labels = odds[some], words[some], labels[some]
+    weights = _weights(labels, of_class)
+    middle = float(np.log(words).mean()) if len(words) else 0.0
+    inputs = np.stack([odds, np.ones(len(odds)), np.log(words) - middle], 1)
+    held, wanted = np.array([1.0, 0.0, 0.0]), np.array([1.0, 0.0, 0.0])
+
+    def loss(at: np.ndarray) -> float:
+        raw = inputs @ at
+        return weights @ (np.logaddexp(0, raw) - labels * raw) + 0.05 * ((at - wanted) ** 2).sum()
+
+    # Newton steps, halved until they help; a slope that falls below its bound stays there.
+    for free in (np.arange(3), np.arange(1, 3)):
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(inputs @ held, -60, 60)))
+            down = (inputs.T @ (weights * (labels - p)) - 0.1 * (held - wanted))[free]
+            curve = (inputs * (weights * p * (1 - p))[:, None]).T @ inputs + 0.1 * np.eye(3)
+            step = np.zeros(3)
+            step[free] = np.linalg.solve(curve[np.ix_(free, free)], down)
+            now = loss(held)
+            while np.abs(step).max() > 1e-9 and loss(held + step) > now:
+                step /= 2
+            if np.abs(step).max() <= 1e-9:
+                break
+            held = held + step
+        if held[0] >= 0.05:
+            break
+        held[0] = 0.05
+    slope, shift, length = held.tolist()
+    return slope, shift - length * middle, length
 
 
 def _marked(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
@@ -311,6 +341,16 @@ def _marked(labels: DataFrame, id_column: str, label_column: str) -> DataFrame:
     )
 
 
+def _chosen(labels: DataFrame, id_column: str, label_column: str, documents: int) -> DataFrame:
+    marked = _marked(labels, id_column, label_column)
+    chosen = None
+    for label in (0, 1):
+        some = marked.where(F.col("_label") == label)
+        some = some.orderBy(F.xxhash64("_id"), "_id").limit(documents)
+        chosen = some if chosen is None else chosen.unionByName(some)
+    return chosen
+
+
 def counted(
     labels: DataFrame, *, id_column: str = "doc_id", label_column: str = "toxic"
 ) -> dict[int, int]:
@@ -334,12 +374,7 @@ def sample(
     Ids are chosen from the labels alone; longer texts than ``characters`` are passed over, as
     are ids that are null, repeated labels, and labels other than 0 and 1.
     """
-    marked = _marked(labels, id_column, label_column)
-    chosen = None
-    for label in (0, 1):
-        some = marked.where(F.col("_label") == label)
-        some = some.orderBy(F.xxhash64("_id"), "_id").limit(documents)
-        chosen = some if chosen is None else chosen.unionByName(some)
+    chosen = _chosen(labels, id_column, label_column, documents)
     texts = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).where(
         (F.length("_text") > 0) & (F.length("_text") <= characters)
     )
@@ -351,6 +386,51 @@ def sample(
     return [r["_text"] for r in rows], [r["_label"] for r in rows]
 
 
+def calibrated(
+    model: Model,
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "toxic",
+    documents: int = SAMPLE_DOCUMENTS,
+    batch_bytes: int = BATCH_BYTES,
+) -> Model:
+    """``model`` calibrated on at most ``documents`` labelled texts of each class, of any length.
+
+    The ids are those ``sample`` starts from. Their texts are scored whole in Spark tasks; three
+    numbers of each reach the driver. Of repeated ids the first text in order counts. Without
+    scored texts of both classes the model stays as it is.
+    """
+    if model.weights is None:
+        return model
+    chosen = F.broadcast(_chosen(labels, id_column, label_column, documents))
+    texts = (
+        docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text"))
+        .where(F.length("_text") > 0)
+        .join(chosen, "_id")  # at most twice ``documents`` ids
+        .groupBy("_id", "_label")
+        .agg(F.min("_text").alias("_text"))
+        .select("_label", "_text")
+    )
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = byte_slices(batch.column(1), batch_bytes)
+            found = [(o, n) for part in parts for o, _, n in model.documents(part.to_pylist())]
+            odds = pa.array([o for o, _ in found], pa.float64())
+            words = pa.array([n for _, n in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), odds, words], ["label", "odds", "words"])
+
+    rows = texts.mapInArrow(measure, "label int, odds double, words long").where("words > 0").collect()
+    if len({r["label"] for r in rows}) < 2:
+        return model
+    label, odds, words = (np.array([r[k] for r in sorted(rows)]) for k in ("label", "odds", "words"))
+    of_class = counted(labels, id_column=id_column, label_column=label_column)
+    return replace(model, calibration=_calibrate(odds, words, label, of_class), memo={})
+
+
 def score(
     docs: DataFrame,
     model: Model,
@@ -380,8 +460,8 @@ def score(
                     scores += [model.prior] * len(part)
                     spans += [[]] * len(part)
                     continue
-                for odds, found in model.documents([text or "" for text in part.to_pylist()]):
-                    scores.append(model.score(odds))
+                for odds, found, words in model.documents([text or "" for text in part.to_pylist()]):
+                    scores.append(model.score(odds, words))
                     spans.append([dict(zip(("begin", "end", "probability"), f)) for f in found])
             values = np.array(scores)
             yield pa.RecordBatch.from_arrays(
