@@ -92,3 +92,20 @@ def test_sampled_classes_keep_their_shares(spark):
         judged = urls.judge(pages.where("page_id >= 3000"), (), model)
         blocked[cap] = judged.where("verdict = 'block'").count()
     assert blocked[10_000] <= 10 and blocked[300] <= 10, blocked
+
+
+def test_every_suffix_has_its_share(spark):
+    labelled = spark.range(24_000).select(  # 12,000 sites, every tenth of label 1
+        F.concat(F.lit("http://s"), F.expr("id % 12000"), F.lit(".org/"), F.col("id")).alias("url"),
+        F.expr("cast(id % 12000 % 10 = 0 AS int)").alias("label"),
+    )
+    _, shares, overall = urls.fit(labelled, sample=200, rounds=1, depth=1)
+    assert shares.count() == 12_000
+    found = {r["_suffix"]: r["_share"] for r in shares.collect()}
+    assert math.isclose(found["s9990.org"], (2 + urls.SMOOTHING * overall) / (2 + urls.SMOOTHING))
+    pages = labelled.union(spark.range(9000).selectExpr("concat('http://s7.org/x', id % 5)", "0"))
+    pages = urls.lexical(pages.union(spark.createDataFrame([("http://new.org", 0)], pages.schema)), "url")
+    for limit in (urls.BROADCAST_BYTES, 0):  # broadcast, and joined
+        joined = urls._with_share(pages, shares, overall, limit).select("_suffix", "_share").collect()
+        assert len(joined) == 33_001
+        assert all(r["_share"] == found.get(r["_suffix"], overall) for r in joined)

@@ -12,12 +12,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.graph import kept
+
 #: Labelled URLs of each class that the trees are fitted to, at most.
 SAMPLE_URLS = 20_000
 #: Weight of the overall share in a suffix's share of label 1.
 SMOOTHING = 20.0
-#: Suffixes whose share is learned, at most: the most frequent ones.
-SUFFIXES = 10_000
+#: Shares of suffixes of up to so many bytes are broadcast; more are joined.
+BROADCAST_BYTES = 8 << 20
+#: Where they are joined, rows of suffixes that hold more than one in so many are dealt over as many parts.
+PARTS = 64
 ALLOW, BLOCK = "allow", "block"
 FEATURES = (
     "length", "host_length", "path_length", "depth", "labels", "digits", "letters", "hyphens",
@@ -105,7 +109,7 @@ def fit(
 ) -> tuple[PipelineModel | None, DataFrame, float]:
     """(trees, suffix shares, overall share of label 1) of labelled URLs.
 
-    Shares cover all labelled rows; the trees see at most ``sample`` URLs of each class, those
+    Shares cover all labelled rows and all their suffixes, in the shared folder; the trees see at most ``sample`` URLs of each class, those
     with the smallest hash, each weighing as many URLs of its class as it stands for, so the
     classes keep their true shares. Rows without a URL or a label of 0 or 1 teach nothing, and
     without both classes there are no trees.
@@ -120,10 +124,7 @@ def fit(
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     overall = counts.get(1, 0) / max(sum(counts.values()), 1)
     share = (F.col("ones") + SMOOTHING * overall) / (F.col("of") + SMOOTHING)
-    shares = by_suffix.orderBy(F.desc("of"), "_suffix").limit(SUFFIXES)
-    shares = described.sparkSession.createDataFrame(
-        [tuple(r) for r in shares.select("_suffix", share).collect()], "_suffix string, _share double"
-    )
+    shares = kept(by_suffix.select("_suffix", share.alias("_share")), "suffix-shares")
     if len(counts) < 2:
         return None, shares, overall
     drawn = [
@@ -143,10 +144,23 @@ def fit(
     return PipelineModel([assembler, model]), shares, overall
 
 
-def _with_share(described: DataFrame, shares: DataFrame, overall: float) -> DataFrame:
-    return described.join(F.broadcast(shares), "_suffix", "left").withColumn(  # SUFFIXES rows
-        "_share", F.coalesce("_share", F.lit(overall))
-    )
+def _with_share(
+    described: DataFrame, shares: DataFrame, overall: float, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``described`` with ``_share``: its suffix's, or ``overall`` for one that was never labelled."""
+    share = F.coalesce("_share", F.lit(overall))
+    size = shares.agg(F.sum(F.octet_length("_suffix") + F.lit(16))).first()[0] or 0
+    if size <= broadcast_bytes:
+        return described.join(F.broadcast(shares), "_suffix", "left").withColumn("_share", share)
+    # Fewer than PARTS suffixes can hold more than one in PARTS of the rows.
+    often = described.groupBy("_suffix").count().where(F.col("count") > described.count() / PARTS)
+    often = F.broadcast(often.select("_suffix", F.lit(True).alias("_often")))
+    part = F.when(F.col("_often"), F.pmod(F.xxhash64(*described.columns), F.lit(PARTS))).otherwise(0)
+    parts = F.when(F.col("_often"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = described.join(often, "_suffix", "left").withColumn("_part", part.cast("int"))
+    spread = shares.join(often, "_suffix", "left").withColumn("_part", F.explode(parts)).drop("_often")
+    joined = dealt.join(spread, ["_suffix", "_part"], "left").withColumn("_share", share)
+    return joined.select(*described.columns, "_share")
 
 
 def judge(
