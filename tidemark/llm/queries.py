@@ -14,6 +14,7 @@ from tidemark.llm import (
     mixing,
     packing,
     projections,
+    search,
     tokens,
     toxicity,
     urls,
@@ -98,6 +99,10 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, RULES, urls.fit(labelled))
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 #: The rules (verdict, host, path) that the URLs are judged by.
 RULES = (
     ("allow", "com", "/"),
@@ -118,4 +123,5 @@ QUERIES = {
     "op8_mixing": (op8_mixing, mixing.mix_sql("documents")),
     "op9_jaccard": (op9_jaccard, None),
     "op10_urls": (op10_urls, None),
+    "op13_search": (op13_search, search.search_sql("documents", "benchmark")),
 }
