@@ -18,7 +18,9 @@ from tidemark.llm import (
     tokens,
     toxicity,
     urls,
+    warc,
 )
+from tidemark.session import scratch_dir
 
 CAPACITY = 4096
 
@@ -99,6 +101,14 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, RULES, urls.fit(labelled))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -123,5 +133,6 @@ QUERIES = {
     "op8_mixing": (op8_mixing, mixing.mix_sql("documents")),
     "op9_jaccard": (op9_jaccard, None),
     "op10_urls": (op10_urls, None),
+    "op11_warc": (op11_warc, warc.write_sql("pages")),
     "op13_search": (op13_search, search.search_sql("documents", "benchmark")),
 }
