@@ -17,6 +17,7 @@ from tidemark.llm import (
     search,
     tokens,
     toxicity,
+    trie,
     urls,
     warc,
 )
@@ -109,6 +110,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.spliced_paths(table(spark, sf_dir, "conversations")))
+
+
 def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -134,5 +139,6 @@ QUERIES = {
     "op9_jaccard": (op9_jaccard, None),
     "op10_urls": (op10_urls, None),
     "op11_warc": (op11_warc, warc.write_sql("pages")),
+    "op12_trie": (op12_trie, trie.trie_sql("conversations")),
     "op13_search": (op13_search, search.search_sql("documents", "benchmark")),
 }
