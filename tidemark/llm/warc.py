@@ -30,10 +30,12 @@ SHARD_BYTES = 64 << 20
 MOST_SHARDS = 4096
 #: Compressed bytes after which a shard goes on in a further file.
 ROLL_BYTES = 1 << 30
+#: What a record takes besides its payload, about.
+RECORD_BYTES = 512
 #: Payloads of fewer bytes are written whole each time.
 LEAST_REVISIT = 1000
-#: Ids, per shard, from which the bounds of the shards are taken.
-BOUNDS_SAMPLE = 16
+#: Rows, per shard, from which the bounds of the shards are taken.
+BOUNDS_SAMPLE = 64
 
 _READ_BYTES = 1 << 20
 _MANIFEST = T.StructType(
@@ -198,6 +200,13 @@ def _revisits(facts: DataFrame, least: int) -> DataFrame:
     return large.join(shared, "_key").groupBy("_id", "_key").agg(F.max("_first").alias("_first"))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time: Python's own copies of payloads stay small beside a batch."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def _shard_of(bounds: list[tuple]):
     @F.arrow_udf("int")
     def shard(ids: pa.Array, keys: pa.Array) -> pa.Array:
@@ -212,20 +221,28 @@ def _sorting(page, key: bytes) -> tuple:
 
 
 def _bounds(facts: DataFrame, shard_bytes: int, most: int) -> list[tuple]:
-    """First sort keys of all shards but the first, equally far apart in a sample.
+    """First sort keys of all shards but the first, with equal bytes between them in a sample.
 
     The sample holds the rows with the least hashes, and the number of shards follows from the
     bytes, so both depend on the rows alone and not on how Spark happens to deal them.
     """
-    size = facts.agg(F.sum(F.octet_length("_payload").cast("long") + 512)).first()[0] or 0
+    held = F.octet_length("_payload").cast("long") + RECORD_BYTES
+    size = facts.agg(F.sum(held)).first()[0] or 0
     shards = max(1, min(most, -(-size // shard_bytes)))
     if shards == 1:
         return []
-    mark = F.xxhash64("_id", "_key")
-    sample = facts.select("_id", "_key", mark.alias("_mark")).orderBy("_mark", "_id", "_key")
+    mark = F.xxhash64("_id", "_key").alias("_mark")
+    sample = facts.select("_id", "_key", held.alias("_held"), mark).orderBy("_mark", "_id", "_key")
     sample = sample.limit(shards * BOUNDS_SAMPLE).collect()  # at most MOST_SHARDS times as many
-    keys = sorted(_sorting(row["_id"], bytes(row["_key"])) for row in sample)
-    return sorted({keys[k * len(keys) // shards] for k in range(1, shards)})
+    rows = sorted((_sorting(row["_id"], bytes(row["_key"])), row["_held"]) for row in sample)
+    each = sum(held for _, held in rows) / shards
+    bounds, before = set(), 0
+    for key, held in rows:
+        # The first row of a share begins a shard; a row larger than a share has one to itself.
+        if before // each != (before + held) // each and before:
+            bounds.add(key)
+        before += held
+    return sorted(bounds)
 
 
 def write(
@@ -301,8 +318,8 @@ def write(
         file = group = first = None
         ordinal = 0
         with contextlib.ExitStack() as open_:
-            for batch in batches:
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for some in _slices(batches):
+                for row in zip(*(c.to_pylist() for c in some.columns), strict=True):
                     shard, page, key, url, payload, is_page, target, is_first = row
                     if group != (shard, page, key):
                         group, first, ordinal = (shard, page, key), None, 0
