@@ -65,3 +65,30 @@ def test_matches_sql(spark):
     order = ["doc_id", "source", "copy", "mix_key", "text_md5"]
     want = sorted((tuple(r[found.columns.index(c)] for c in order) for r in found.fetchall()), key=repr)
     assert values(mixed, *order) == want
+
+
+def test_large_rates_keep_the_variance(spark):
+    """A source repeated 50 times on average has counts that vary like a Poisson number of mean 50."""
+    docs = spark.range(5000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < 4000, "small").otherwise("rest").alias("source")
+    )
+    mixed = mixing.mix(docs, {"small": 1, "rest": 1}, total=400_000)
+    counts = mixed.where("source = 'small'").groupBy("doc_id").count()
+    row = counts.agg(F.avg("count"), F.var_samp("count"), F.count("*")).first()
+    assert row[2] == 4000
+    assert abs(row[0] - 50) < 6 * math.sqrt(50 / 4000)
+    assert abs(row[1] - 50) < 6 * 50 * math.sqrt(2 / 4000)
+
+
+def test_large_rates_match_sql(spark):
+    rows = [(k, "rare" if k < 3 else "common", f"t{k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mixed = mixing.mix(docs).withColumn("text_md5", F.md5("text"))
+    assert mixed.where("source = 'rare'").count() > 90
+    duck = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841
+    duck.register("documents", documents)
+    found = duck.sql(mixing.mix_sql("documents"))
+    order = ["doc_id", "source", "copy", "mix_key", "text_md5"]
+    want = sorted((tuple(r[found.columns.index(c)] for c in order) for r in found.fetchall()), key=repr)
+    assert values(mixed, *order) == want

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Means above this are split into a whole number of sure copies and a Poisson rest.
+#: A larger mean is drawn in equal parts of at most this, independent of each other, and summed:
+#: sums of Poisson numbers are Poisson again, while exp(-mean) of a large mean would vanish.
 LARGEST_MEAN = 16
 #: Rates of up to so many sources are broadcast; those of more are joined.
 BROADCAST_SOURCES = 100_000
@@ -81,13 +82,23 @@ def mix(
     if sums[1] <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
     uniform = hashed(seed, F.col(id_column)) / F.lit(float(1 << 4 * _DIGITS))
-    sure = F.greatest(F.floor(F.col("_rate")) - (LARGEST_MEAN - 1), F.lit(0)).cast("int")
+    parts = F.greatest(F.ceil(F.col("_rate") / LARGEST_MEAN), F.lit(1)).cast("int")
+    mean = F.col("_rate") / F.col("_parts")
+
+    def more(count: Column, part: Column) -> Column:
+        own = hashed(seed, F.col(id_column), part) / F.lit(float(1 << 4 * _DIGITS))
+        return count + poisson(mean, own)
+
+    further = F.when(
+        F.col("_parts") > 1,
+        F.aggregate(F.sequence(F.lit(1), F.greatest(F.col("_parts") - 1, F.lit(1))), F.lit(0), more),
+    ).otherwise(F.lit(0))
     kept = [c for c in docs.columns if c not in ("copy", "mix_key")]
     drawn = (
         docs.select(*kept, source.alias("_source"))
         .join(rates, "_source")
-        .withColumn("_sure", sure)
-        .withColumn("_count", F.col("_sure") + poisson(F.col("_rate") - F.col("_sure"), uniform))
+        .withColumn("_parts", parts)
+        .withColumn("_count", poisson(mean, uniform) + further)
         .where("_count > 0")
         .select(*kept, F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("copy"))
         .withColumn("mix_key", hashed(seed + 1, F.col(id_column), F.col("copy")))
@@ -109,21 +120,29 @@ def mix_sql(table: str, *, seed: int = 7) -> str:
 WITH RECURSIVE held AS (SELECT source, cast(count(*) AS double) AS held FROM {table} GROUP BY source),
 rates AS (
   SELECT source, (SELECT sum(held) FROM held) * 1.0 / (SELECT count(*) FROM held) / held AS rate FROM held),
-split AS (SELECT source, rate, cast(greatest(floor(rate) - {LARGEST_MEAN - 1}, 0) AS integer) AS sure FROM rates),
+split AS (
+  SELECT source, cast(greatest(ceil(rate / {LARGEST_MEAN}), 1) AS integer) AS parts,
+         rate / greatest(ceil(rate / {LARGEST_MEAN}), 1) AS mean
+  FROM rates),
 steps AS (
-  SELECT source, 0 AS k, exp(-(rate - sure)) AS p, exp(-(rate - sure)) AS total FROM split
+  SELECT source, 0 AS k, exp(-mean) AS p, exp(-mean) AS total FROM split
   UNION ALL
-  SELECT s.source, k + 1, p * (rate - sure) / (k + 1), total + p * (rate - sure) / (k + 1)
+  SELECT s.source, k + 1, p * mean / (k + 1), total + p * mean / (k + 1)
   FROM steps s JOIN split r ON s.source IS NOT DISTINCT FROM r.source WHERE k < {6 * LARGEST_MEAN + 20}),
 levels AS (SELECT source, k, total, max(total) OVER (PARTITION BY source) AS top FROM steps),
 draws AS (
-  SELECT d.doc_id, d.source, d.text, s.sure, {drawn(seed, ident)} / {float(span)!r} AS u
-  FROM {table} d JOIN split s ON d.source IS NOT DISTINCT FROM s.source),
+  SELECT doc_id, source, text, part,
+         CASE WHEN part = 0 THEN {drawn(seed, ident)} ELSE {drawn(seed, ident + " || '|' || part")} END
+           / {float(span)!r} AS u
+  FROM (SELECT d.doc_id, d.source, d.text, unnest(generate_series(0, s.parts - 1)) AS part
+        FROM {table} d JOIN split s ON d.source IS NOT DISTINCT FROM s.source)),
+drawn AS (
+  SELECT doc_id, d.source, part, any_value(text) AS text,
+         coalesce(min(k) FILTER (WHERE total > u), min(k) FILTER (WHERE total = top)) AS n
+  FROM draws d JOIN levels s ON d.source IS NOT DISTINCT FROM s.source
+  GROUP BY doc_id, d.source, part),
 counted AS (
-  SELECT doc_id, d.source, any_value(text) AS text,
-         any_value(sure) + coalesce(min(k) FILTER (WHERE total > u),
-                                    min(k) FILTER (WHERE total = top)) AS n
-  FROM draws d JOIN levels s ON d.source IS NOT DISTINCT FROM s.source GROUP BY doc_id, d.source),
+  SELECT doc_id, source, any_value(text) AS text, cast(sum(n) AS bigint) AS n FROM drawn GROUP BY doc_id, source),
 copies AS (
   SELECT doc_id, source, text, cast(unnest(generate_series(0, n - 1)) AS integer) AS copy
   FROM counted WHERE n > 0)
