@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import chunks
 
@@ -14,12 +15,13 @@ from .samples import awkward, empty, prose
 
 
 def rolled(data, mean_bits, longest):
-    ends, h, begin = [], 0, 0
+    ends, h, begin, due = [], 0, 0, False
     for i, byte in enumerate(data):
         h = (h << 1) + int(chunks._GEARS[byte]) & 0xFFFF
         end = i + 1
-        natural = h >> 16 - mean_bits == 0 and (end == len(data) or data[end] & 0xC0 != 0x80)
-        if natural or end == len(data):
+        due = due or h >> 16 - mean_bits == 0
+        if end == len(data) or due and data[end] & 0xC0 != 0x80:  # at the end of a character
+            due = False
             for forced in range(begin + longest, end, longest):
                 while data[forced] & 0xC0 == 0x80:
                     forced -= 1
@@ -111,3 +113,38 @@ def test_awkward_table_and_columns(spark):
 
 def test_gears_are_spread():
     assert len(np.unique(chunks._GEARS)) > 250
+
+
+def test_texts_that_share_id_and_hash(spark, monkeypatch):
+    """The first keys do not tell the texts of an id apart: further ones are taken."""
+    real = chunks.row_key
+    monkeypatch.setattr(
+        chunks, "row_key", lambda text, seed: F.length(text) % 1 if seed < 2 else real(text, seed)
+    )
+    copy = prose(1, 120)
+    rows = [(5, copy), (5, prose(2, 100)), (None, copy), (None, prose(3, 90)), (7, prose(2, 100))]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(2)
+        texts = docs.select(F.col("doc_id").alias("id"), "text")
+        assert chunks._telling_seed(texts) == 2
+        got = sorted((r.doc_id or 99, r.text) for r in chunks.deduplicate(docs).collect())
+        assert got == sorted([(5, copy), (5, prose(2, 100)), (99, ""), (99, prose(3, 90)), (7, "")])
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзик", "가나다라마바사", "的一是不了人我在有他这"])
+def test_chunks_in_other_scripts(letters):
+    """Chunks are about as long, in bytes, whatever a character takes."""
+    rng = random.Random(1)
+    data = "".join(rng.choice(letters) for _ in range(20_000)).encode()
+    assert 24 < len(data) / len(chunks.boundaries(data)) < 48
+
+
+def test_order_of_arrival_does_not_matter(spark):
+    passage = prose(9, 80)
+    rows = [(k, f"{prose(k, 30)} {passage} {prose(k + 500, 30)}") for k in range(60)]
+    texts = []
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        texts.append({r.doc_id: r.text for r in chunks.deduplicate(docs).collect()})
+    assert texts[0] == texts[1] and passage in texts[0][0]
+    assert sum(passage in t for t in texts[0].values()) == 1

@@ -8,17 +8,17 @@ long enough are cut out.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.encoding import BATCH_BYTES, byte_slices, release
+from tidemark.llm.encoding import BATCH_BYTES, bounded_batches, byte_slices, release
 
 #: Bytes that decide about a boundary: as many as a 16-bit gear hash remembers.
 WINDOW = 16
@@ -29,7 +29,8 @@ LONGEST = 512
 LEAST_BYTES = 80
 #: Chunks that a task remembers at one time, about.
 HELD_CHUNKS = 250_000
-CHUNK = ["d1", "d2", "id", "key", "begin", "bytes", "sure", "source"]
+CHUNK = ["d1", "d2", "id", "key", "place", "source"]
+_SIZE_BITS = 16  # of a chunk's length in its place, below its begin
 
 
 def _gears() -> np.ndarray:
@@ -61,7 +62,9 @@ def boundaries(data: bytes, mean_bits: int = MEAN_BITS, longest: int = LONGEST)
         hashed = longer
     ends = np.flatnonzero(hashed >> np.uint16(16 - mean_bits) == 0) + 1
     ends = ends[ends < n]
-    ends = np.append(ends[values[ends] & 0xC0 != 0x80], n)  # never inside a character
+    for _ in range(3):  # on to the start of a character, which does not depend on what is far
+        ends = ends + (values[np.minimum(ends, n - 1)] & 0xC0 == 0x80) * (ends < n)
+    ends = np.unique(np.append(ends, n))
     gaps = np.diff(ends, prepend=0)
     if (gaps > longest).any():
         forced = np.concatenate(
@@ -77,71 +80,91 @@ def boundaries(data: bytes, mean_bits: int = MEAN_BITS, longest: int = LONGEST)
     return ends
 
 
+def row_key(text: Column, seed: int) -> Column:
+    """A number that tells texts of one id apart; further seeds give other, longer ones."""
+    return F.xxhash64(text, F.lit(seed)) if seed else F.hash(text)
+
+
+def _telling_seed(docs: DataFrame) -> int:
+    """The first seed whose keys tell apart all different texts of each id in (id, text).
+
+    Texts are compared by their 128-bit digests. Only ids, keys and digests are shuffled,
+    combined before.
+    """
+    for seed in itertools.count():
+        digest = F.unhex(F.md5("text"))
+        keys = docs.groupBy("id", row_key(F.col("text"), seed).alias("key")).agg(
+            F.min(digest).alias("least"), F.max(digest).alias("most")
+        )
+        if keys.where("least != most").isEmpty():
+            return seed
+
+
 def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
-    """A row per chunk of (id, key, text), with 80 bits of its digest; ``source`` is set where its
-    batch has met it before.
+    """A row per chunk of (id, key, text) with its digest, of 128 bits in two halves.
 
-    Such a repeat is certain and needs no look at other rows, so a chunk of a third of all rows
-    leaves each batch once. ``source`` is the place's document in that batch.
+    ``place`` holds begin and length. Where the task has met the chunk before, at an earlier
+    place in the order, the second half is null and ``source`` the document of that place: such a
+    repeat is certain and need not meet the others of its chunk, so it is dealt by its own place
+    and a chunk of a third of all rows leaves each task a few times.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        holders: dict[int, tuple] = {}
         for batch in batches:
-            order = pc.sort_indices(
-                pa.table([batch.column(0), batch.column(1)], ["id", "key"]),
-                sort_keys=[("id", "ascending"), ("key", "ascending")],
-            )
-            batch = batch.take(order)
-            documents = list(zip(*(c.to_pylist() for c in batch.columns[:2]), strict=True))
-            holders: dict[int, int] = {}
-            place = -1
-            # Cleared when large: a chunk then leaves the batch a few times instead of once.
+            done = 0
             for part in byte_slices(batch.column(2), BATCH_BYTES):
                 if len(holders) > HELD_CHUNKS:
                     holders.clear()
-                digests: list[int] = []
-                sources: list[int | None] = []
+                ids = batch.column(0).slice(done, len(part))
+                keys = batch.column(1).slice(done, len(part))
+                done += len(part)
+                documents = zip(ids.to_pylist(), keys.to_pylist(), part.to_pylist(), strict=True)
+                upper: list[int] = []
+                lower: list[int | None] = []
+                sources: list = []
                 owners: list[int] = []
                 ends: list[np.ndarray] = []
-                for text in part.to_pylist():
-                    place += 1
-                    if not text or place and documents[place] == documents[place - 1]:
+                for owner, (doc, key, text) in enumerate(documents):
+                    if not text:
                         continue
                     data, begin = text.encode(), 0
                     found = boundaries(data, mean_bits)
                     for end in found.tolist():
                         digest = xxhash.xxh3_128_intdigest(data[begin:end])
+                        own = (doc is None, 0 if doc is None else doc, key, begin)
                         holder = holders.get(digest)
-                        if holder is None:
-                            holders[digest] = place
-                        else:  # it need not meet the others of its chunk: spread by place
-                            digest = xxhash.xxh3_128_intdigest(repr((documents[place], begin)))
-                        digests.append(digest)
-                        sources.append(holder)
+                        if holder is None or own <= holder:
+                            holders[digest] = own
+                            upper.append((digest & _LOW) - (1 << 63))
+                            lower.append((digest >> 64) - (1 << 63))
+                            sources.append(None)
+                        else:
+                            upper.append(hash(own) >> 1)
+                            lower.append(None)
+                            sources.append(None if holder[0] else holder[1])
                         begin = end
-                    owners += [place] * len(found)
+                    owners += [owner] * len(found)
                     ends.append(found)
-                if not digests:
+                if not upper:
                     continue
-                begins = np.concatenate([np.append([0], e[:-1]) for e in ends])
-                stops = np.concatenate(ends)
-                at, held = pa.array(owners, pa.int64()), pa.array(sources, pa.int64())
+                begins = np.concatenate([np.append([0], e[:-1]) for e in ends]).astype(np.int64)
+                sizes = np.concatenate(ends) - begins
+                at = pa.array(owners, pa.int64())
                 columns = [
-                    pa.array([(d & _LOW) - (1 << 63) for d in digests], pa.int64()),
-                    pa.array([(d >> 112) - (1 << 15) for d in digests], pa.int16()),
-                    batch.column(0).take(at),
-                    batch.column(1).take(at),
-                    pa.array(begins, pa.int32()),
-                    pa.array(stops - begins, pa.int32()),
-                    pc.is_valid(held),
-                    batch.column(0).take(held),
+                    pa.array(upper, pa.int64()),
+                    pa.array(lower, pa.int64()),
+                    ids.take(at),
+                    keys.take(at),
+                    pa.array(begins << _SIZE_BITS | sizes, pa.int64()),
+                    pa.array(sources, ids.type),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, CHUNK)
             release()
 
+    key = docs.schema["key"].dataType.simpleString()
     return docs.mapInArrow(
-        cut,
-        f"d1 long, d2 short, id {kind}, key int, begin int, bytes int, sure boolean, source {kind}",
+        cut, f"d1 long, d2 long, id {kind}, key {key}, place long, source {kind}"
     )
 
 
@@ -151,23 +174,34 @@ def repeats(
     id_column: str = "doc_id",
     text_column: str = "text",
     mean_bits: int = MEAN_BITS,
+    seed: int | None = None,
 ) -> DataFrame:
     """(id, key, begin, end, source) of each chunk, in bytes, that is met before.
 
-    The first of equal chunks by id (nulls last), ``key`` (a hash of the text) and place stays.
-    ``source`` is a document that has the chunk earlier, perhaps the same one.
+    The first of equal chunks by id (nulls last), ``key`` (``row_key`` with ``seed``, by default
+    the first that tells all texts of each id apart) and place stays. ``source`` is a document
+    that has the chunk earlier, perhaps the same one.
     """
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    keyed = docs.select(F.col(id_column).alias("id"), F.hash(text).alias("key"), text.alias("text"))
+    texts = docs.select(F.col(id_column).alias("id"), text.alias("text"))
+    key = row_key(F.col("text"), _telling_seed(texts) if seed is None else seed)
+    keyed = texts.select("id", key.alias("key"), "text")
     chunks = _chunk_rows(keyed, docs.schema[id_column].dataType.simpleString(), mean_bits)
-    order = [F.col("id").asc_nulls_last(), "key", "begin"]
+    order = [F.col("id").asc_nulls_last(), "key", "place"]
     chunk = Window.partitionBy("d1", "d2").orderBy(*order)
-    first = F.first(F.struct("id", "key", "begin")).over(chunk)
+    first = F.first(F.struct("id", "key", "place")).over(chunk)
     ranked = chunks.withColumn("_first", first)
-    later = ~F.col("_first").eqNullSafe(F.struct("id", "key", "begin"))
-    source = F.when(F.col("sure"), F.col("source")).otherwise(F.col("_first.id"))
-    return ranked.where(F.col("sure") | later).select(
-        "id", "key", "begin", (F.col("begin") + F.col("bytes")).alias("end"), source.alias("source")
+    sure = F.col("d2").isNull()
+    later = ~F.col("_first").eqNullSafe(F.struct("id", "key", "place"))
+    begin = F.shiftright("place", _SIZE_BITS)
+    size = F.col("place").bitwiseAND(F.lit((1 << _SIZE_BITS) - 1))
+    return ranked.where(sure | later).select(
+        "id",
+        "key",
+        begin.cast("int").alias("begin"),
+        (begin + size).cast("int").alias("end"),
+        F.when(sure, F.col("source")).otherwise(F.col("_first.id")).alias("source"),
     )
 
 
@@ -207,17 +241,21 @@ def deduplicate(
     order. All other columns are kept, one named ``spans`` is replaced. An empty table gives an
     empty result.
     """
-    found = repeats(docs, id_column=id_column, text_column=text_column, mean_bits=mean_bits)
+    text = F.col(text_column).cast("string")
+    whole = F.coalesce(text, F.lit(""))
+    seed = _telling_seed(docs.select(F.col(id_column).alias("id"), whole.alias("text")))
+    found = repeats(
+        docs, id_column=id_column, text_column=text_column, mean_bits=mean_bits, seed=seed
+    )
     by_document = found.groupBy("id", "key").agg(  # as many as a text has chunks
         F.collect_list(F.struct("begin", "end", "source")).alias("_found")
     )
     columns = [c for c in docs.columns if c != "spans"]
-    text = F.col(text_column).cast("string")
     keyed = docs.select(
         F.struct(*[c for c in columns if c != text_column]).alias("_row"),
         F.col(id_column).alias("_id"),
         text.alias("_text"),
-        F.hash(F.coalesce(text, F.lit(""))).alias("_key"),
+        row_key(whole, seed).alias("_key"),
     )
     joined = keyed.join(
         by_document, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")), "left"

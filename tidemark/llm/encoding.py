@@ -18,9 +18,12 @@ from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Fragments that a worker remembers at most, the first it meets; others are encoded each time.
 MEMO_SIZE = 250_000
+#: Bytes of a batch of rows on its way to a Python worker, or those of one row.
+ARROW_BYTES = 4 << 20
 #: Bytes of text that are encoded together.
 BATCH_BYTES = 2 << 20
 
@@ -51,6 +54,17 @@ _FOLDING = ["NFC", "Replace", "Lowercase"]
 _MARK_SWITCHES = ("normalized", "lstrip", "rstrip", "single_word")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session hands Python workers ``ARROW_BYTES`` at a time, unless it is less.
+
+    A batch is held by the executor and its worker at once, with whatever is made of it.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name).rstrip("bB")
+    if not held.isdigit() or int(held) > ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+
+
 def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
     """Consecutive slices of about ``size`` bytes each; a longer text is a slice of its own."""
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
