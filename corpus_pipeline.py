@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chunks, jaccard, language, mixing, packing
+from tidemark.llm.encoding import bounded_batches
 from tidemark.llm.graph import kept
 
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,6 +25,7 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     texts, texts without a letter, and those scoring below ``LEAST_SCORE``; a stated language
     stays as it is, a missing one is filled in. Without any stated language everything goes.
     """
+    bounded_batches(spark)  # for this and all later stages of the session
     nearest = language.judge(language.learn_profiles(docs))
     judged = docs.select(*DOCUMENT, nearest("text").alias("_judged"))
     fits = (F.col("_judged.lang_pred") != language.UNDETERMINED) & (
