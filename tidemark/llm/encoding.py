@@ -79,7 +79,10 @@ def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
 
 
 def release() -> None:
-    """Hands freed memory back: Python workers live on between stages beside their executor."""
+    """Hands memory back, that of tokenizers too: Python workers live on between stages beside
+    their executor, several for each of its cores."""
+    counter.cache_clear()
+    encoder.cache_clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
