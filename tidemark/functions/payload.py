@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
+import json
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.values import (
     column_of,
+    is_moment,
     normalized_names,
     normalized_value,
     raw_value,
+    utc_text,
 )
 
-# Moments nested in arrays or structs keep their microseconds too.
+# Moments nested in arrays, maps or structs keep their microseconds too.
 _PAYLOAD_OPTIONS = {
     "ignoreNullFields": "false",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
+# Numbers from 10^21 on, and those below 10^-6, are written with an exponent.
+_PLAIN_BELOW, _PLAIN_FROM = 21, -6
+#: Significant digits that tell any two doubles apart, and those that any double can do without.
+_MOST_DIGITS, _SURE_DIGITS = 17, 15
+
 # Characters that the hashed form of a payload writes as escapes.
 HASH_ESCAPES = {
     "&": "\\u0026",
@@ -29,9 +40,169 @@ HASH_ESCAPES = {
 }
 
 
-def _sorted_json(values: dict[str, Column]) -> Column:
-    fields = [values[name].alias(name) for name in sorted(values)]
-    return F.to_json(F.struct(*fields), _PAYLOAD_OPTIONS)
+def _digits_text(exponential: Column, always_plain: bool = False) -> Column:
+    """A number in the form d.dddE±x, with as few digits as it has, plain or with an exponent."""
+    mantissa = F.substring_index(exponential, "E", 1)
+    power = F.substring_index(exponential, "E", -1).cast("int")
+    sign = F.when(F.startswith(exponential, F.lit("-")), "-").otherwise("")
+    digits = F.rtrim(F.translate(mantissa, "-.", ""), F.lit("0"))
+    count, point = F.length(digits), power + 1  # the point stands after so many digits
+    rest = F.substr(digits, F.lit(2))
+    fraction = F.when(count > 1, F.concat(F.lit("."), rest)).otherwise("")
+    with_power = F.concat(
+        F.substring(digits, 1, 1), fraction, F.when(power < 0, "e-").otherwise("e+"),
+        F.abs(power).cast("string"),
+    )
+    plain = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= count, F.concat(digits, F.repeat(F.lit("0"), point - count)))
+        .otherwise(
+            F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
+        )
+    )
+    exponent = (power < _PLAIN_FROM) | (power >= _PLAIN_BELOW)
+    if always_plain:
+        exponent = F.lit(False)
+    return F.when(digits == "", F.concat(sign, F.lit("0"))).otherwise(
+        F.concat(sign, F.when(exponent, with_power).otherwise(plain))
+    )
+
+
+def _shortest(value: Column, text: Column) -> Column:
+    """The fewest digits that read back as the double; the virtual machine may write one too many.
+
+    Whole numbers of 64 bits are rounded exactly; of others, the digits at hand are.
+    """
+    shortest, whole = text, text
+    size = F.abs(value).cast("bigint")
+    count = F.length(size.cast("string"))
+    sign = F.when(value < 0, "-").otherwise("")
+    for digits in range(_MOST_DIGITS, _SURE_DIGITS - 1, -1):
+        shorter = F.format_string(f"%.{digits - 1}E", value)
+        shortest = F.when(shorter.try_cast("double") == value, shorter).otherwise(shortest)
+        unit = F.element_at(
+            F.array(*(F.lit(10**k).cast("decimal(20,0)") for k in range(6))),
+            F.greatest(count - digits, F.lit(0)) + 1,
+        )
+        places = F.floor((size.cast("decimal(20,0)") + unit / 2) / unit).cast("decimal(20,0)") * unit
+        near = places.cast("decimal(20,0)").cast("string")
+        whole = F.when(near.cast("double") == F.abs(value), F.concat(sign, near)).otherwise(whole)
+    exact = (F.abs(value) >= 1e15) & (F.abs(value) < 9.2e18)
+    return F.when(F.length(text) <= _SURE_DIGITS, text).when(exact, whole).otherwise(shortest)
+
+
+def _without_zeros(plain: Column) -> Column:
+    return F.when(
+        F.contains(plain, F.lit(".")), F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))
+    ).otherwise(plain)
+
+
+def number_text(value: Column, kind: T.DataType) -> Column:
+    """A number as canonical JSON writes it: the shortest digits that read back as the same value.
+
+    Whole numbers have no fraction (``100``); from 10^21 on, and below 10^-6, the form is
+    ``1.5e+21`` and ``1e-7``. Decimals keep all their digits but trailing zeros of the fraction,
+    and never have an exponent. Values that JSON has no number for are text (``"NaN"``). Null
+    stays null.
+    """
+    text = value.cast("string")
+    if isinstance(kind, T.DecimalType):
+        if kind.scale == 0:
+            return text
+        # Very small values come with an exponent.
+        small = F.contains(text, F.lit("E"))
+        return F.when(small, _digits_text(text, always_plain=True)).otherwise(_without_zeros(text))
+    # The usual case first: neither an exponent nor more digits than a double surely needs.
+    usual = ~F.contains(text, F.lit("E")) & (F.length(text) <= _SURE_DIGITS)
+    shortest = _shortest(value, text) if isinstance(kind, T.DoubleType) else text
+    exponential = F.when(F.contains(shortest, F.lit("E")), _digits_text(shortest)).otherwise(
+        _without_zeros(shortest)
+    )
+    return (
+        F.when(usual & ~F.isnan(value) & (F.abs(value) != float("inf")), _without_zeros(text))
+        .when(F.isnan(value) | (F.abs(value) == float("inf")), F.concat(F.lit('"'), text, F.lit('"')))
+        .otherwise(exponential)
+    )
+
+
+def _is_plain(kind: T.DataType) -> bool:
+    """Whether Spark's own JSON writer gives the canonical form."""
+    if isinstance(kind, T.ArrayType):
+        return _is_plain(kind.elementType)
+    nested = isinstance(kind, (T.StructType, T.MapType))
+    return not (nested or isinstance(kind, T.FractionalType))
+
+
+def _joined(parts: Column, begin: str, end: str) -> Column:
+    return F.concat(F.lit(begin), F.array_join(parts, ","), F.lit(end))
+
+
+def json_text(value: Column, kind: T.DataType) -> Column:
+    """Canonical JSON of a value of any type (P6): keys of structs and maps ascend at every depth.
+
+    Keys of maps are the text of their values. Numbers are as in ``number_text``, moments as
+    Spark's writer has them with all their microseconds; null is ``null``.
+    """
+    if isinstance(kind, T.FractionalType):
+        text = number_text(value, kind)
+    elif _is_plain(kind):
+        whole = F.to_json(F.struct(value.alias("v")), _PAYLOAD_OPTIONS)
+        text = F.substr(whole, F.lit(6), F.length(whole) - 6)
+    elif isinstance(kind, T.ArrayType):
+        text = _joined(F.transform(value, lambda e: json_text(e, kind.elementType)), "[", "]")
+    elif isinstance(kind, T.MapType):
+
+        def by_key(one: Column, other: Column) -> Column:
+            return F.when(one["key"] < other["key"], -1).when(one["key"] > other["key"], 1).otherwise(0)
+
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                _key_text(e["key"], kind.keyType).alias("key"),
+                json_text(e["value"], kind.valueType).alias("value"),
+            ),
+        )
+        parts = F.transform(
+            F.array_sort(entries, by_key),
+            lambda e: F.concat(json_text(e["key"], T.StringType()), F.lit(":"), e["value"]),
+        )
+        text = _joined(parts, "{", "}")
+    else:
+        fields = [
+            F.concat(
+                F.lit(_name_text(f.name)), json_text(value.getField(f.name), f.dataType)
+            )
+            for f in sorted(kind.fields, key=lambda f: f.name.encode())
+        ]
+        text = F.when(value.isNotNull(), _joined(F.array(*fields), "{", "}"))
+    return F.coalesce(text, F.lit("null"))
+
+
+def _key_text(key: Column, kind: T.DataType) -> Column:
+    if is_moment(kind):
+        return utc_text(key, kind)
+    if isinstance(kind, T.FractionalType):
+        return F.translate(number_text(key, kind), '"', "")
+    return key.cast("string")
+
+
+def _name_text(name: str) -> str:
+    return json.dumps(name, ensure_ascii=False) + ":"
+
+
+def _sorted_json(values: dict[str, tuple[Column, T.DataType]]) -> Column:
+    """JSON of named values, keys ascending; neighbours that Spark's writer can do go together."""
+    parts: list[Column] = []
+    names = sorted(values, key=str.encode)
+    for plain, some in groupby(names, key=lambda name: _is_plain(values[name][1])):
+        if plain:
+            run = F.to_json(F.struct(*(values[n][0].alias(n) for n in some)), _PAYLOAD_OPTIONS)
+            parts.append(F.substr(run, F.lit(2), F.length(run) - 2))
+        else:
+            parts += [F.concat(F.lit(_name_text(n)), json_text(*values[n])) for n in some]
+    if len(parts) == 1 and names and _is_plain(values[names[0]][1]):
+        return F.to_json(F.struct(*(values[n][0].alias(n) for n in names)), _PAYLOAD_OPTIONS)
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def raw_payload(df: DataFrame) -> Column:
@@ -39,7 +210,10 @@ def raw_payload(df: DataFrame) -> Column:
     if len(set(df.columns)) != len(df.columns):
         raise ValueError(f"duplicate column names in {df.columns}")
     return _sorted_json(
-        {f.name: raw_value(column_of(f.name), f.dataType) for f in df.schema.fields}
+        {
+            f.name: (raw_value(column_of(f.name), f.dataType), _text_kind(f.dataType))
+            for f in df.schema.fields
+        }
     )
 
 
@@ -48,12 +222,20 @@ def normalized_payload(df: DataFrame) -> Column:
     names = normalized_names(df.columns)
     return _sorted_json(
         {
-            names[f.name]: normalized_value(column_of(f.name), f.dataType)
+            names[f.name]: (
+                normalized_value(column_of(f.name), f.dataType),
+                _text_kind(f.dataType, T.BinaryType),
+            )
             for f in df.schema.fields
         }
     )
 
 
+def _text_kind(kind: T.DataType, *also: type) -> T.DataType:
+    """The type of a value once moments, and ``also`` others, have become text."""
+    return T.StringType() if is_moment(kind) or isinstance(kind, also) else kind
+
+
 def hashed_form(payload: Column) -> Column:
     """The payload with its escapes written as the hash expects them."""
     escaped, concerned = payload, F.lit(False)

@@ -30,6 +30,35 @@ FROM {orders}
 """
 
 
+# Doubles of every size: products and quotients are the same in any engine.
+SCALED = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price,
+       -l_extendedprice * 1e9D AS large, l_extendedprice * 1e17D AS huge, l_quantity / 3e4D AS small,
+       l_tax / 7e6D AS tiny
+FROM {lineitem}
+"""
+NESTED = """
+SELECT o_orderkey,
+       named_struct('total', o_totalprice, 'customer', named_struct('segment', o_orderpriority,
+           'key', o_custkey), 'missing', cast(NULL AS double)) AS deep,
+       map(concat('z', o_orderstatus), o_totalprice / 1e9D, 'b', o_totalprice * 1e18D, 'a', NULL) AS parts,
+       array(named_struct('status', o_orderstatus, 'half', o_totalprice / 2), NULL) AS list
+FROM {orders}
+"""
+
+
+def record_key_hash_doubles(spark, sf):
+    rows = derive(spark, sf, SCALED)
+    return rows.select(
+        "l_orderkey", "l_linenumber", keys.raw_key(rows, None, payload.raw_payload(rows)).alias("record_key")
+    )
+
+
+def raw_payload_nested(spark, sf):
+    rows = derive(spark, sf, NESTED)
+    return rows.select("o_orderkey", payload.raw_payload(rows).alias("payload"))
+
+
 def normalized_columns(spark, sf):
     return values.normalized(derive(spark, sf, PADDED))
 
@@ -140,15 +169,14 @@ def normalized_envelope(spark, sf):
 
 
 _PART = {
-    name: name
-    for name in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-}
+    name: name for name in ("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+} | {"p_retailprice": sql.number("p_retailprice")}
 _PADDED_JSON = sql.json(
     {
         "c_custkey": '" C_CustKey "',
         "c_name": sql.trimmed('"C_NAME"'),
         "segment": sql.trimmed('"Segment"'),
-        "c_acctbal": "c_acctbal",
+        "c_acctbal": sql.number("c_acctbal"),
     }
 )
 _TURN = {
@@ -157,7 +185,37 @@ _TURN = {
 }
 _EVENTS_NORMALIZED = {**sql.EVENTS, "event_type": "event_type", "props": "props"}
 
+_SCALED_JSON = " || ".join(
+    f"""'{"{" if name == "huge" else ","}"{name}":' || {value}"""
+    for name, value in {
+        "huge": sql.number_text("l_extendedprice * 1e17"),
+        "l_linenumber": "l_linenumber",
+        "l_orderkey": "l_orderkey",
+        "l_partkey": "l_partkey",
+        "large": sql.number_text("-l_extendedprice * 1e9"),
+        "price": sql.number_text("l_extendedprice"),
+        "small": sql.number_text("(l_quantity / 3e4)"),
+        "tiny": sql.number_text("(l_tax / 7e6)"),
+    }.items()
+)
+_NESTED_JSON = f"""
+'{{"deep":{{"customer":{{"key":' || o_custkey || ',"segment":' || cast(to_json(o_orderpriority) AS varchar)
+|| '}},"missing":null,"total":' || {sql.number_text("o_totalprice")}
+|| '}},"list":[{{"half":' || {sql.number_text("(o_totalprice / 2)")} || ',"status":'
+|| cast(to_json(o_orderstatus) AS varchar) || '}},null],"o_orderkey":' || o_orderkey
+|| ',"parts":{{"a":null,"b":' || {sql.number_text("(o_totalprice * 1e18)")} || ',"z' || o_orderstatus
+|| '":' || {sql.number_text("(o_totalprice / 1e9)")} || '}}}}'
+"""
+
 QUERIES = {
+    "record_key_hash_doubles": (
+        record_key_hash_doubles,
+        f"""SELECT l_orderkey, l_linenumber, substr(sha256({_SCALED_JSON} || '}}'), 1, 16) AS record_key
+            FROM lineitem""",
+    ),
+    "raw_payload_nested": (
+        raw_payload_nested, f"SELECT o_orderkey, {_NESTED_JSON} AS payload FROM orders",
+    ),
     "normalized_columns": (
         normalized_columns,
         f"""
