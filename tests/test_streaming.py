@@ -57,6 +57,28 @@ def test_repeated_micro_batch_writes_nothing_twice(spark, store, tmp_path):
     assert store.executions.current().count() == 1
 
 
+def test_batches_of_a_snapshot_are_not_written_again(spark, store, tmp_path):
+    arrivals = str(tmp_path / "in")
+    dataset = Dataset("t", "s", "d", "incremental", "id", "key", "id")
+
+    def run(offsets):
+        rows = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(arrivals)
+        finish(stream_rows(store, rows, dataset, "arrivals", str(tmp_path / offsets)))
+
+    spark.range(0, 50, 1, 1).write.parquet(arrivals)
+    run("one")
+    spark.range(50, 80, 1, 1).write.mode("append").parquet(arrivals)
+    run("one")
+    store.drop(store.compact(dataset.identity))
+    before = store.last_value(dataset.identity)
+    run("two")
+    assert store.log().count() == 0 and store.normalized(dataset.identity).count() == 80
+    assert store.last_value(dataset.identity) == before == "79"
+    spark.range(80, 90, 1, 1).write.mode("append").parquet(arrivals)
+    run("two")
+    assert store.normalized(dataset.identity).count() == 90
+
+
 def test_ingest_keeps_cursor_and_tells(spark, store, tmp_path):
     arrivals = str(tmp_path / "in")
     dataset = Dataset("t", "s", "d", "incremental", "id", "key", "id")

@@ -247,3 +247,12 @@ def test_message_batches_agree_with_numbered_rows(store, orders):
 def test_wide_keys(store, orders):
     go(store, Dataset("t", "s", "d"), orders, "e1", key_bits=256)
     assert {len(r.record_key) for r in store.raw().select("record_key").collect()} == {64}
+
+
+def test_lookback_never_moves_the_cursor_back(spark, store):
+    dataset = Dataset("t", "s", "d", "incremental", "id", "key", "id")
+    go(store, dataset, spark.sql("SELECT 9L AS id"), "e1")
+    result = go(store, dataset, spark.sql("SELECT 5L AS id"), "e2", lookback=6)
+    assert result.total_records == 1 and store.last_value(dataset.identity) == "9"
+    go(store, dataset, spark.sql("SELECT 12L AS id"), "e3", lookback=6)
+    assert store.last_value(dataset.identity) == "12"

@@ -60,6 +60,16 @@ def checkpoint_text(cursor: Column, kind: T.DataType) -> Column:
     return value_text(value.cast(kind), kind)
 
 
+def never_before(greatest: Column, old: str | None, kind: T.DataType) -> Column:
+    """A cursor in its sortable form, or the stored one where that is greater.
+
+    Rows that were read again by a lookback may all lie before the stored cursor.
+    """
+    if not old:
+        return greatest
+    return F.greatest(greatest, sortable(cursor_value(old, kind), kind))
+
+
 def cursor_value(text: str, kind: T.DataType) -> Column:
     """Checkpoint text as a typed literal; text that does not fit the type is an error."""
     _slot(kind)

@@ -40,3 +40,29 @@ def untouched_since_full(records: DataFrame, executions: DataFrame) -> DataFrame
     runs = records.join(newest, schemas.IDENTITY)
     older = (F.col("started_at") < F.col("_full_at")) & (F.col("execution_id") != F.col("_full"))
     return runs.where(older).select(*records.columns)
+
+
+def changes_between(rows: DataFrame, before: str, after: str) -> DataFrame:
+    """How each record of two executions differs: inserted, changed, unchanged or vanished.
+
+    ``rows`` has (identity columns, execution_id, record_key, payload). Payloads are compared by
+    their SHA-256, so only keys and digests are shuffled, one row per key and task; a key that an
+    execution has written repeatedly counts by its greatest digest.
+    """
+    digest = F.sha2("payload", 256)
+    run = F.col("execution_id")
+    both = (
+        rows.where(run.isin(before, after))
+        .groupBy(*schemas.IDENTITY, "record_key")
+        .agg(
+            F.max(F.when(run == before, digest)).alias("_old"),
+            F.max(F.when(run == after, digest)).alias("_new"),
+        )
+    )
+    change = (
+        F.when(F.col("_old").isNull(), "inserted")
+        .when(F.col("_new").isNull(), "vanished")
+        .when(F.col("_old") == F.col("_new"), "unchanged")
+        .otherwise("changed")
+    )
+    return both.select(*schemas.IDENTITY, "record_key", change.alias("change"))

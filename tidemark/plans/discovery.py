@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import catalog, messages
 from tidemark.operators.requests import with_source
@@ -47,18 +50,37 @@ def discover(
     )
 
 
+_RESULT = T.StructType(
+    [
+        T.StructField("request_id", T.StringType()),
+        T.StructField("tenant_id", T.StringType()),
+        T.StructField("source_id", T.StringType()),
+        T.StructField("success", T.BooleanType()),
+        T.StructField("schema_count", T.LongType()),
+        T.StructField("table_count", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+#: Results that are published together; each is a row of counts.
+RESULTS_TOGETHER = 1000
+
+
 def process_discoveries(
-    store: Store, requests: DataFrame, open_catalog: Callable[[Row], Catalog]
+    store: Store,
+    requests: DataFrame,
+    open_catalog: Callable[[Row], Catalog],
+    workers: int = 4,
+    batch: str | None = None,
 ) -> None:
     """Runs discovery requests for registered sources and publishes their counts.
 
-    Each request reads another database, so each is a job of its own.
+    Each request reads another database, so each is a job of its own, ``workers`` at a time.
+    Requests reach the driver partition by partition; results are published by the thousand. A
+    micro-batch that is repeated under its name ``batch`` leaves its results once.
     """
     spark: SparkSession = store.spark
-    for row in with_source(requests, store.sources.current()).toLocalIterator():
-        identity = [
-            F.lit(row[name]).alias(name) for name in ("request_id", "tenant_id", "source_id")
-        ]
+
+    def counted(row: Row) -> tuple:
         try:
             if not row.source_found:
                 raise ValueError(f"source not registered: {row.tenant_id}/{row.source_id}")
@@ -67,8 +89,14 @@ def process_discoveries(
             outcome = (True, counts.schema_count, counts.table_count, None)
         except Exception as error:  # noqa: BLE001 - a failed discovery is a result too
             outcome = (False, 0, 0, str(error))
-        fields = ("success", "schema_count", "table_count", "error")
-        result = spark.range(0, 1, 1, 1).select(
-            *identity, *(F.lit(v).alias(name) for name, v in zip(fields, outcome))
-        )
-        store.publish(messages.discovery_results(result, F.current_timestamp()))
+        return (row.request_id, row.tenant_id, row.source_id, *outcome)
+
+    found = with_source(requests, store.sources.current()).toLocalIterator()
+    with ThreadPoolExecutor(workers) as pool:
+        for number in itertools.count():
+            some = list(itertools.islice(found, RESULTS_TOGETHER))
+            if not some:
+                break
+            results = spark.createDataFrame(list(pool.map(counted, some)), _RESULT)
+            name = f"{batch}-{number}" if batch else None
+            store.publish(messages.discovery_results(results, F.current_timestamp()), name)

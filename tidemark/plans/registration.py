@@ -18,6 +18,8 @@ from tidemark.sinks.store import Store
 
 
 def _refuse(store: Store, kind: str, refused: DataFrame, batch: str | None = None) -> None:
+    if refused.isEmpty():
+        return
     body = F.to_json(F.struct(*(c for c in refused.columns if c != "error")))
     store.reject(refused.select(F.lit(kind).alias("kind"), body.alias("body"), "error"), batch)
 
@@ -47,21 +49,24 @@ def reset_checkpoints(store: Store, requests: DataFrame, batch: str | None = Non
     store.checkpoints.delete(valid.dropDuplicates(["tenant_id", "source_id", "dataset_id"]))
 
 
-def check_sources(store: Store, requests: DataFrame, schemata: DataFrame) -> None:
+def check_sources(
+    store: Store, requests: DataFrame, schemata: DataFrame, batch: str | None = None
+) -> None:
     """Checks the configured schema of registered sources and publishes results.
 
     ``schemata`` lists (tenant_id, source_id, schema_name) as the catalogs show them. Requests
-    for an unknown source are refused without a result.
+    for an unknown source are refused without a result. A micro-batch that is repeated under its
+    name ``batch`` leaves its refusals and results once.
     """
     found = with_source(requests, store.sources.current())
     unknown = found.where(~F.col("source_found")).select(
         *requests.columns, F.lit("source not registered").alias("error")
     )
-    _refuse(store, "test", unknown)
+    _refuse(store, "test", unknown, batch)
     known = found.where("source_found").select(
         "request_id", "tenant_id", "source_id", F.col("source_schema").alias("schema_name")
     )
     checked = access.check_schemas(known, schemata).withColumn(
         "response_time_ms", F.lit(0).cast("bigint")
     )
-    store.publish(messages.test_results(checked, F.current_timestamp()))
+    store.publish(messages.test_results(checked, F.current_timestamp()), batch)

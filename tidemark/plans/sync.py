@@ -136,9 +136,11 @@ def _read_and_write(
     count = F.count(F.lit(1)).alias("records")
     if column:
         kind = require_column(rows, column).dataType
-        top = cursors.checkpoint_text(F.max("cursor"), kind).alias("last_value")
-        facts = written.agg(count, top).first()
-        last = facts.last_value
+        greatest = cursors.never_before(F.max("cursor"), old, kind)
+        facts = written.agg(
+            count, cursors.checkpoint_text(greatest, kind).alias("last_value")
+        ).first()
+        last = facts.last_value if facts.records else None
     else:
         facts = written.agg(count).first()
         last = None

@@ -85,6 +85,12 @@ COMPACTIONS = _schema(
     "last_started timestamp"
 )
 
+# The last batch of each stream whose rows are part of a snapshot.
+STREAM_BATCHES = _schema(
+    "tenant_id string, source_id string, dataset_id string, stream string, batch_id bigint, "
+    "records bigint, last_value string"
+)
+
 # --- request messages -----------------------------------------------------------------
 
 SYNC_REQUEST = _schema(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -30,6 +31,9 @@ RECORD_KEY = [*schemas.IDENTITY, "record_key"]
 # remaining columns break ties, so the outcome never depends on task order.
 ARRIVAL = ["started_at", "execution_id", "cursor"]
 
+#: How executions of streams are named: by stream and batch.
+_BATCH = re.compile(r"(.*)-([0-9]{12,})", re.DOTALL)
+
 # Characters that Spark escapes in partition folder names.
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f")
 
@@ -98,15 +102,23 @@ class Store:
         self.compactions = ControlTable(
             spark, f"{control}/compactions", schemas.COMPACTIONS, ["layer", *schemas.IDENTITY]
         )
+        self.stream_batches = ControlTable(
+            spark, f"{control}/stream_batches", schemas.STREAM_BATCHES,
+            [*schemas.IDENTITY, "stream"],
+        )
         self._publish = publish
 
     # --- messages and refusals --------------------------------------------------------
 
-    def publish(self, messages: DataFrame) -> None:
+    def publish(self, messages: DataFrame, batch: str | None = None) -> None:
+        """Hands on messages; those of a micro-batch that is repeated replace what it left."""
         if self._publish is not None:
             self._publish(messages)
-        else:
+        elif batch is None:
             append_folder(messages, f"{self.root}/messages")
+        else:
+            folder = f"{self.root}/messages/{WRITE}={_folder_value(batch)}"
+            messages.write.mode("overwrite").parquet(folder)
 
     def messages(self) -> DataFrame:
         return self._appended("messages", schemas.MESSAGE)
@@ -278,10 +290,8 @@ class Store:
         compaction; afterwards their rows count by the snapshot alone. An attempt that is still
         being written, or was given up, is left alone. Returns the covered folders for ``drop``.
         """
-        attempts = [
-            Attempt(**row.asDict())
-            for row in _of_dataset(self.attempts.current(), dataset).select(*_FOLDERS).collect()
-        ]
+        committed = _of_dataset(self.attempts.current(), dataset).collect()
+        attempts = [Attempt(**{name: row[name] for name in _FOLDERS}) for row in committed]
         covered = [f"{self.log_path}/{attempt.folder()}" for attempt in attempts]
         pinned = self.spark.createDataFrame(
             [tuple(a.__dict__[name] for name in _FOLDERS) for a in attempts],
@@ -309,14 +319,40 @@ class Store:
                 )
             )
         if attempts:
+            self._remember_batches(dataset, committed)
             self.attempts.delete(pinned)
         return covered
 
+    def _remember_batches(self, dataset: Identity, committed: list[Row]) -> None:
+        """Keeps the last batch of each stream: its commit row is about to go."""
+        last: dict[str, Row] = {}
+        for row in committed:
+            found = _BATCH.fullmatch(row.execution_id)
+            if found and int(found[2]) == row.attempt:
+                known = last.get(found[1])
+                if known is None or known.attempt < row.attempt:
+                    last[found[1]] = row
+        for stream, row in last.items():
+            self.stream_batches.upsert(
+                self.stream_batches.one_row(
+                    **dict(zip(schemas.IDENTITY, dataset)), stream=stream, batch_id=row.attempt,
+                    records=row.records, last_value=row.last_value,
+                )
+            )
+
+    def compacted_batch(self, dataset: Identity, stream: str) -> Row | None:
+        """The last batch of a stream that compaction has covered."""
+        return (
+            _of_dataset(self.stream_batches.current(), dataset)
+            .where(F.col("stream") == stream)
+            .first()
+        )
+
     def compact_control(self) -> list[str]:
         """Rewrites the control tables in few files; returns the covered folders for ``drop``."""
         tables = (
             self.sources, self.datasets, self.checkpoints, self.executions, self.attempts,
-            self.compactions,
+            self.compactions, self.stream_batches,
         )
         return [folder for table in tables for folder in table.compact()]
 

@@ -27,15 +27,27 @@ from tidemark.sinks.store import Attempt, Store
 
 
 def _write(
-    store: Store, batch: DataFrame, dataset: Dataset, attempt: Attempt, old: str | None, key_bits: int
+    store: Store,
+    batch: DataFrame,
+    dataset: Dataset,
+    name: str,
+    attempt: Attempt,
+    old: str | None,
+    key_bits: int,
 ) -> tuple[int, str | None]:
     """Count of a micro-batch and the cursor after it, which never falls behind ``old``.
 
-    A batch that is repeated after it was committed is not written again.
+    A batch that is repeated after it was committed is not written again, also when its rows are
+    part of a snapshot by then.
     """
     known = store.committed(attempt)
     if known:
         return known.records, known.last_value
+    compacted = store.compacted_batch(dataset.identity, name)
+    if compacted and attempt.attempt <= compacted.batch_id:
+        # Of earlier batches than the last only the fact is known, not their size.
+        last = attempt.attempt == compacted.batch_id
+        return compacted.records if last else 0, compacted.last_value if last else old
     started = now()
     column = dataset.incremental_column
     written = store.write(
@@ -44,10 +56,7 @@ def _write(
     top = F.lit(None).cast("string")
     if column:
         kind = require_column(batch, column).dataType
-        greatest = F.max("cursor")
-        if old:
-            greatest = F.greatest(greatest, cursors.sortable(cursors.cursor_value(old, kind), kind))
-        top = cursors.checkpoint_text(greatest, kind)
+        top = cursors.checkpoint_text(cursors.never_before(F.max("cursor"), old, kind), kind)
     facts = written.agg(F.count(F.lit(1)).alias("records"), top.alias("last")).first()
     store.commit(attempt, started, facts.records, facts["last"])
     return facts.records, facts["last"]
@@ -79,7 +88,7 @@ def stream_rows(
         tell(store, started_messages(store, execution, started))
         try:
             old = store.last_value(dataset.identity)
-            records, last = _write(store, batch, dataset, attempt, old, key_bits)
+            records, last = _write(store, batch, dataset, name, attempt, old, key_bits)
         except Exception as error:
             failed = SyncResult(execution.execution_id, "failed", error=error_text(error))
             tell(store, record_outcome(store, dataset, execution, started, failed))

@@ -111,8 +111,8 @@ def test_requests(
 ) -> StreamingQuery:
     """Checks the schema of each requested source."""
 
-    def handle(requests: DataFrame, _: str) -> None:
-        check_sources(store, requests, read_schemata())
+    def handle(requests: DataFrame, batch: str) -> None:
+        check_sources(store, requests, read_schemata(), batch)
 
     return _start(
         store, "test", messages, schemas.TEST_REQUEST, handle, checkpoint_location, trigger
@@ -125,11 +125,12 @@ def discovery_requests(
     open_catalog: Callable[[Row], Catalog],
     checkpoint_location: str,
     trigger: Mapping[str, object] = _ALL_WAITING,
+    workers: int = 4,
 ) -> StreamingQuery:
     """Discovers each requested source."""
 
-    def handle(requests: DataFrame, _: str) -> None:
-        process_discoveries(store, requests, open_catalog)
+    def handle(requests: DataFrame, batch: str) -> None:
+        process_discoveries(store, requests, open_catalog, workers, batch)
 
     return _start(
         store, "discovery", messages, schemas.DISCOVERY_REQUEST, handle, checkpoint_location,

@@ -118,6 +118,51 @@ def stream_tests(spark, sf):
     return store.messages().select(result.alias("r")).select("r.request_id", "r.success", "r.error")
 
 
+def stream_tests_replayed(spark, sf):
+    """Schema checks of every supplier, registered or not, whose micro-batch comes twice."""
+    store = new_store(spark)
+    store.sources.upsert(derive(spark, sf, inputs.SOURCES))
+    folder, offsets = scratch_dir(spark, "messages"), scratch_dir(spark, "offsets")
+    requests = table(spark, sf, "supplier").select(
+        F.concat(F.lit("t"), F.col("s_suppkey") % 5).alias("tenant_id"),
+        F.concat(F.lit("s"), F.col("s_suppkey")).alias("source_id"),
+        F.concat(F.lit("r"), F.col("s_suppkey")).alias("request_id"),
+    )
+    requests.select(F.to_json(F.struct("*")).alias("value")).write.text(folder)
+    visible = derive(spark, sf, inputs.VISIBLE_SCHEMAS)
+    for _ in range(2):
+        stream = topics.read_messages(spark, "text", {}, folder)
+        _finish(topics.test_requests(store, stream, lambda: visible, offsets))
+        _forget_offsets(spark, offsets)
+    refused = store.rejected().select(
+        F.get_json_object("body", "$.request_id").alias("request_id"), F.lit("refused").alias("outcome")
+    )
+    told = store.messages().select(F.col("key").alias("request_id"), F.lit("told").alias("outcome"))
+    return refused.unionByName(told)
+
+
+def stream_ingest_replayed_after_compaction(spark, sf):
+    """A micro-batch that comes again when its rows are in a snapshot and a later run has passed."""
+    store = new_store(spark)
+    folder, offsets = scratch_dir(spark, "arrivals"), scratch_dir(spark, "offsets")
+    events = table(spark, sf, "events")
+    events.write.parquet(folder)
+
+    def ingest():
+        arriving = spark.readStream.schema(events.schema).parquet(folder)
+        _finish(stream_rows(store, arriving, EVENTS, "arrivals", offsets))
+
+    ingest()
+    store.drop(store.compact(EVENTS.identity))
+    later = events.where("event_id % 2 = 0").withColumn("event_type", F.lit("later"))
+    store.checkpoints.delete(store.checkpoints.current())
+    run_sync(store, EVENTS, lambda: later, Execution("inc-2"))
+    _forget_offsets(spark, offsets)
+    ingest()
+    records = store.normalized(EVENTS.identity)
+    return records.select("dataset_id", "execution_id", "record_key", "payload")
+
+
 def stream_discoveries(spark, sf):
     """Discovery of three sources: a registered one filtered, one unfiltered, one unknown."""
     store = registered_store(spark, sf)
@@ -225,6 +270,27 @@ QUERIES = {
               FROM {as_sql(inputs.SOURCES)} s) s
         """,
     ),
+    "stream_tests_replayed": (
+        stream_tests_replayed,
+        f"""
+        SELECT 'r' || s_suppkey AS request_id,
+               CASE WHEN EXISTS (SELECT 1 FROM {as_sql(inputs.SOURCES)} s
+                                 WHERE s.source_id = 's' || s_suppkey) THEN 'told' ELSE 'refused' END
+                   AS outcome
+        FROM supplier
+        """,
+    ),
+    "stream_ingest_replayed_after_compaction": (
+        stream_ingest_replayed_after_compaction,
+        f"""
+        SELECT 'events' AS dataset_id,
+               CASE WHEN event_id % 2 = 0 THEN 'inc-2' ELSE 'arrivals-000000000000' END AS execution_id,
+               cast(event_id AS varchar) AS record_key,
+               {sql.json({**sql.EVENTS, "event_type":
+                   "CASE WHEN event_id % 2 = 0 THEN 'later' ELSE event_type END"})} AS payload
+        FROM events
+        """,
+    ),
     "stream_discoveries": (
         stream_discoveries,
         f"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.envelope import log_rows
+from tidemark.operators.ledger import changes_between
 from tidemark.plans.registration import register_datasets, register_sources, reset_checkpoints
 from tidemark.plans.requests import process_requests
 from tidemark.plans.sync import Dataset, Execution, now, run_sync
@@ -106,6 +107,37 @@ def sync_compacted(spark, sf):
     return _records(store.normalized(CUSTOMER.identity))
 
 
+def incremental_lookback_resume(spark, sf):
+    """A second run reads ten days again and finds only rows of those: the cursor stays."""
+    store = new_store(spark)
+    events = table(spark, sf, "events")
+    _sync(store, EVENTS, events, "inc-1")
+    day = F.date_trunc("day", F.col("ts"))
+    last = events.agg(F.max(day)).first()[0]
+    earlier = events.where(day < F.lit(last))
+    run_sync(store, EVENTS, lambda: earlier, Execution("inc-2"), lookback=10 * 86_400)
+    stored = store.checkpoints.current().select("dataset_id", "last_value")
+    runs = store.executions.current().where("execution_id = 'inc-2'")
+    return stored.join(runs.select("dataset_id", "total_records"), "dataset_id")
+
+
+def changes_between_runs(spark, sf):
+    """Two full runs: some customers are new, some changed, some gone."""
+    store = new_store(spark)
+    customer = table(spark, sf, "customer")
+    segment = F.when(F.col("c_custkey") % 5 == 1, F.lower("c_mktsegment")).otherwise(
+        F.col("c_mktsegment")
+    )
+    _sync(store, CUSTOMER, customer.where("c_custkey % 7 != 0"), "full-1")
+    later = customer.where("c_custkey % 11 != 0").withColumn("c_mktsegment", segment)
+    _sync(store, CUSTOMER, later, "full-2")
+    rows = store.log(CUSTOMER.identity).select(
+        "tenant_id", "source_id", "dataset_id", "execution_id",
+        F.col("normalized_key").alias("record_key"), F.col("normalized_payload").alias("payload"),
+    )
+    return changes_between(rows, "full-1", "full-2").select("dataset_id", "record_key", "change")
+
+
 SOURCE_ROWS = """
 SELECT 'acme' AS tenant_id, lower(n_name) AS source_id, 'postgres' AS connector_type,
        'db' AS host, cast(5432 AS int) AS port, 'sales' AS database, '' AS schema,
@@ -234,6 +266,25 @@ QUERIES = {
         FROM customer
         """,
     ),
+    "incremental_lookback_resume": (
+        incremental_lookback_resume,
+        f"""
+        SELECT 'events' AS dataset_id, {sql.utc("max(ts)")} AS last_value,
+               count(*) FILTER (date_trunc('day', ts) < (SELECT max(date_trunc('day', ts)) FROM events)
+                   AND ts > (SELECT max(ts) FROM events) - INTERVAL 10 DAY) AS total_records
+        FROM events
+        """,
+    ),
+    "changes_between_runs": (
+        changes_between_runs,
+        """
+        SELECT 'customer' AS dataset_id, cast(c_custkey AS varchar) AS record_key,
+               CASE WHEN c_custkey % 7 = 0 THEN 'inserted' WHEN c_custkey % 11 = 0 THEN 'vanished'
+                    WHEN c_custkey % 5 = 1 AND c_mktsegment <> lower(c_mktsegment) THEN 'changed'
+                    ELSE 'unchanged' END AS change
+        FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 11 <> 0
+        """,
+    ),
     "sync_requests": (sync_requests, REQUESTED_SQL),
     "sync_requests_after_reset": (
         sync_requests_after_reset,
