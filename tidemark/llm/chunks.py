@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -105,12 +106,13 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
 
     ``place`` holds begin and length. Where the task has met the chunk before, at an earlier
     place in the order, the second half is null and ``source`` the document of that place: such a
-    repeat is certain and need not meet the others of its chunk, so it is dealt by its own place
+    repeat is certain and need not meet the others of its chunk, so it is dealt by task and number
     and a chunk of a third of all rows leaves each task a few times.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         holders: dict[int, tuple] = {}
+        task = TaskContext.get().partitionId()
         for batch in batches:
             done = 0
             for part in byte_slices(batch.column(2), BATCH_BYTES):
@@ -140,7 +142,7 @@ def _chunk_rows(docs: DataFrame, kind: str, mean_bits: int) -> DataFrame:
                             lower.append((digest >> 64) - (1 << 63))
                             sources.append(None)
                         else:
-                            upper.append(hash(own) >> 1)
+                            upper.append(task << 32 | len(upper))
                             lower.append(None)
                             sources.append(None if holder[0] else holder[1])
                         begin = end
