@@ -78,11 +78,12 @@ def byte_slices(texts: pa.Array, size: int) -> Iterator[pa.Array]:
         yield texts.slice(begin)
 
 
-def release() -> None:
-    """Hands memory back, that of tokenizers too: Python workers live on between stages beside
-    their executor, several for each of its cores."""
-    counter.cache_clear()
-    encoder.cache_clear()
+def release(tokenizers: bool = False) -> None:
+    """Hands freed memory back: Python workers live on between stages beside their executor,
+    several for each of its cores. With ``tokenizers``, theirs too; the next task loads them anew."""
+    if tokenizers:
+        counter.cache_clear()
+        encoder.cache_clear()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -215,6 +215,7 @@ def encode_pieces(
     text_column: str = "text",
     with_ids: bool = False,
     batch_bytes: int = BATCH_BYTES,
+    let_go: bool = False,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` ids of each text followed by ``end_id``."""
     kind = docs.schema[id_column].dataType.simpleString()
@@ -254,7 +255,7 @@ def encode_pieces(
                     )
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
-        release()
+        release(tokenizers=let_go)
 
     schema = f"`{id_column}` {kind}, piece int, start long, length long, ids_crc32 long, lane int"
     return docs.select(F.col(id_column), F.col(text_column).cast("string")).mapInArrow(
@@ -273,6 +274,7 @@ def pack(
     with_ids: bool = False,
     groups: int = GROUPS,
     large_share: float = LARGE_SHARE,
+    let_go: bool = False,
 ) -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``,
     ``offset``, and ``ids`` on request.
@@ -283,7 +285,8 @@ def pack(
     pieces are written once to the shared folder of ``spark.checkpoint.dir``, so ranks stay the
     same when a task is repeated; only the histogram of lengths, at most ``capacity`` rows,
     reaches the driver, and the plan that is broadcast has a few rows per length and
-    configuration.
+    configuration. With ``let_go`` workers load the tokenizer anew for each task, and hold no
+    memory for it in between.
     """
     if id_column in ("piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"):
         raise ValueError(f"{id_column!r} is a column of the result")
@@ -291,7 +294,7 @@ def pack(
     folder = scratch_dir(spark, "packing")
     encode_pieces(
         docs, tokenizer, capacity, end_id,
-        id_column=id_column, text_column=text_column, with_ids=with_ids,
+        id_column=id_column, text_column=text_column, with_ids=with_ids, let_go=let_go,
     ).write.parquet(folder)
     pieces = spark.read.parquet(folder)
     bars = pieces.groupBy("lane", "length").agg(F.count("*").alias("n"))
