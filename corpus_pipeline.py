@@ -63,7 +63,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in training sequences."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    return packing.pack(docs.select("doc_id", "text"), vocabulary, capacity=CAPACITY, end_id=1)
+    return packing.pack(
+        docs.select("doc_id", "text"), vocabulary, capacity=CAPACITY, end_id=1, let_go=True
+    )
 
 
 STAGES = [
