@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
@@ -42,30 +43,40 @@ HASH_ESCAPES = {
 
 def _digits_text(exponential: Column, always_plain: bool = False) -> Column:
     """A number in the form d.dddE±x, with as few digits as it has, plain or with an exponent."""
-    mantissa = F.substring_index(exponential, "E", 1)
-    power = F.substring_index(exponential, "E", -1).cast("int")
-    sign = F.when(F.startswith(exponential, F.lit("-")), "-").otherwise("")
-    digits = F.rtrim(F.translate(mantissa, "-.", ""), F.lit("0"))
-    count, point = F.length(digits), power + 1  # the point stands after so many digits
-    rest = F.substr(digits, F.lit(2))
-    fraction = F.when(count > 1, F.concat(F.lit("."), rest)).otherwise("")
-    with_power = F.concat(
-        F.substring(digits, 1, 1), fraction, F.when(power < 0, "e-").otherwise("e+"),
-        F.abs(power).cast("string"),
+    parts = F.struct(
+        F.rtrim(F.translate(F.substring_index(exponential, "E", 1), "-.", ""), F.lit("0")).alias("digits"),
+        F.substring_index(exponential, "E", -1).cast("int").alias("power"),
+        F.when(F.startswith(exponential, F.lit("-")), "-").otherwise("").alias("sign"),
     )
-    plain = (
-        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-        .when(point >= count, F.concat(digits, F.repeat(F.lit("0"), point - count)))
-        .otherwise(
-            F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
+
+    def placed(number: Column) -> Column:
+        digits, power, sign = number["digits"], number["power"], number["sign"]
+        count, point = F.length(digits), power + 1  # the point stands after so many digits
+        fraction = F.when(count > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise("")
+        with_power = F.concat(
+            F.substring(digits, 1, 1), fraction, F.when(power < 0, "e-").otherwise("e+"),
+            F.abs(power).cast("string"),
         )
-    )
-    exponent = (power < _PLAIN_FROM) | (power >= _PLAIN_BELOW)
-    if always_plain:
-        exponent = F.lit(False)
-    return F.when(digits == "", F.concat(sign, F.lit("0"))).otherwise(
-        F.concat(sign, F.when(exponent, with_power).otherwise(plain))
-    )
+        plain = (
+            F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+            .when(point >= count, F.concat(digits, F.repeat(F.lit("0"), point - count)))
+            .otherwise(
+                F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
+            )
+        )
+        exponent = (power < _PLAIN_FROM) | (power >= _PLAIN_BELOW)
+        if always_plain:
+            exponent = F.lit(False)
+        return F.when(digits == "", F.concat(sign, F.lit("0"))).otherwise(
+            F.concat(sign, F.when(exponent, with_power).otherwise(plain))
+        )
+
+    return _bound(parts, placed)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _shortest(value: Column, text: Column) -> Column:
@@ -115,8 +126,9 @@ def number_text(value: Column, kind: T.DataType) -> Column:
     # The usual case first: neither an exponent nor more digits than a double surely needs.
     usual = ~F.contains(text, F.lit("E")) & (F.length(text) <= _SURE_DIGITS)
     shortest = _shortest(value, text) if isinstance(kind, T.DoubleType) else text
-    exponential = F.when(F.contains(shortest, F.lit("E")), _digits_text(shortest)).otherwise(
-        _without_zeros(shortest)
+    exponential = _bound(
+        shortest,
+        lambda t: F.when(F.contains(t, F.lit("E")), _digits_text(t)).otherwise(_without_zeros(t)),
     )
     return (
         F.when(usual & ~F.isnan(value) & (F.abs(value) != float("inf")), _without_zeros(text))
