@@ -126,6 +126,100 @@ def test_compaction_changes_nothing_that_is_read(spark, store):
     assert {layer: content(store, layer, dataset.identity) for layer in before} == after
 
 
+def parents_of_bucketed_scans(plan):
+    """Operators between each bucketed scan and the join above it."""
+    lines = plan.splitlines()
+    for at, line in enumerate(lines):
+        if "FileScan" in line and "Bucketed: true" in line:
+            depth, above = len(line) - len(line.lstrip(" :+-*()0123456789")), []
+            for parent in reversed(lines[:at]):
+                indent = len(parent) - len(parent.lstrip(" :+-*()0123456789"))
+                if indent < depth:
+                    depth = indent
+                    above.append(parent.strip())
+                    if "Join" in parent:
+                        break
+            yield above
+
+
+def test_buckets_hold_the_same_records_and_are_joined_in_place(spark, store):
+    dataset = Dataset("t", "s", "d'%", "full", technical_key="id")
+    plain = Dataset("t", "s", "plain", "full", technical_key="id")
+    texts = ("'one'", "'two'", "'three'")
+    for number, (begin, end) in enumerate([(0, 300), (250, 420), (0, 90)]):
+        rows = spark.range(begin, end).selectExpr("id", f"{texts[number]} AS v")
+        for each in (dataset, plain):
+            go(store, each, rows, f"{each.dataset_id}-{number}")
+        if number < 2:
+            store.drop(store.compact(dataset.identity, buckets=8))
+            store.drop(store.compact(plain.identity))
+
+    def found(of):
+        rows = store.layer("normalized", of.identity).select("record_key", "payload").collect()
+        return sorted(map(tuple, rows))
+
+    assert found(dataset) == found(plain) and len(found(plain)) == 420
+    everything = content(store, "normalized")
+    assert sorted((r[2], r[3]) for r in everything if r[0] == dataset.dataset_id) == found(plain)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = store.normalized(dataset.identity)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    scans = list(parents_of_bucketed_scans(plan))
+    assert scans, plan
+    assert all("Join" in above[-1] and "Exchange" not in " ".join(above) for above in scans), plan
+    before = found(plain)
+    store.drop(store.compact(dataset.identity, buckets=3))  # another number: written anew
+    assert found(dataset) == before
+    for table in spark.catalog.listTables():  # as in a new session
+        if table.name.startswith("tidemark_"):
+            spark.sql(f"DROP TABLE {table.name}")
+    assert found(dataset) == before
+
+
+def test_a_merge_rewrites_only_buckets_with_new_keys(spark, store, tmp_path):
+    dataset = Dataset("t", "s", "d", "full", technical_key="id")
+    go(store, dataset, spark.range(200), "e1")
+    store.compact(dataset.identity, buckets=16)
+    first = store._compaction("raw", dataset.identity).versions
+    assert len(set(first)) == 1
+    go(store, dataset, spark.range(2).selectExpr("id * 7 AS id"), "e2")
+    covered = store.compact(dataset.identity)
+    second = store._compaction("raw", dataset.identity).versions
+    changed = [n for n in range(16) if first[n] != second[n]]
+    assert 1 <= len(changed) <= 2
+    assert len(covered) == 1 + 2 * len(changed)  # the run, and old versions of both layers
+    store.drop(covered)
+    got = {r[2]: r[1] for r in content(store, "raw", dataset.identity)}
+    assert got == {str(n): "e2" if n in (0, 7) else "e1" for n in range(200)}
+    assert store.compact(dataset.identity) == []
+    assert store._compaction("raw", dataset.identity).versions == second
+    assert store._compaction("raw", dataset.identity).last_started is not None
+
+
+def test_late_run_and_empty_dataset_with_buckets(spark, store):
+    empty = ("t", "s", "nothing")
+    assert store.compact(empty, buckets=4) == []
+    assert store.raw(empty).count() == 0
+    dataset = Dataset("t", "s", "d", "full", technical_key="id")
+    go(store, dataset, spark.range(3).selectExpr("id", "'new' AS v"), "e2")
+    store.drop(store.compact(dataset.identity, buckets=4))
+    early = datetime.datetime(2020, 1, 1, tzinfo=datetime.timezone.utc)
+    attempt = Attempt("t", "s", "d", "e1", 1)
+    store.write(log_rows(spark.range(5).selectExpr("id", "'old' AS v"), "id"), attempt, early, early)
+    store.commit(attempt, early, 5)
+    want = {"0": "e2", "1": "e2", "2": "e2", "3": "e1", "4": "e1"}
+    assert {r[2]: r[1] for r in content(store, "raw", dataset.identity)} == want
+    store.drop(store.compact(dataset.identity))
+    assert {r[2]: r[1] for r in content(store, "raw", dataset.identity)} == want
+    assert {r[2]: r[1] for r in content(store, "raw") if r[0] == "d"} == want
+    with pytest.raises(ValueError, match="at least one bucket"):
+        store.compact(dataset.identity, buckets=-1)
+
+
 def test_run_that_began_before_a_compaction_does_not_win(spark, store):
     """Such a run takes the general path, where start times decide."""
     dataset = Dataset("t", "s", "d", "full", technical_key="id")

@@ -10,6 +10,7 @@ _TYPES: dict[str, T.DataType] = {
     "strings": T.ArrayType(T.StringType()),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
+    "bigints": T.ArrayType(T.LongType()),
     "double": T.DoubleType(),
     "decimal": T.DecimalType(38, 10),
     "boolean": T.BooleanType(),
@@ -82,7 +83,17 @@ LAYER_SNAPSHOT = _schema(
 
 COMPACTIONS = _schema(
     "layer string, tenant_id string, source_id string, dataset_id string, compaction bigint, "
-    "last_started timestamp"
+    "last_started timestamp, versions bigints"
+)
+
+# Records of a snapshot in key buckets, without the columns that folders tell.
+BUCKET_ROWS = _schema(
+    "record_key string, payload string, cursor cursor, "
+    "execution_id string, started_at timestamp, written_at timestamp"
+)
+BUCKET_FOLDERS = _schema(
+    "layer string, tenant_id string, source_id string, dataset_id string, buckets int, "
+    "bucket int, version bigint"
 )
 
 # The last batch of each stream whose rows are part of a snapshot.

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators.upsert import latest, upsert_newer
+from tidemark.sinks.buckets import Buckets, newer_of
 from tidemark.sinks.control import (
     TICKET,
     WRITE,
@@ -221,20 +222,67 @@ class Store:
             "written_at",
         )
 
+    def _compaction(self, layer: str, dataset: Identity) -> Row | None:
+        newest = self.compactions.current().where(F.col("layer") == layer)
+        return _of_dataset(newest, dataset).first()
+
     def _snapshot(self, layer: str, dataset: Identity | None) -> DataFrame | None:
         """Records of the newest compaction of each dataset; None where nothing is compacted."""
+        if dataset:
+            row = self._compaction(layer, dataset)
+            if row is None:
+                return None
+            if row.versions:
+                rows = self._buckets(layer, dataset, len(row.versions)).rows(row.versions)
+                return _with_identity(rows, dataset)
         prefix = f"layer={layer}/"
         stored = self._partitioned("snapshots", schemas.LAYER_SNAPSHOT, dataset, prefix)
-        newest = self.compactions.current().where(F.col("layer") == layer)
         if dataset:
-            row = _of_dataset(newest, dataset).first()
-            return stored.where(F.col("compaction") == row.compaction) if row else None
+            return stored.where(F.col("compaction") == row.compaction)
+        newest = self.compactions.current().where(F.col("layer") == layer)
         if newest.isEmpty():
             return None
-        return stored.join(newest, [*schemas.IDENTITY, "compaction"], "left_semi")
+        whole = stored.join(
+            newest.where("versions IS NULL"), [*schemas.IDENTITY, "compaction"], "left_semi"
+        )
+        bucketed = newest.where("versions IS NOT NULL").select(
+            *schemas.IDENTITY,
+            F.size("versions").alias("buckets"),
+            F.posexplode("versions").alias("bucket", "version"),
+        )
+        if bucketed.isEmpty():
+            return whole
+        parts = read_parquet(
+            self.spark,
+            f"{self.root}/buckets/layer={layer}",
+            T.StructType([*schemas.BUCKET_ROWS.fields, *schemas.BUCKET_FOLDERS.fields]),
+            f"{self.root}/buckets",
+        ).join(bucketed, bucketed.columns, "left_semi")
+        columns = [*schemas.IDENTITY, *schemas.BUCKET_ROWS.fieldNames()]
+        return whole.select(*columns).unionByName(parts.select(*columns))
+
+    def _buckets(self, layer: str, dataset: Identity, count: int) -> Buckets:
+        folder = f"{self.root}/buckets/layer={layer}/{_dataset_folder(dataset)}/buckets={count}"
+        return Buckets(self.spark, folder, schemas.BUCKET_ROWS, count)
+
+    def _onto_buckets(self, layer: str, dataset: Identity, compaction: Row) -> DataFrame:
+        """Current records of a dataset in buckets: only rows newer than the snapshot move."""
+        buckets = self._buckets(layer, dataset, len(compaction.versions))
+        base = buckets.rows(compaction.versions)
+        fresh = buckets.spread(_one_per_key(self._log_records(layer, self.log(dataset))))
+        if self._late(layer, dataset).isEmpty():
+            kept = base.join(fresh.select("record_key"), "record_key", "left_anti")
+            merged = kept.select(*base.columns).unionByName(fresh)
+        else:
+            merged = newer_of(base, fresh, ARRIVAL)
+        return _with_identity(merged, dataset)
 
     def records(self, layer: str, dataset: Identity | None = None) -> DataFrame:
         """Current records with their arrival columns; all datasets or a single one."""
+        if dataset:
+            compaction = self._compaction(layer, dataset)
+            if compaction and compaction.versions:
+                return self._onto_buckets(layer, dataset, compaction)
         fresh = self._log_records(layer, self.log(dataset))
         snapshot = self._snapshot(layer, dataset)
         if snapshot is None:
@@ -283,12 +331,16 @@ class Store:
 
     # --- compaction -------------------------------------------------------------------
 
-    def compact(self, dataset: Identity) -> list[str]:
-        """Writes a dataset's current records as a new snapshot of both layers.
+    def compact(self, dataset: Identity, buckets: int | None = None) -> list[str]:
+        """Makes a dataset's current records the snapshot of both layers.
 
         Covers the attempts that are committed when it begins, one row per run since the last
         compaction; afterwards their rows count by the snapshot alone. An attempt that is still
         being written, or was given up, is left alone. Returns the covered folders for ``drop``.
+
+        With ``buckets`` the snapshot is kept in so many key buckets: this and later compactions
+        rewrite only buckets that hold a newly written key, and reads join without moving the
+        snapshot. The number stays until another one is given, which rewrites the snapshot once.
         """
         committed = _of_dataset(self.attempts.current(), dataset).collect()
         attempts = [Attempt(**{name: row[name] for name in _FOLDERS}) for row in committed]
@@ -298,24 +350,28 @@ class Store:
             T.StructType([schemas.SYNC_ATTEMPTS[name] for name in _FOLDERS]),
         )
         log = self._partitioned("log", schemas.SYNC_LOG, dataset).join(pinned, _FOLDERS, "left_semi")
-        compaction = next_ticket()
+        number = next_ticket()
         for layer in LAYERS:
             rows = self._log_records(layer, log)
-            previous = self._snapshot(layer, dataset)
-            if previous is not None:
-                rows = previous.select(*rows.columns).unionByName(rows)
-                covered.append(self._snapshot_folder(layer, dataset, self._number(layer, dataset)))
-            folder = self._snapshot_folder(layer, dataset, compaction)
-            kept = latest(rows, RECORD_KEY, ARRIVAL)
-            kept.drop(*schemas.IDENTITY).write.mode("errorifexists").parquet(folder)
-            written = self.spark.read.schema("started_at timestamp").parquet(folder)
-            last = written.agg(F.max("started_at").alias("last_started")).first().last_started
+            previous = self._compaction(layer, dataset)
+            count = buckets or len(previous and previous.versions or ())
+            if count:
+                versions, replaced = self._merge(layer, dataset, rows, previous, count, number)
+                starts = [row.started_at for row in committed]
+                if previous and previous.last_started:
+                    starts.append(previous.last_started)
+                last = max(starts, default=None)
+            else:
+                versions = None
+                last, replaced = self._rewrite(layer, dataset, rows, previous, number)
+            covered += replaced
             self.compactions.upsert(
                 self.compactions.one_row(
                     **dict(zip(schemas.IDENTITY, dataset)),
                     layer=layer,
-                    compaction=compaction,
+                    compaction=number,
                     last_started=last,
+                    versions=versions,
                 )
             )
         if attempts:
@@ -323,6 +379,58 @@ class Store:
             self.attempts.delete(pinned)
         return covered
 
+    def _rewrite(
+        self, layer: str, dataset: Identity, rows: DataFrame, previous: Row | None, number: int
+    ) -> tuple[datetime.datetime | None, list[str]]:
+        """Writes a whole snapshot; returns the last start in it and the folders it replaces."""
+        replaced = []
+        if previous:
+            rows = self._snapshot(layer, dataset).select(*rows.columns).unionByName(rows)
+            replaced = [self._snapshot_folder(layer, dataset, previous.compaction)]
+        folder = self._snapshot_folder(layer, dataset, number)
+        kept = latest(rows, RECORD_KEY, ARRIVAL)
+        kept.drop(*schemas.IDENTITY).write.mode("errorifexists").parquet(folder)
+        written = self.spark.read.schema("started_at timestamp").parquet(folder)
+        return written.agg(F.max("started_at")).first()[0], replaced
+
+    def _merge(
+        self,
+        layer: str,
+        dataset: Identity,
+        rows: DataFrame,
+        previous: Row | None,
+        count: int,
+        number: int,
+    ) -> tuple[list[int], list[str]]:
+        """Writes a new version of each bucket with new rows; returns versions and folders replaced.
+
+        Only the numbers of such buckets reach the driver, at most ``count``.
+        """
+        buckets = self._buckets(layer, dataset, count)
+        versions = list(previous.versions or ()) if previous else []
+        if len(versions) != count:  # a first compaction, or one with another number of buckets
+            replaced = []
+            if previous and versions:
+                other = self._buckets(layer, dataset, len(versions))
+                replaced = [other.path(b, v) for b, v in enumerate(versions) if v]
+            elif previous:
+                replaced = [self._snapshot_folder(layer, dataset, previous.compaction)]
+            if previous:
+                rows = self._snapshot(layer, dataset).select(*rows.columns).unionByName(rows)
+            buckets.write(buckets.spread(_one_per_key(rows)), number)
+            return [number] * count, replaced
+        touched = sorted(
+            row[0] for row in rows.select(buckets.bucket_of()).distinct().toLocalIterator()
+        )
+        if not touched:
+            return versions, []
+        fresh = buckets.spread(_one_per_key(rows))
+        buckets.write(newer_of(buckets.rows(versions, touched), fresh, ARRIVAL), number)
+        replaced = [buckets.path(b, versions[b]) for b in touched]
+        for bucket in touched:
+            versions[bucket] = number
+        return versions, replaced
+
     def _remember_batches(self, dataset: Identity, committed: list[Row]) -> None:
         """Keeps the last batch of each stream: its commit row is about to go."""
         last: dict[str, Row] = {}
@@ -356,10 +464,6 @@ class Store:
         )
         return [folder for table in tables for folder in table.compact()]
 
-    def _number(self, layer: str, dataset: Identity) -> int:
-        rows = self.compactions.current().where(F.col("layer") == layer)
-        return _of_dataset(rows, dataset).first().compaction
-
     def _snapshot_folder(self, layer: str, dataset: Identity, compaction: int) -> str:
         path = _dataset_folder(dataset)
         return f"{self.root}/snapshots/layer={layer}/{path}/compaction={compaction}"
@@ -392,3 +496,12 @@ def _of_dataset(df: DataFrame, dataset: Identity | None) -> DataFrame:
     for name, value in zip(schemas.IDENTITY, dataset or ()):
         df = df.where(F.col(name) == value)
     return df
+
+
+def _one_per_key(rows: DataFrame) -> DataFrame:
+    """The last record of each key of one dataset, without the dataset's own columns."""
+    return latest(rows.select(*schemas.BUCKET_ROWS.fieldNames()), ["record_key"], ARRIVAL)
+
+
+def _with_identity(rows: DataFrame, dataset: Identity) -> DataFrame:
+    return rows.withColumns({n: F.lit(v) for n, v in zip(schemas.IDENTITY, dataset)})

@@ -107,6 +107,21 @@ def sync_compacted(spark, sf):
     return _records(store.normalized(CUSTOMER.identity))
 
 
+def sync_bucketed_merge(spark, sf):
+    """A snapshot in key buckets, merged with a second run, then a third run on top of it."""
+    store = new_store(spark)
+    orders = table(spark, sf, "orders")
+    full = Dataset("acme", "erp", "orders", "full", technical_key="o_orderkey")
+    _sync(store, full, orders, "full-1")
+    store.drop(store.compact(full.identity, buckets=16))
+    lower = F.lower("o_orderpriority")
+    _sync(store, full, orders.where("o_orderkey % 9 = 0").withColumn("o_orderpriority", lower), "full-2")
+    store.drop(store.compact(full.identity))
+    shifted = orders.where("o_orderkey % 6 = 0").withColumn("o_orderstatus", F.lit("X"))
+    _sync(store, full, shifted, "full-3")
+    return _records(store.normalized(full.identity))
+
+
 def incremental_lookback_resume(spark, sf):
     """A second run reads ten days again and finds only rows of those: the cursor stays."""
     store = new_store(spark)
@@ -266,6 +281,20 @@ QUERIES = {
         FROM customer
         """,
     ),
+    "sync_bucketed_merge": (
+        sync_bucketed_merge,
+        f"""
+        SELECT 'orders' AS dataset_id,
+               CASE WHEN o_orderkey % 6 = 0 THEN 'full-3' WHEN o_orderkey % 9 = 0 THEN 'full-2'
+                    ELSE 'full-1' END AS execution_id,
+               cast(o_orderkey AS varchar) AS record_key,
+               {sql.json({**sql.ORDERS, "o_orderstatus":
+                   "CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE o_orderstatus END",
+                   "o_orderpriority": "CASE WHEN o_orderkey % 6 <> 0 AND o_orderkey % 9 = 0 "
+                   "THEN lower(o_orderpriority) ELSE o_orderpriority END"})} AS payload
+        FROM orders
+        """,
+    ),
     "incremental_lookback_resume": (
         incremental_lookback_resume,
         f"""
