@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from tidemark import Dataset, Execution, run_sync, schemas
 from tidemark.streaming import topics
 from tidemark.streaming.ingest import stream_rows
+from tidemark.streaming.upserts import changes, current_records, stream_upserts
 
 
 def finish(query):
@@ -161,3 +162,38 @@ def test_sync_requests_of_several_files(spark, store, tmp_path, testdata):
     ledger = {r.execution_id: r.total_records for r in store.executions.current().collect()}
     assert ledger == {"e1": spark.read.parquet(f"{testdata}/part.parquet").count(), "e2": 0}
     assert [tuple(r) for r in store.rejected().collect()] == [("sync", "{bad", "malformed message")]
+
+
+def test_upserts_by_state_write_only_changes(spark, tmp_path):
+    arrivals, offsets, out = (str(tmp_path / name) for name in ("in", "offsets", "out"))
+    kind = "key string, at int, first_seen string, last double"  # names that are used inside, too
+    batches = [
+        [("a", 1, "x", 1.0), ("a", 3, "y", None), ("b", 2, "z", 1.0), (None, 1, "n", 0.0)],
+        [("a", 2, "late", 1.0), ("b", 2, "z", 1.0), ("c", None, "", 1.0), (None, 2, "m", 0.0)],
+        [],
+        [("a", 3, "y", 5.0), ("c", None, "", 1.0), ("b", None, "zz", 9.0), ("d", 1, "q" * 99_999, 1.0)],
+    ]
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    schema = spark.createDataFrame([], kind).schema
+    for rows in batches:
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(arrivals)
+        stream = spark.readStream.schema(schema).parquet(arrivals)
+        finish(stream_upserts(stream, ["key"], ["at"], out, offsets))
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+    found = changes(spark, out, schema)
+    per_batch = {}
+    for row in found.collect():
+        per_batch.setdefault(row.batch, set()).add((row.key, row.at, row.first_seen[:5], row.last))
+    numbers = sorted(per_batch)
+    assert [per_batch[n] for n in numbers] == [
+        {("a", 3, "y", None), ("b", 2, "z", 1.0), (None, 1, "n", 0.0)},
+        {("c", None, "", 1.0), (None, 2, "m", 0.0)},
+        {("a", 3, "y", 5.0), ("d", 1, "qqqqq", 1.0)},
+    ]
+    now = {r.key: (r.at, r.last) for r in current_records(spark, out, schema, ["key"], ["at"]).collect()}
+    assert now == {"a": (3, 5.0), "b": (2, 1.0), "c": (None, 1.0), "d": (1, 1.0), None: (2, 0.0)}
+    stream = spark.readStream.schema(schema).parquet(arrivals)  # anew, without the state
+    finish(stream_upserts(stream, ["key"], ["at"], out, str(tmp_path / "other")))
+    again = current_records(spark, out, schema, ["key"], ["at"]).collect()
+    assert {r.key: (r.at, r.last) for r in again} == now
+    assert current_records(spark, str(tmp_path / "none"), schema, ["key"], ["at"]).count() == 0

@@ -12,6 +12,7 @@ from tidemark.sources.catalogs import from_frames
 from tidemark.sources.tables import parquet_folder
 from tidemark.streaming import topics
 from tidemark.streaming.ingest import stream_rows
+from tidemark.streaming.upserts import changes, current_records, stream_upserts
 from workload import catalogs, inputs, sql
 from workload.inputs import as_sql, derive, table
 from workload.syncs import (
@@ -217,6 +218,25 @@ def stream_ingest_then_incremental(spark, sf):
     return records.select("dataset_id", "execution_id", "record_key", "payload")
 
 
+def stream_upsert_state(spark, sf):
+    """Order lines in three runs of one stream, each with later and earlier ones of the orders.
+
+    Returns the current line of each order and how often a micro-batch has changed it.
+    """
+    arrivals, offsets = scratch_dir(spark, "arrivals"), scratch_dir(spark, "offsets")
+    written = scratch_dir(spark, "changes")
+    keys, order = ["l_orderkey"], ["l_shipdate", "l_linenumber"]
+    lines = table(spark, sf, "lineitem").select(*keys, *order, "l_extendedprice")
+    for part in range(3):
+        lines.where(F.col("l_linenumber") % 3 == part).write.mode("append").parquet(arrivals)
+        arriving = spark.readStream.schema(lines.schema).parquet(arrivals)
+        _finish(stream_upserts(arriving, keys, order, written, offsets))
+    counted = changes(spark, written, lines.schema).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("changes")
+    )
+    return current_records(spark, written, lines.schema, keys, order).join(counted, keys)
+
+
 _PG_OBJECTS = catalogs.QUERIES["catalog_tables"][1]
 _PG_SCHEMAS = catalogs.QUERIES["catalog_schemas_postgres"][1]
 
@@ -303,6 +323,23 @@ QUERIES = {
         SELECT 'r3', false, 0, 0
         """,
     ),
+    "stream_upsert_state": (
+        stream_upsert_state,
+        """
+        WITH best AS (
+            SELECT l_orderkey, l_linenumber % 3 AS part,
+                   max({'d': l_shipdate, 'n': l_linenumber, 'p': l_extendedprice}) AS line
+            FROM lineitem GROUP BY ALL
+        ), marked AS (
+            SELECT *, max(line) OVER (PARTITION BY l_orderkey ORDER BY part
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM best
+        )
+        SELECT l_orderkey, max(line).d AS l_shipdate, max(line).n AS l_linenumber,
+               max(line).p AS l_extendedprice,
+               count(*) FILTER (before IS NULL OR line > before) AS changes
+        FROM marked GROUP BY l_orderkey
+        """,
+    ),
     "stream_ingest": (
         stream_ingest,
         f"SELECT 'events' AS dataset_id, cast(event_id AS varchar) AS record_key, "
