@@ -97,7 +97,7 @@ class FakeReader:
         self.session.loads.append(self.settings)
         rows = self.session.rows
         if "query" in self.settings:
-            query = self.settings["query"].replace('"', "`").replace("`s`.`t`", "{rows}")
+            query = self.settings["query"].replace("double precision", "double").replace('"', "`").replace("`s`.`t`", "{rows}")
             return rows.sparkSession.sql(query, rows=rows)
         return rows
 
@@ -194,9 +194,9 @@ def test_open_with_resolves_the_secret(spark, monkeypatch):
     )
     jdbc.open_with(spark, {"ref": "secret"}.get)(row)
     assert seen["password"] == "secret" and seen["table"] == "`s`.`t`"
-    assert seen["cursor"] is None and seen["limits"] == (10, 600, None, 200)
+    assert seen["cursor"] is None and seen["limits"] == (10, 600, None, 200, True)
     jdbc.open_with(spark, {"ref": "secret"}.get, connections=3, partitions=9, query_seconds=5)(row)
-    assert seen["limits"] == (3, 5, None, 9)
+    assert seen["limits"] == (3, 5, None, 9, True)
 
 
 @pytest.mark.parametrize(
@@ -224,3 +224,18 @@ def test_ranges_cover_the_new_rows_only(spark):
     assert found.count() == 100
     nothing_new, _ = read(rows, technical_key="id", incremental_column="v", last_value="990")
     assert nothing_new.where("v > 990").count() == 0
+
+
+def test_counted_ranges_of_text_and_skewed_keys(spark):
+    rows = spark.range(900).selectExpr(
+        "concat('k', lpad(id, 6, '0')) AS code", "if(id < 800, id, id * id * id) AS n"
+    )
+    for key in ("code", "N"):
+        found, loads = read(rows, technical_key=key, partitions=9, connections=None, counted=True)
+        shares = loads[-1]["predicates"]
+        assert len(shares) == 9 and found.count() == 900
+        in_spark = [s.replace('"', "") for s in shares]
+        counted = rows.selectExpr(*(f"count_if({s}) AS n{i}" for i, s in enumerate(in_spark))).first()
+        assert sum(counted) == 900 and max(counted) <= 110
+    empty, loads = read(rows.limit(0), technical_key="n", counted=True)
+    assert empty.count() == 0 and "predicates" not in loads[-1]

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.defaults import DEFAULT_SSL_MODE
 from tidemark.functions.values import column_of, is_moment, require_column
+from tidemark.sources.ranges import KeyRanges
 
 # Seconds to wait for a connection, connections open at one time, and seconds
 # that a query of a sync may take.
@@ -167,6 +168,7 @@ def read_table(
     query_seconds: int = QUERY_SECONDS,
     last_value: str | None = None,
     partitions: int = PARTITIONS,
+    counted: bool = False,
 ) -> DataFrame:
     """A table read over several connections (S2, S3); ``table`` is already qualified.
 
@@ -177,6 +179,10 @@ def read_table(
     by the greatest cursor found first; rows beyond it belong to the next run. With the stored
     cursor as ``last_value`` the ranges are laid over the new rows only, which otherwise would all
     fall to one connection; it filters nothing.
+
+    ``counted`` lays the ranges by counts of the key (``ranges``), so a skewed key gives even
+    shares and a text key is read by ranges instead of as many scans. It costs a few aggregate
+    queries over the key column; otherwise ranges are of equal width.
     """
     settings = {**options, "fetchsize": str(batch_size), "queryTimeout": str(query_seconds)}
     reader = spark.read.format("jdbc").options(**settings)
@@ -200,7 +206,15 @@ def read_table(
         return spark.read.jdbc(options["url"], table, predicates=shares, properties=properties)
 
     rows = whole
-    if plan.kind == "range":
+    if counted and plan.column:
+        kind = require_column(whole, plan.column).dataType
+        shares = KeyRanges(
+            lambda query: reader.option("query", query).load().collect(),
+            connector, table, quoted(connector, plan.column), kind, newer,
+        ).predicates(partitions)
+        if len(shares) > 1:
+            rows = by_predicates(shares)
+    elif plan.kind == "range":
         limits = bounds(plan.column)
         if limits.low is not None and limits.low < limits.high:
             rows = (
@@ -220,7 +234,8 @@ def read_table(
             rows = by_predicates(number_shares(connector, plan.column, *ends, partitions))
     elif plan.kind == "hash":
         rows = by_predicates(text_key_shares(connector, plan.column, connections or MAX_CONNECTIONS))
-    if connections and plan.kind in ("range", "number") and connections < partitions:
+    split = counted or plan.kind in ("range", "number")
+    if connections and plan.column and split and connections < partitions:
         rows = rows.coalesce(connections)
     if incremental_column:
         cursor = require_column(whole, incremental_column)
@@ -242,6 +257,7 @@ def open_with(
     connections: int | None = MAX_CONNECTIONS,
     partitions: int = PARTITIONS,
     query_seconds: int = QUERY_SECONDS,
+    counted: bool = True,
 ) -> Callable[[Row], DataFrame]:
     """Opens a resolved dataset over JDBC; ``password_of`` looks a secret up by reference."""
 
@@ -268,6 +284,7 @@ def open_with(
             query_seconds,
             dataset.last_value,
             partitions,
+            counted,
         )
 
     return open_dataset

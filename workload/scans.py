@@ -8,6 +8,7 @@ from tidemark.functions import cursors
 from tidemark.operators.batches import batch_ledger, batches_of, number_rows
 from tidemark.operators.preview import first_rows, page
 from tidemark.operators.upsert import delete, upsert
+from tidemark.sources.ranges import KeyRanges
 from workload import sql
 from workload.inputs import CHECKPOINTS, EXECUTIONS, NEW_MARKS, as_sql, derive, table
 
@@ -41,6 +42,49 @@ def scan_keyset_ties(spark, sf):
     return number_rows(rows, "l_orderkey", 1000, order)
 
 
+def _shares(spark, sf, name, column, shares):
+    """Bounds and rows of the ranges that a read of a table by ``column`` would be laid out in.
+
+    Spark stands in for the source: it runs the queries that would go there.
+    """
+    rows = table(spark, sf, name)
+    view = f"source_{name}_{column}"
+    rows.createOrReplaceTempView(view)
+    ranges = KeyRanges(
+        lambda query: spark.sql(query).collect(), "mysql", view, f"`{column}`",
+        rows.schema[column].dataType, tolerance=0,
+    ).predicates(shares)
+    share = F.coalesce(*(F.when(F.expr(p), F.lit(n)) for n, p in enumerate(ranges)))
+    return rows.groupBy(share.alias("share")).agg(
+        F.min(column).alias("low"), F.max(column).alias("high"), F.count(F.lit(1)).alias("held")
+    )
+
+
+def key_ranges(spark, sf):
+    return _shares(spark, sf, "lineitem", "l_orderkey", 16)
+
+
+def key_ranges_moments(spark, sf):
+    return _shares(spark, sf, "events", "ts", 24)
+
+
+def key_ranges_text(spark, sf):
+    return _shares(spark, sf, "customer", "c_name", 10)
+
+
+def _shares_sql(name, column, shares):
+    return f"""
+    WITH keys AS (SELECT {column} AS k, count(*) AS c FROM {name} GROUP BY 1),
+    placed AS (SELECT *, sum(c) OVER (ORDER BY k) - c AS before, sum(c) OVER () AS total FROM keys),
+    edges AS (SELECT DISTINCT (SELECT min(k) FROM placed WHERE before * {shares} >= i * total) AS edge
+              FROM range(1, {shares}) AS numbers(i))
+    SELECT cast(share AS integer) AS share, min(k) AS low, max(k) AS high,
+           cast(sum(c) AS bigint) AS held
+    FROM (SELECT k, c, (SELECT count(*) FROM edges WHERE edge <= k) AS share FROM keys)
+    GROUP BY share
+    """
+
+
 def incremental_by_date(spark, sf):
     return cursors.newer_than(table(spark, sf, "events"), "ts", "2024-01-20T00:00:00Z")
 
@@ -147,6 +191,9 @@ QUERIES = {
         )
         + " AS batch_number FROM lineitem",
     ),
+    "key_ranges": (key_ranges, _shares_sql("lineitem", "l_orderkey", 16)),
+    "key_ranges_moments": (key_ranges_moments, _shares_sql("events", "ts", 24)),
+    "key_ranges_text": (key_ranges_text, _shares_sql("customer", "c_name", 10)),
     "incremental_by_date": (
         incremental_by_date,
         "SELECT * FROM events WHERE ts > timestamp '2024-01-20 00:00:00'",
