@@ -185,6 +185,25 @@ def test_recall_on_the_table(spark, testdata):
     assert sum(r.n_links for r in got) >= 0.9 * 2 * len(links)
 
 
+def test_recall_at_the_threshold(spark):
+    """Pairs planted at cosines from 0.93 to 0.95 among vectors that are near to nothing."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for pair in range(1500):
+        first, other = rng.normal(size=(2, 64))
+        first /= np.linalg.norm(first)
+        other -= (other @ first) * first
+        other /= np.linalg.norm(other)
+        cosine = rng.uniform(0.9301, 0.95)
+        second = cosine * first + (1 - cosine**2) ** 0.5 * other
+        rows += [(2 * pair, pair % 2, first.tolist()), (2 * pair + 1, pair % 2, second.tolist())]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = projections.near_duplicates(frame.repartition(5)).collect()
+    linked = sum(r.n_links for r in got) / 2
+    assert 0.95 * 1500 <= linked <= 1500
+    assert all(r.component_id == r.vec_id - r.vec_id % 2 for r in got if r.n_links)
+
+
 def test_empty_embeddings(spark):
     frame = empty(spark, "vec_id long, label int, embedding array<float>")
     assert projections.near_duplicates(frame).collect() == []
