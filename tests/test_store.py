@@ -340,3 +340,68 @@ def test_control_tables_are_compacted_without_change(store):
     assert before[1][0][-2:] != before[1][0][-1:] * 2  # created in January, updated later
     store.sources.upsert(source("newer", FEBRUARY))
     assert store.sources.current().first().created_at < store.sources.current().first().updated_at
+
+
+def rows_scanned(df, table):
+    """Rows that scans of some folder hand on once the frame is computed."""
+    df.collect()
+    total, plans = 0, [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        elif kind == "FileSourceScanExec" and f"/{table}/" in plan.metadata().apply("Location"):
+            total += plan.metrics().apply("numOutputRows").value()
+        children = plan.children().iterator()
+        while children.hasNext():
+            plans.append(children.next())
+    return total
+
+
+@pytest.fixture()
+def scattered(spark, store):
+    """Eight files, each with keys from the whole range: bounds of keys exclude none of them."""
+    dataset = Dataset("t", "s", "d", "full", technical_key="id")
+    rows = spark.range(16_000).selectExpr("id", "'one' AS v").repartition(8)
+    go(store, dataset, rows, "e1")
+    return dataset
+
+
+def test_records_of_keys_read_only_files_that_may_hold_them(spark, store, scattered):
+    def found(keys, **where):
+        return sorted(r.record_key for r in store.records_of("raw", keys, **where).collect())
+
+    identity = scattered.identity
+    assert rows_scanned(store.raw(identity), "log") == 16_000
+    assert rows_scanned(store.records_of("raw", ["17"], identity), "log") <= 4_000
+    assert rows_scanned(store.records_of("raw", ["none", None], identity), "log") <= 4_000
+    assert found(["17", "17", None, "none", "9"], dataset=identity) == ["17", "9"]
+    many = [str(n) for n in range(0, 16_000, 500)]  # more than one part of a list
+    assert found(many) == sorted(many)
+    assert found([], dataset=identity) == []
+    assert found(["17"], dataset=("t", "s", "other")) == []
+    wanted = spark.createDataFrame([(5,), (5,), (None,), (99_999,)], "`a.key` int")
+    assert found(wanted, dataset=identity) == ["5"]
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_records_of_keys_in_snapshots(spark, store, scattered, buckets):
+    identity = scattered.identity
+    store.drop(store.compact(identity, buckets=buckets))
+    go(store, scattered, spark.range(10, 20).selectExpr("id", "'two' AS v"), "e2")
+    wanted = spark.createDataFrame([("5",), ("17",), ("none",)], "k string")
+    for keys in (["5", "17", "none"], wanted):
+        rows = store.records_of("normalized", keys, identity).collect()
+        assert sorted((r.record_key, r.execution_id) for r in rows) == [("17", "e2"), ("5", "e1")]
+    none = store.records_of("raw", ["none"], identity)
+    assert rows_scanned(none, "buckets" if buckets else "snapshots") <= 4_500
+
+
+def test_keys_narrow_rows_before_they_are_combined(spark, store, scattered):
+    wanted = spark.range(3).selectExpr("cast(id AS string) AS k")
+    plan = store.records_of("raw", wanted, scattered.identity)._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert text.index("Aggregate") < text.index("Join LeftSemi")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import Dataset, Execution, run_sync
+from tidemark.functions import cursors
 from tidemark.plans import sync as sync_module
 from tidemark.operators.batches import batch_ledger
 
@@ -256,3 +257,19 @@ def test_lookback_never_moves_the_cursor_back(spark, store):
     assert result.total_records == 1 and store.last_value(dataset.identity) == "9"
     go(store, dataset, spark.sql("SELECT 12L AS id"), "e3", lookback=6)
     assert store.last_value(dataset.identity) == "12"
+
+
+def test_rows_are_counted_by_the_write(spark, store, orders):
+    """The count is that of the files and of the commit row; the log is not read for it."""
+    first = go(store, ORDERS, orders, "e1")
+    again = go(store, ORDERS, orders, "e2")
+    assert first.total_persisted == first.total_records == store.log(ORDERS.identity).count()
+    assert (again.total_persisted, again.last_value) == (0, None)
+    assert [r.records for r in store.attempts.current().collect()] == [first.total_records]
+    ledger = {r.execution_id: r.total_persisted for r in store.executions.current().collect()}
+    assert ledger == {"e1": first.total_records, "e2": 0}
+    kind = orders.schema["o_orderkey"].dataType
+    top = store.log(ORDERS.identity).agg(
+        cursors.checkpoint_text(F.max("cursor"), kind)
+    ).first()[0]
+    assert first.last_value == top

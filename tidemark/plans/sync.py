@@ -58,6 +58,7 @@ class SyncResult:
     total_batches: int = 0
     last_value: str | None = None
     error: str | None = None
+    total_persisted: int = 0
 
 
 def now() -> datetime.datetime:
@@ -128,29 +129,26 @@ def _read_and_write(
         raise ValueError(f"unsupported sync mode: {dataset.sync_mode}")
 
     attempt = Attempt(*dataset.identity, execution.execution_id, next_ticket())
-    written = store.write(
-        log_rows(rows, dataset.technical_key, column, key_bits), attempt, started, now()
-    )
-    # Count and cursor come from the files just written, so they always match them. Only the
-    # cursor column is read.
-    count = F.count(F.lit(1)).alias("records")
+    top = None
     if column:
         kind = require_column(rows, column).dataType
-        greatest = cursors.never_before(F.max("cursor"), old, kind)
-        facts = written.agg(
-            count, cursors.checkpoint_text(greatest, kind).alias("last_value")
-        ).first()
-        last = facts.last_value if facts.records else None
-    else:
-        facts = written.agg(count).first()
-        last = None
-    if facts.records:
-        store.commit(attempt, started, facts.records, last)
+        top = cursors.checkpoint_text(cursors.never_before(F.max("cursor"), old, kind), kind)
+    # Count and cursor are taken from the rows as they pass into the files, so they always match
+    # them: a task's share counts once, when Spark accepts that task's files.
+    written = store.write(
+        log_rows(rows, dataset.technical_key, column, key_bits), attempt, started, now(), top
+    )
+    last = written.last_value if written.records else None
+    if written.records:
+        store.commit(attempt, started, written.records, last)
     else:
         store.discard(attempt)
     size = dataset.batch_size if dataset.batch_size > 0 else DEFAULT_BATCH_SIZE
-    batches = -(-facts.records // size)
-    return SyncResult(execution.execution_id, "completed", facts.records, batches, last)
+    batches = -(-written.records // size)
+    return SyncResult(
+        execution.execution_id, "completed", written.records, batches, last,
+        total_persisted=written.records,
+    )
 
 
 def move_checkpoint(
@@ -189,6 +187,7 @@ def record_outcome(
         trigger_type=execution.trigger_type,
         status=result.status,
         total_records=result.total_records,
+        total_persisted=result.total_persisted,
         total_batches=result.total_batches,
         duration_ms=int((completed - started).total_seconds() * 1000),
         error_message=result.error,

@@ -46,7 +46,7 @@ SYNC_EXECUTIONS = _schema(
     "execution_id string, tenant_id string, source_id string, dataset_id string, "
     "connector_type string, trigger_type string, status string, total_records bigint, "
     "total_batches bigint, duration_ms bigint, error_message string, started_at timestamp, "
-    "completed_at timestamp"
+    "completed_at timestamp, total_persisted bigint"
 )
 
 SYNC_CHECKPOINTS = _schema(

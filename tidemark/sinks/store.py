@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +26,7 @@ from tidemark.sinks.control import (
 )
 
 Identity = tuple[str, str, str]
+Narrowing = Callable[[DataFrame], DataFrame]
 
 LAYERS = {"raw": "ingested_at", "normalized": "normalized_at"}
 _FOLDERS = [*schemas.IDENTITY, "execution_id", "attempt"]
@@ -35,6 +38,10 @@ ARRIVAL = ["started_at", "execution_id", "cursor"]
 #: How executions of streams are named: by stream and batch.
 _BATCH = re.compile(r"(.*)-([0-9]{12,})", re.DOTALL)
 
+#: Values of a list that Spark compares with Bloom filters: its
+#: ``spark.sql.parquet.pushdown.inFilterThreshold``, unless that is changed.
+_LISTED = 10
+
 # Characters that Spark escapes in partition folder names.
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f")
 
@@ -49,6 +56,12 @@ def _dataset_folder(dataset: Identity) -> str:
     return "/".join(f"{n}={_folder_value(v)}" for n, v in zip(schemas.IDENTITY, dataset))
 
 
+def _key_filters(*columns: str) -> dict[str, str]:
+    """Parquet options that add Bloom filters of some columns to each row group."""
+    wanted = {f"parquet.bloom.filter.enabled#{column}": "true" for column in columns}
+    return wanted | {"parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 @dataclass(frozen=True)
 class Attempt:
     """One write of one execution into the log."""
@@ -65,6 +78,14 @@ class Attempt:
         return f"{dataset}/execution_id={execution}/attempt={self.attempt}"
 
 
+@dataclass(frozen=True)
+class Written:
+    """What the rows of an attempt were, seen as they were written."""
+
+    records: int
+    last_value: str | None
+
+
 class Store:
     """Layers, registry, checkpoints, executions, messages and refused requests.
 
@@ -155,22 +176,26 @@ class Store:
         attempt: Attempt,
         started_at: datetime.datetime,
         written_at: datetime.datetime,
-    ) -> DataFrame:
-        """Writes both layers' rows of one attempt in a single pass (K1, K2).
+        last_value: Column | None = None,
+    ) -> Written:
+        """Writes both layers' rows of one attempt in a single pass (K1, K2, A1).
 
         The folder belongs to this attempt alone, so a task or job retry replaces nothing
-        else. Nothing of it is read or compacted before ``commit``. Returns the written rows,
-        read back from the files.
+        else. Nothing of it is read or compacted before ``commit``. The rows are counted, and
+        ``last_value`` aggregated over them, by the job that writes them. Keys get Bloom filters,
+        sized by the number of keys in each file, by which ``records_of`` passes over files.
         """
-        folder = f"{self.log_path}/{attempt.folder()}"
+        seen = Observation()
+        top = F.lit(None).cast("string") if last_value is None else last_value
         (
-            rows.withColumn("started_at", F.lit(started_at).cast("timestamp"))
+            rows.observe(seen, F.count(F.lit(1)).alias("records"), top.alias("last_value"))
+            .withColumn("started_at", F.lit(started_at).cast("timestamp"))
             .withColumn("written_at", F.lit(written_at).cast("timestamp"))
             .write.mode("overwrite")
-            .parquet(folder)
+            .options(**_key_filters("raw_key", "normalized_key"))
+            .parquet(f"{self.log_path}/{attempt.folder()}")
         )
-        stored = T.StructType([f for f in schemas.SYNC_LOG.fields if f.name not in _FOLDERS])
-        return self.spark.read.schema(stored).parquet(folder)
+        return Written(**seen.get)
 
     def commit(
         self,
@@ -265,11 +290,14 @@ class Store:
         folder = f"{self.root}/buckets/layer={layer}/{_dataset_folder(dataset)}/buckets={count}"
         return Buckets(self.spark, folder, schemas.BUCKET_ROWS, count)
 
-    def _onto_buckets(self, layer: str, dataset: Identity, compaction: Row) -> DataFrame:
+    def _onto_buckets(
+        self, layer: str, dataset: Identity, compaction: Row, among: Narrowing
+    ) -> DataFrame:
         """Current records of a dataset in buckets: only rows newer than the snapshot move."""
         buckets = self._buckets(layer, dataset, len(compaction.versions))
-        base = buckets.rows(compaction.versions)
-        fresh = buckets.spread(_one_per_key(self._log_records(layer, self.log(dataset))))
+        base = among(buckets.rows(compaction.versions))
+        log = among(self._log_records(layer, self.log(dataset)))
+        fresh = buckets.spread(_one_per_key(log))
         if self._late(layer, dataset).isEmpty():
             kept = base.join(fresh.select("record_key"), "record_key", "left_anti")
             merged = kept.select(*base.columns).unionByName(fresh)
@@ -277,17 +305,22 @@ class Store:
             merged = newer_of(base, fresh, ARRIVAL)
         return _with_identity(merged, dataset)
 
-    def records(self, layer: str, dataset: Identity | None = None) -> DataFrame:
-        """Current records with their arrival columns; all datasets or a single one."""
+    def records(
+        self, layer: str, dataset: Identity | None = None, among: Narrowing = lambda rows: rows
+    ) -> DataFrame:
+        """Current records with their arrival columns; all datasets or a single one.
+
+        ``among`` narrows rows to some record keys before they are combined per key.
+        """
         if dataset:
             compaction = self._compaction(layer, dataset)
             if compaction and compaction.versions:
-                return self._onto_buckets(layer, dataset, compaction)
-        fresh = self._log_records(layer, self.log(dataset))
+                return self._onto_buckets(layer, dataset, compaction, among)
+        fresh = among(self._log_records(layer, self.log(dataset)))
         snapshot = self._snapshot(layer, dataset)
         if snapshot is None:
             return latest(fresh, RECORD_KEY, ARRIVAL)
-        base = snapshot.select(*fresh.columns)
+        base = among(snapshot).select(*fresh.columns)
         late = self._late(layer, dataset)
         if late.isEmpty():
             return upsert_newer(base, fresh, RECORD_KEY, ARRIVAL)
@@ -313,9 +346,11 @@ class Store:
             .select(*schemas.IDENTITY)
         )
 
-    def layer(self, layer: str, dataset: Identity | None = None) -> DataFrame:
+    def layer(
+        self, layer: str, dataset: Identity | None = None, among: Narrowing = lambda rows: rows
+    ) -> DataFrame:
         """The layer as its table: one current row per record key."""
-        return self.records(layer, dataset).select(
+        return self.records(layer, dataset, among).select(
             *schemas.IDENTITY,
             "execution_id",
             "record_key",
@@ -323,6 +358,30 @@ class Store:
             F.col("written_at").alias(LAYERS[layer]),
         )
 
+    def records_of(
+        self, layer: str, keys: DataFrame | Sequence[str], dataset: Identity | None = None
+    ) -> DataFrame:
+        """The layer's rows of some record keys (O5); keys without a record give nothing.
+
+        A list is for a few hundred keys at most: as a condition on the scans it passes over row
+        groups whose Bloom filters hold none of them, over pages of snapshots by their order, and
+        over other buckets. A DataFrame has any number of keys in its first column, null and
+        repeated ones included, and is joined before rows are combined per key.
+        """
+        if isinstance(keys, DataFrame):
+            column = F.col(f"`{keys.columns[0]}`").cast("string")
+            wanted = keys.select(column.alias("record_key"))
+            return self.layer(
+                layer,
+                dataset,
+                lambda rows: rows.join(wanted, "record_key", "left_semi").select(*rows.columns),
+            )
+        listed = sorted({key for key in keys if key is not None})
+        # Spark hands a longer list to the files as its bounds alone.
+        parts = [listed[n : n + _LISTED] for n in range(0, len(listed), _LISTED)]
+        hit = reduce(or_, (F.col("record_key").isin(part) for part in parts), F.lit(False))
+        return self.layer(layer, dataset, lambda rows: rows.where(hit))
+
     def raw(self, dataset: Identity | None = None) -> DataFrame:
         return self.layer("raw", dataset)
 
@@ -389,7 +448,14 @@ class Store:
             replaced = [self._snapshot_folder(layer, dataset, previous.compaction)]
         folder = self._snapshot_folder(layer, dataset, number)
         kept = latest(rows, RECORD_KEY, ARRIVAL)
-        kept.drop(*schemas.IDENTITY).write.mode("errorifexists").parquet(folder)
+        # Keys in order let a reader of few keys pass over row groups and pages.
+        (
+            kept.drop(*schemas.IDENTITY)
+            .sortWithinPartitions("record_key")
+            .write.mode("errorifexists")
+            .options(**_key_filters("record_key"))
+            .parquet(folder)
+        )
         written = self.spark.read.schema("started_at timestamp").parquet(folder)
         return written.agg(F.max("started_at")).first()[0], replaced
 

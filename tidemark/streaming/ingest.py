@@ -50,16 +50,15 @@ def _write(
         return compacted.records if last else 0, compacted.last_value if last else old
     started = now()
     column = dataset.incremental_column
-    written = store.write(
-        log_rows(batch, dataset.technical_key, column, key_bits), attempt, started, now()
-    )
-    top = F.lit(None).cast("string")
+    top = None
     if column:
         kind = require_column(batch, column).dataType
         top = cursors.checkpoint_text(cursors.never_before(F.max("cursor"), old, kind), kind)
-    facts = written.agg(F.count(F.lit(1)).alias("records"), top.alias("last")).first()
-    store.commit(attempt, started, facts.records, facts["last"])
-    return facts.records, facts["last"]
+    written = store.write(
+        log_rows(batch, dataset.technical_key, column, key_bits), attempt, started, now(), top
+    )
+    store.commit(attempt, started, written.records, written.last_value)
+    return written.records, written.last_value
 
 
 def stream_rows(
@@ -95,7 +94,8 @@ def stream_rows(
             raise
         size = dataset.batch_size if dataset.batch_size > 0 else DEFAULT_BATCH_SIZE
         result = SyncResult(
-            execution.execution_id, "completed", records, -(-records // size), last
+            execution.execution_id, "completed", records, -(-records // size), last,
+            total_persisted=records,
         )
         recorded = record_outcome(store, dataset, execution, started, result)
         if dataset.sync_mode == "incremental":

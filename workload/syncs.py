@@ -153,6 +153,27 @@ def changes_between_runs(spark, sf):
     return changes_between(rows, "full-1", "full-2").select("dataset_id", "record_key", "change")
 
 
+def records_by_key(spark, sf):
+    """The records of all customers with an order, from a snapshot and a run after it."""
+    store = new_store(spark)
+    customer = table(spark, sf, "customer")
+    _sync(store, CUSTOMER, customer, "full-1")
+    store.drop(store.compact(CUSTOMER.identity))
+    lower = customer.where("c_acctbal < 0").withColumn("c_mktsegment", F.lower("c_mktsegment"))
+    _sync(store, CUSTOMER, lower, "full-2")
+    wanted = table(spark, sf, "orders").select("o_custkey")
+    return _records(store.records_of("normalized", wanted, CUSTOMER.identity))
+
+
+def execution_persisted(spark, sf):
+    """Rows read and rows persisted of a full run, a first incremental one, and one without news."""
+    store = new_store(spark)
+    _sync(store, CUSTOMER, table(spark, sf, "customer"), "full-1")
+    _sync(store, EVENTS, table(spark, sf, "events"), "inc-1")
+    _sync(store, EVENTS, table(spark, sf, "events"), "inc-2")
+    return store.executions.current().select("execution_id", "total_records", "total_persisted")
+
+
 SOURCE_ROWS = """
 SELECT 'acme' AS tenant_id, lower(n_name) AS source_id, 'postgres' AS connector_type,
        'db' AS host, cast(5432 AS int) AS port, 'sales' AS database, '' AS schema,
@@ -314,6 +335,26 @@ QUERIES = {
         FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 11 <> 0
         """,
     ),
+    "records_by_key": (
+        records_by_key,
+        f"""
+        SELECT 'customer' AS dataset_id,
+               CASE WHEN c_acctbal < 0 THEN 'full-2' ELSE 'full-1' END AS execution_id,
+               cast(c_custkey AS varchar) AS record_key,
+               {sql.json({**sql.CUSTOMER, "c_mktsegment":
+                   "CASE WHEN c_acctbal < 0 THEN lower(c_mktsegment) ELSE c_mktsegment END"})}
+                   AS payload
+        FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)
+        """,
+    ),
+    "execution_persisted": (
+        execution_persisted,
+        """
+        SELECT execution_id, records AS total_records, records AS total_persisted
+        FROM (SELECT 'full-1' AS execution_id, count(*) AS records FROM customer UNION ALL
+              SELECT 'inc-1', count(*) FROM events UNION ALL SELECT 'inc-2', 0)
+        """,
+    ),
     "sync_requests": (sync_requests, REQUESTED_SQL),
     "sync_requests_after_reset": (
         sync_requests_after_reset,
