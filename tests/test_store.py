@@ -405,3 +405,73 @@ def test_keys_narrow_rows_before_they_are_combined(spark, store, scattered):
     plan = store.records_of("raw", wanted, scattered.identity)._jdf.queryExecution()
     text = plan.optimizedPlan().toString()
     assert text.index("Aggregate") < text.index("Join LeftSemi")
+
+
+def checkpoint_table(spark, tmp_path, **options):
+    from tidemark import schemas
+    from tidemark.sinks.control import ControlTable
+
+    path = str(tmp_path / "table")
+    return ControlTable(spark, path, schemas.SYNC_CHECKPOINTS, schemas.IDENTITY, **options)
+
+
+def put(table, name, value):
+    table.upsert(table.one_row(tenant_id="t", source_id="s", dataset_id=name, last_value=value))
+
+
+def values(table):
+    return {r.dataset_id: r.last_value for r in table.current().collect()}
+
+
+def folders(table, tmp_path):
+    return [p for p in (tmp_path / "table").iterdir() if p.name.startswith("write_ticket=")]
+
+
+def test_folders_of_a_control_table_stay_few(spark, tmp_path):
+    table = checkpoint_table(spark, tmp_path, fold_after=5, keep_seconds=0)
+    for n in range(30):
+        put(table, f"d{n % 3}", str(n))
+        assert len(folders(table, tmp_path)) <= 2 * (5 + 1) + 1
+    assert values(table) == {"d0": "27", "d1": "28", "d2": "29"}
+    assert table.changes().count() <= 5 + 3
+
+
+def test_folded_folders_stay_for_readers_that_began_before(spark, tmp_path):
+    table = checkpoint_table(spark, tmp_path, fold_after=2)
+    put(table, "a", "1")
+    reader = table.current()
+    for n in range(6):
+        put(table, "a", str(n))
+    assert [r.last_value for r in reader.collect()] == ["1"]
+    assert len(folders(table, tmp_path)) >= 7
+    assert len(table.changes().inputFiles()) <= 3
+
+
+def test_changes_beside_a_fold_are_kept(spark, tmp_path):
+    """A change that appears while a fold is made, and a fold that dies before its list is there."""
+    table = checkpoint_table(spark, tmp_path, fold_after=1_000)
+    put(table, "a", "1")
+    seen = table._open
+    put(table, "b", "1")
+    first = seen()
+    table._open = lambda: (first[0][:1], first[1])  # the second folder is not there yet
+    table.fold()
+    table._open = seen
+    assert values(table) == {"a": "1", "b": "1"}
+    put(table, "a", "2")
+    (tmp_path / "table" / "_folded" / "99.unfinished").write_text("write_ticket=1")
+    assert values(table) == {"a": "2", "b": "1"}
+    table.delete(table.one_row(tenant_id="t", source_id="s", dataset_id="b"))
+    assert len(table.fold()) == 4
+    assert table.fold() and values(table) == {"a": "2"}
+
+
+def test_folding_that_fails_leaves_the_change(spark, tmp_path, monkeypatch):
+    table = checkpoint_table(spark, tmp_path, fold_after=0)
+
+    def broken():
+        raise OSError("no room")
+
+    monkeypatch.setattr(table, "fold", broken)
+    put(table, "a", "1")
+    assert values(table) == {"a": "1"}
