@@ -1,4 +1,6 @@
 import threading
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from tidemark import (
     schemas,
 )
 from tidemark.operators.requests import check_required
+from tidemark.plans.requests import _Turns
 from tidemark.sources.tables import parquet_folder
 
 
@@ -216,3 +219,77 @@ def test_a_store_that_cannot_be_written_is_reported(spark, registered, testdata,
     )
     with pytest.raises(OSError, match="read-only store"):
         process_requests(registered, requests, parquet_folder(spark, testdata), workers=2)
+
+
+def test_a_stuck_sync_fails_and_others_finish(spark, registered, testdata):
+    """Spark jobs that take too long are ended; nothing of them is seen, and the next one runs."""
+    requests = rows_of(
+        spark, schemas.SYNC_REQUEST,
+        request("part", "e1", "2024-01-01 00:00:01"),
+        request("part", "e2", "2024-01-01 00:00:02"),
+        request("orders", "o1", "2024-01-01 00:00:03"),
+    )
+    opened = parquet_folder(spark, testdata)
+    pools = set()
+
+    def open_dataset(row):
+        pools.add(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        rows = opened(row)
+        if row.execution_id == "e1":  # each row takes ten minutes
+            slow = F.udf(lambda n: time.sleep(600) or n, "long")
+            rows = rows.withColumn("p_partkey", slow("p_partkey"))
+        return rows
+
+    begin = time.monotonic()
+    process_requests(registered, requests, open_dataset, workers=2, limit=20)
+    assert time.monotonic() - begin < 120
+    ledger = {r.execution_id: r for r in registered.executions.current().collect()}
+    assert {k: r.status for k, r in ledger.items()} == {
+        "e1": "failed", "e2": "completed", "o1": "completed"
+    }
+    assert ledger["e1"].error_message == "not finished within 20 seconds"
+    assert {r.execution_id for r in registered.raw(("t", "s", "part")).collect()} == {"e2"}
+    assert pools == {"t"}
+
+
+def test_waiting_requests_of_one_dataset_hold_no_worker():
+    """Two workers, many rows of one dataset first: the other datasets do not wait for them."""
+    done, lock = [], threading.Lock()
+
+    def run(row):
+        time.sleep(0.02)
+        with lock:
+            done.append(row)
+
+    with ThreadPoolExecutor(2) as pool:
+        turns = _Turns(pool, run, 1_000)
+        for n in range(50):
+            assert turns.add(("t", "s", "hot"), ("hot", n))
+        for n in range(5):
+            assert turns.add(("t", "s", f"d{n}"), (f"d{n}", 0))
+        turns.finish()
+    assert [n for name, n in done if name == "hot"] == list(range(50))
+    assert max(place for place, (name, _) in enumerate(done) if name != "hot") < 30
+
+
+def test_rows_ahead_are_bounded_and_trouble_ends_all():
+    held, most = [0], [0]
+    lock = threading.Lock()
+
+    def run(row):
+        with lock:
+            held[0] -= 1
+        if row == 30:
+            raise OSError("read-only store")
+
+    with ThreadPoolExecutor(2) as pool:
+        turns = _Turns(pool, run, 4)
+        for n in range(100):
+            if not turns.add(("t", "s", f"d{n % 3}"), n):
+                break
+            with lock:
+                held[0] += 1
+                most[0] = max(most[0], held[0])
+        with pytest.raises(OSError, match="read-only store"):
+            turns.finish()
+    assert most[0] <= 6 and n < 100

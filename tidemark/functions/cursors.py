@@ -25,7 +25,7 @@ def _slot(kind: T.DataType) -> str:
         return "number"
     if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
         return "real"
-    if isinstance(kind, T.StringType):
+    if isinstance(kind, (T.StringType, T.DecimalType)):
         return "word"
     raise ValueError(f"a column of type {kind.simpleString()} cannot be a cursor")
 
@@ -33,7 +33,10 @@ def _slot(kind: T.DataType) -> str:
 def sortable(value: Column, kind: T.DataType) -> Column:
     """The value inside the sortable cursor struct; all fields null for a null value."""
     slot = _slot(kind)
-    value = utc_clock(value, kind) if slot == "at" else value
+    if slot == "at":
+        value = utc_clock(value, kind)
+    elif slot == "word" and isinstance(kind, T.DecimalType):
+        value = _ordered_text(value, kind)
     return F.struct(
         *(
             (value if f.name == slot else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -42,6 +45,30 @@ def sortable(value: Column, kind: T.DataType) -> Column:
     )
 
 
+# Digits in ascending order, and what stands for them in numbers below zero.
+_DIGITS, _MIRRORED = "0123456789", "9876543210"
+
+
+def _ordered_text(value: Column, kind: T.DecimalType) -> Column:
+    """A decimal that the log's number field does not hold exactly, as text that sorts like it.
+
+    All digits of the type, after ``+``; below zero after ``#``, which sorts before it, each digit
+    replaced by what it lacks to nine, so that greater amounts come first.
+    """
+    # Not ``abs`` and ``< 0``, which do not keep 38 digits of a decimal.
+    plain = F.format_number(value, kind.scale)
+    digits = F.lpad(F.translate(plain, ",-", ""), kind.precision + 2, "0")
+    below = F.concat(F.lit("#"), F.translate(digits, _DIGITS, _MIRRORED))
+    return F.when(plain.startswith("-"), below).otherwise(F.concat(F.lit("+"), digits))
+
+
+def _number_of(text: Column, kind: T.DecimalType) -> Column:
+    """The decimal of such a text."""
+    digits = F.substring(text, 2, 80)
+    below = F.concat(F.lit("-"), F.translate(digits, _MIRRORED, _DIGITS))
+    return F.when(text.startswith("#"), below).otherwise(digits).cast(kind)
+
+
 def no_cursor() -> Column:
     """The cursor of a row that was read without one."""
     return F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.CURSOR.fields))
@@ -57,6 +84,8 @@ def checkpoint_text(cursor: Column, kind: T.DataType) -> Column:
     value = cursor.getField(_slot(kind))
     if is_moment(kind):
         return value_text(value, T.TimestampNTZType())
+    if isinstance(kind, T.DecimalType) and _slot(kind) == "word":
+        return value_text(_number_of(value, kind), kind)
     return value_text(value.cast(kind), kind)
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime
 import logging
-from collections.abc import Callable
+import threading
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import cursors
@@ -65,6 +68,42 @@ def now() -> datetime.datetime:
     return datetime.datetime.now(datetime.timezone.utc)
 
 
+@contextmanager
+def time_limit(spark: SparkSession, seconds: float | None) -> Iterator[None]:
+    """Ends the Spark jobs that this thread starts when ``seconds`` are over (None: never).
+
+    Jobs are known by a tag, so those of other threads go on. What runs outside of a job, such as
+    a driver that waits for a database, is not interrupted: the next job after it is.
+    """
+    if seconds is None:
+        yield
+        return
+    context = spark.sparkContext
+    tag = f"tidemark-{uuid.uuid4().hex}"
+    done, late = threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if not done.wait(seconds):
+            late.set()
+            while not done.is_set():
+                context.cancelJobsWithTag(tag)
+                done.wait(0.5)
+
+    watcher = threading.Thread(target=watch, name=tag, daemon=True)
+    context.addJobTag(tag)
+    watcher.start()
+    try:
+        yield
+    except Exception as error:
+        if late.is_set():
+            raise TimeoutError(f"not finished within {seconds:g} seconds") from error
+        raise
+    finally:
+        done.set()
+        watcher.join()
+        context.removeJobTag(tag)
+
+
 def run_sync(
     store: Store,
     dataset: Dataset,
@@ -72,9 +111,12 @@ def run_sync(
     execution: Execution,
     lookback: int | float = 0,
     key_bits: int = 64,
+    limit: float | None = None,
 ) -> SyncResult:
     """Runs a sync and records its outcome; an error ends as a ``failed`` result.
 
+    So does reading and writing that takes longer than ``limit`` seconds; nothing of it is seen.
+
     Order of effects: layers, then the ledger, then the checkpoint, then messages. Whatever a
     lost driver leaves out is repeated by the next run, and an upsert of the same rows changes
     nothing.
@@ -84,9 +126,10 @@ def run_sync(
     old = None
     try:
         old = store.last_value(dataset.identity)
-        result = _read_and_write(
-            store, dataset, open_source, execution, started, old, lookback, key_bits
-        )
+        with time_limit(store.spark, limit):
+            result = _read_and_write(
+                store, dataset, open_source, execution, started, old, lookback, key_bits
+            )
     except Exception as error:  # noqa: BLE001 - every failure belongs in the ledger
         log.warning("sync %s failed", execution.execution_id, exc_info=True)
         result = SyncResult(execution.execution_id, "failed", error=error_text(error))

@@ -18,6 +18,7 @@ def session(app_name: str = "tidemark", **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.scheduler.mode": "FAIR",  # tenants share the cluster, see plans/requests.py
         "spark.ui.showConsoleProgress": "false",
     }
     settings.update({key: str(value) for key, value in conf.items()})

@@ -91,11 +91,12 @@ def sync_requests(
     checkpoint_location: str,
     trigger: Mapping[str, object] = _ALL_WAITING,
     workers: int = 4,
+    limit: float | None = None,
 ) -> StreamingQuery:
-    """Runs each requested sync."""
+    """Runs each requested sync (S11, T4); one that takes ``limit`` seconds fails."""
 
     def handle(requests: DataFrame, batch: str) -> None:
-        process_requests(store, requests, open_dataset, workers, batch=batch)
+        process_requests(store, requests, open_dataset, workers, batch=batch, limit=limit)
 
     return _start(
         store, "sync", messages, schemas.SYNC_REQUEST, handle, checkpoint_location, trigger
