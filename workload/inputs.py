@@ -36,7 +36,8 @@ def as_sql(sql: str) -> str:
 
 SOURCES = """
 SELECT concat('t', cast(s_suppkey % 5 AS string)) AS tenant_id,
-       concat('s', cast(s_suppkey AS string)) AS source_id,
+       concat(CASE WHEN s_acctbal >= 0 THEN 's' ELSE 'spare' END, cast(s_suppkey AS string))
+           AS source_id,
        CASE s_nationkey % 4 WHEN 0 THEN 'oracle' WHEN 1 THEN 'mysql'
             WHEN 2 THEN 'sqlserver' ELSE 'postgres' END AS connector_type,
        lower(s_name) AS host,
@@ -47,13 +48,14 @@ SELECT concat('t', cast(s_suppkey % 5 AS string)) AS tenant_id,
        'reader' AS username,
        concat('ref', cast(s_suppkey AS string)) AS password_ref,
        'disable' AS ssl_mode
-FROM {supplier} WHERE s_acctbal >= 0
+FROM {supplier}
 """
 
 DATASETS = """
 SELECT concat('t', cast(c_custkey % 120 % 5 AS string)) AS tenant_id,
        concat('s', cast(c_custkey % 120 AS string)) AS source_id,
-       concat('d', cast(c_custkey AS string)) AS dataset_id,
+       concat(CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'spare' ELSE 'd' END,
+              cast(c_custkey AS string)) AS dataset_id,
        CASE WHEN c_nationkey < 5 THEN NULL
             ELSE concat('schema', cast(c_nationkey AS string)) END AS schema_name,
        lower(c_name) AS table_name,
@@ -66,7 +68,7 @@ SELECT concat('t', cast(c_custkey % 120 % 5 AS string)) AS tenant_id,
        CASE WHEN c_custkey % 2 = 0 THEN 'id' ELSE NULL END AS technical_key,
        cast(c_nationkey * 100 AS int) AS batch_size,
        c_acctbal >= 500 AS enabled
-FROM {customer} WHERE c_mktsegment <> 'HOUSEHOLD'
+FROM {customer}
 """
 
 REQUESTS = """

@@ -175,14 +175,17 @@ def execution_persisted(spark, sf):
 
 
 SOURCE_ROWS = """
-SELECT 'acme' AS tenant_id, lower(n_name) AS source_id, 'postgres' AS connector_type,
+SELECT 'acme' AS tenant_id,
+       concat(CASE WHEN n_nationkey < 3 THEN '' ELSE 'spare ' END, lower(n_name)) AS source_id,
+       'postgres' AS connector_type,
        'db' AS host, cast(5432 AS int) AS port, 'sales' AS database, '' AS schema,
        'reader' AS username, 'ref' AS password_ref, cast(NULL AS string) AS ssl_mode
-FROM {nation} WHERE n_nationkey < 3
+FROM {nation}
 """
 DATASET_ROWS = """
 SELECT 'acme' AS tenant_id, lower(n_name) AS source_id,
-       CASE n_nationkey WHEN 0 THEN 'orders' WHEN 1 THEN 'customer' ELSE 'part' END AS dataset_id,
+       CASE WHEN n_nationkey = 0 THEN 'orders' WHEN n_nationkey = 1 THEN 'customer'
+            WHEN n_nationkey < 4 THEN 'part' ELSE 'supplier' END AS dataset_id,
        CASE n_nationkey WHEN 0 THEN 'orders' WHEN 1 THEN 'customer' ELSE 'part' END AS table_name,
        CASE n_nationkey WHEN 0 THEN 'incremental' ELSE 'full' END AS sync_mode,
        '' AS schema_name, '' AS object_type,
@@ -191,7 +194,7 @@ SELECT 'acme' AS tenant_id, lower(n_name) AS source_id,
        CASE n_nationkey WHEN 0 THEN 'o_orderkey' WHEN 1 THEN 'c_custkey' ELSE 'p_partkey'
        END AS technical_key,
        cast(0 AS int) AS batch_size, n_nationkey <> 2 AS enabled
-FROM {nation} WHERE n_nationkey < 4
+FROM {nation}
 """
 SYNC_ROWS = """
 SELECT 'acme' AS tenant_id, lower(n_name) AS source_id,
@@ -199,7 +202,7 @@ SELECT 'acme' AS tenant_id, lower(n_name) AS source_id,
        concat('run-', cast(n_nationkey AS string)) AS execution_id,
        'postgres' AS connector_type, 'manual' AS trigger_type, 'c' AS correlation_id,
        cast('2024-01-01 00:00:00' AS timestamp) AS timestamp
-FROM {nation} WHERE n_nationkey < 5
+FROM {nation}
 """
 
 
@@ -213,7 +216,7 @@ def registered_store(spark, sf) -> Store:
 
 
 def sync_requests(spark, sf):
-    """Requests for three registered datasets, one of them disabled, and for unknown ones."""
+    """A request of every nation: three have a source, of whose datasets one is disabled."""
     from workload.inputs import derive
 
     store = registered_store(spark, sf)
