@@ -204,6 +204,46 @@ def test_recall_at_the_threshold(spark):
     assert all(r.component_id == r.vec_id - r.vec_id % 2 for r in got if r.n_links)
 
 
+@pytest.mark.parametrize("block", [7, 16_384])
+def test_no_link_is_left_out(spark, monkeypatch, block):
+    """Chains whose ends are not near, ids in any order, and pairs just above and below 0.93."""
+    monkeypatch.setattr(projections, "BLOCK", block)
+    rng = np.random.default_rng(15)
+    rows = [(2, 0, [1.0, 0.0]), (1, 0, [0.95, 0.3122498999]), (3, 0, [0.95, -0.3122498999])]
+    for size, chains in ((1, 0), (3, 25), (64, 25), (90, 5)):
+        for _ in range(chains):
+            link = rng.normal(size=size)
+            for _ in range(int(rng.integers(2, 6))):
+                link /= np.linalg.norm(link)
+                rows.append((0, int(rng.integers(2)), link.tolist()))
+                step = rng.normal(size=size)
+                step -= (step @ link) * link
+                cosine = rng.choice([0.9300001, 0.9299999, 0.94])
+                link = cosine * link + (1 - cosine**2) ** 0.5 * step / np.linalg.norm(step)
+    numbers = rng.permutation(len(rows)) + 10
+    rows = rows[:3] + [(int(i), *r[1:]) for i, r in zip(numbers, rows[3:])]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = projections.near_duplicates(frame.repartition(5)).collect()
+    links = brute_links(rows)
+    reach = smallest_reachable(range(len(rows)), links)
+    want = []
+    for k, (number, *_) in enumerate(rows):
+        first = min(rows[j][0] for j in reach if reach[j] == reach[k])
+        want.append((number, sum(k in pair for pair in links), first, first == number))
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_cells_link_fewer_pairs_at_most(spark):
+    rng = np.random.default_rng(16)
+    first = rng.normal(size=(300, 16)).repeat(2, axis=0)
+    rows = [(k, 0, v.tolist()) for k, v in enumerate(first + rng.normal(size=(600, 16)) * 0.05)]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    links = brute_links(rows)
+    for most, exhaustive in ((1.0, True), (0.95, False)):
+        got = projections.near_duplicates(frame, exhaustive=exhaustive).collect()
+        assert most * 2 * len(links) <= sum(r.n_links for r in got) <= 2 * len(links)
+
+
 def test_empty_embeddings(spark):
     frame = empty(spark, "vec_id long, label int, embedding array<float>")
     assert projections.near_duplicates(frame).collect() == []

@@ -1,15 +1,17 @@
 """Near-duplicate embeddings by collision counting over one-dimensional projections.
 
-Two unit vectors with cosine c differ along a Gaussian direction by a normal number of deviation
-sqrt(2 - 2c). Vectors are dealt into cells by a few projections at a time, in several trees. In a
-cell, values of many further projections are compared: a pair collides where one lies in the window
-around the other, and pairs with enough collisions are verified by their cosine. Cell width, trees,
-window and least count follow from the recall asked for at the threshold. Cells are told apart by
-128 bits of label, length, tree and grid.
-
-Windows over whole sorted projections are not used. At a cosine of 0.93 a window that keeps 0.95 of
-the near pairs keeps 0.40 of all pairs of a label on each projection, so counting collisions there
-would write about 0.2 times the square of a label's vectors per projection.
+Unit vectors with cosine c are sqrt(2 - 2c) apart, and so are at most their projections on all of an
+orthonormal basis together. With windows of a K-th of that distance squared, such a pair misses
+fewer than K windows. All pairs of a label are counted block by block, in windows of whole grid
+cells; pairs with few enough misses are verified by their cosine. No pair at the threshold is lost.
+
+The count cannot be cut short by sorting: at a cosine of 0.93 the window that keeps all near pairs
+on one projection is three deviations of an evenly spread label wide, and keeps nearly all others.
+
+``exhaustive=False`` counts only pairs that share a cell. Two unit vectors with cosine c differ along
+a Gaussian direction by a normal number of deviation sqrt(2 - 2c). Vectors are dealt into cells by a
+few such directions at a time, in several trees; cell width and trees follow from the recall asked
+for at the threshold. Cells are told apart by 128 bits of label, length, tree and grid.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -26,22 +29,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.graph import components, kept
 
-#: Projections of which collisions are counted, and their window in deviations at the threshold.
-COUNTED = 24
-WINDOW = 2.0
+#: Most projections of which collisions are counted, and the share of them that near pairs may miss.
+COUNTED, MISSED = 64, 1 / 4
 #: Cell width in deviations at the threshold, and the number of vectors a cell is meant to hold.
 CELL_WIDTH = 4.0
 CELL_SIZE = 24
-#: Recall at the threshold of the trees, and of the count.
-TREE_RECALL, COUNT_RECALL = 0.985, 0.999
-#: Rows of a block; a fuller cell is compared block by block.
-BLOCK = 768
+#: Recall at the threshold of the trees.
+TREE_RECALL = 0.985
+#: Rows of a block; more vectors of a label, or of a cell, are compared block by block.
+BLOCK = 16_384
+#: Added to the distance squared: far more than rounding of projections, cells and cosines.
+SLACK = 1e-9
 SEED = 20
 BROADCAST_LABELS = 50_000
-
-
-def _normal_within(x: float) -> float:
-    return math.erf(x / math.sqrt(2))
+MOST_TASKS = 20_000
 
 
 def _same_cell(deviation: float, width: float) -> float:
@@ -51,14 +52,9 @@ def _same_cell(deviation: float, width: float) -> float:
     return float((density * (1 - gaps / width)).sum() * width / 4000)
 
 
-def least_collisions(recall: float = COUNT_RECALL) -> int:
-    """The largest count that pairs at the threshold reach with at least this probability."""
-    p, tail = _normal_within(WINDOW), 0.0
-    for count in range(COUNTED, 0, -1):
-        tail += math.comb(COUNTED, count) * p**count * (1 - p) ** (COUNTED - count)
-        if tail >= recall:
-            return count
-    return 1
+def least_collisions(counted: int = COUNTED) -> int:
+    """Collisions that any pair at the threshold has on so many orthonormal projections."""
+    return counted - max(1, int(counted * MISSED)) + 1
 
 
 @lru_cache(maxsize=64)
@@ -73,6 +69,13 @@ def shape(rows: int, threshold: float) -> tuple[int, int]:
     return depth, math.ceil(math.log(1 - TREE_RECALL) / math.log(1 - near**depth))
 
 
+@lru_cache(maxsize=16)
+def _basis(dimensions: int) -> np.ndarray:
+    """Orthonormal directions, up to ``COUNTED`` of them."""
+    random = np.random.default_rng((SEED, dimensions))
+    return np.linalg.qr(random.standard_normal((dimensions, min(dimensions, COUNTED))))[0]
+
+
 @lru_cache(maxsize=16)
 def _directions(dimensions: int, tree: int, count: int) -> np.ndarray:
     return np.random.default_rng((SEED, dimensions, tree)).standard_normal((dimensions, count))
@@ -118,8 +121,11 @@ def _vectors(df: DataFrame, id_column: str, label_column: str, vector_column: st
     ).withColumn("row", F.monotonically_increasing_id())
 
 
-def _cells(classes: DataFrame, threshold: float) -> DataFrame:
-    """A row per class and tree: its cell, and its cells in all trees to tell repeated pairs."""
+def _cells(classes: DataFrame, threshold: float, exhaustive: bool) -> DataFrame:
+    """A row per class and tree: its cell, and its cells in all trees to tell repeated pairs.
+
+    Exhaustive: one cell for each label and length.
+    """
     width = CELL_WIDTH * math.sqrt(2 - 2 * threshold)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +137,7 @@ def _cells(classes: DataFrame, threshold: float) -> DataFrame:
                     *(c.to_pylist() for c in part.columns), strict=True
                 ):
                     vector = np.frombuffer(packed)
-                    depth, trees = shape(of, threshold)
+                    depth, trees = (0, 1) if exhaustive else shape(of, threshold)
                     keys = []
                     for tree in range(trees):
                         ways = _directions(len(vector), tree, depth + 1)
@@ -140,43 +146,71 @@ def _cells(classes: DataFrame, threshold: float) -> DataFrame:
                         keys.append(xxhash.xxh3_128_digest(text))
                     cells = b"".join(key[:8] for key in keys)
                     out += [
-                        (key, tree, number, copies, packed, cells) for tree, key in enumerate(keys)
+                        (key, tree, number, of, copies, packed, cells)
+                        for tree, key in enumerate(keys)
                     ]
                 kinds = (
-                    pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()
+                    pa.binary(), pa.int32(), *[pa.int64()] * 3, pa.binary(), pa.binary()
                 )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                    ["cell", "tree", "class", "copies", "vector", "cells"],
+                    ["cell", "tree", "class", "of", "copies", "vector", "cells"],
                 )
 
     return classes.select("class", "label", "of", "copies", "vector").mapInArrow(
-        deal, "cell binary, tree int, class long, copies long, vector binary, cells binary"
+        deal, "cell binary, tree int, class long, of long, copies long, vector binary, cells binary"
     )
 
 
-def _compare(rows: list[tuple], threshold: float, least: int) -> list[tuple]:
-    """(class, links, smallest linked class) of one tile's rows (side, tree, class, copies, ...)."""
+def _join(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Joins the sets of every x and its y; ``root`` holds the place of the first of each set."""
+    while len(x):
+        one, other = root[x], root[y]
+        apart = one != other
+        x, y, one, other = x[apart], y[apart], one[apart], other[apart]
+        np.minimum.at(root, np.maximum(one, other), np.minimum(one, other))
+        while (root != (above := root[root])).any():
+            root[:] = above
+
+
+def _compare(rows: list[tuple], threshold: float, two: bool) -> list[tuple]:
+    """(class, links, one class for all it reaches) of a tile's rows (side, tree, class, copies, ...).
+
+    Two: only pairs of one row of either side are compared.
+    """
+    rows = sorted(rows, key=lambda r: (r[0], r[2]))
     side = np.array([r[0] for r in rows])
     number = np.array([r[2] for r in rows], np.int64)
     copies = np.array([r[3] for r in rows], np.int64)
     vectors = np.stack([np.frombuffer(r[4]) for r in rows])
     cells = np.stack([np.frombuffer(r[5], np.int64) for r in rows])
     tree, n = rows[0][1], len(rows)
-    values = vectors @ _directions(vectors.shape[1], -1 % (1 << 20), COUNTED)
-    reach = WINDOW * math.sqrt(2 - 2 * threshold)
-    links, smallest = np.zeros(n, np.int64), number.copy()
-    two = side.min() != side.max()
-    for begin in range(0, n, 256):
-        some = slice(begin, begin + 256)
-        count = np.zeros((len(values[some]), n), np.int8)
-        for j in range(COUNTED):
-            count += np.abs(values[some, j, None] - values[None, :, j]) <= reach
-        wanted = count >= least
-        wanted &= (side[some, None] != side[None, :]) if two else True
-        wanted &= number[some, None] < number[None, :]
+    ways = _basis(vectors.shape[1])
+    counted = ways.shape[1]
+    most = counted - least_collisions(counted)  # missed windows
+    width = math.sqrt((2 - 2 * threshold + SLACK) / (most + 1))
+    # Cells of the grid from one to the next cover the window; modulo 256 they do so all the more.
+    grid = np.floor((vectors @ ways).T / width).astype(np.int64).astype(np.uint8)
+    after = grid + np.uint8(1)
+    links, root = np.zeros(n, np.int64), np.arange(n)
+    middle = int(np.searchsorted(side, side[0], "right")) if two else n
+    for begin, start in product(range(0, middle, 128), range(middle if two else 0, n, 2048)):
+        some, others = slice(begin, min(begin + 128, middle)), slice(start, start + 2048)
+        if not two and others.stop <= begin:
+            continue  # counted the other way round
+        missed = np.zeros((some.stop - begin, len(number[others])), np.uint8)
+        apart, far = np.empty_like(missed), np.empty(missed.shape, bool)
+        for j in range(counted):
+            np.subtract(after[j, some, None], grid[j, None, others], out=apart)
+            np.greater(apart, 2, out=far)
+            missed += far.view(np.uint8)
+        wanted = missed <= most
+        if not two:
+            wanted &= number[some, None] < number[None, others]
+        if np.count_nonzero(wanted) > wanted.size // 16:  # too many to look at one by one
+            wanted &= vectors[some] @ vectors[others].T >= threshold - SLACK
         a, b = np.nonzero(wanted)
-        a += begin
+        a, b = a + begin, b + start
         new = ~(cells[a, :tree] == cells[b, :tree]).any(axis=1)  # else an earlier tree has it
         a, b = a[new], b[new]
         for at in range(0, len(a), 20_000):
@@ -185,10 +219,9 @@ def _compare(rows: list[tuple], threshold: float, least: int) -> list[tuple]:
             x, y = x[near], y[near]
             np.add.at(links, x, copies[y])
             np.add.at(links, y, copies[x])
-            np.minimum.at(smallest, x, number[y])
-            np.minimum.at(smallest, y, number[x])
+            _join(root, x, y)
     found = np.flatnonzero(links)
-    return list(zip(number[found].tolist(), links[found].tolist(), smallest[found].tolist()))
+    return list(zip(number[found].tolist(), links[found].tolist(), number[root[found]].tolist()))
 
 
 def near_duplicates(
@@ -198,15 +231,17 @@ def near_duplicates(
     label_column: str = "label",
     vector_column: str = "embedding",
     threshold: float = 0.93,
+    exhaustive: bool = True,
 ) -> DataFrame:
     """One row per row: id, ``n_links``, ``component_id``, ``kept``.
 
-    Vectors of one label (and length) with a cosine of at least ``threshold`` are linked, as far
-    as they are found: the expected recall at the threshold is ``TREE_RECALL * COUNT_RECALL`` and
-    rises quickly above it; none below the threshold is linked. ``n_links`` counts other rows,
-    ``component_id`` is the smallest id reachable by links. Rows with equal vectors are one class
-    with a weight, and only classes are compared; cells that hold more than ``BLOCK`` of them are
-    compared block by block. Null, zero or empty vectors, vectors with null or non-finite
+    All vectors of one label (and length) with a cosine of at least ``threshold`` are linked, none
+    below it. ``n_links`` counts other rows, ``component_id`` is the smallest id reachable by links.
+    Rows with equal vectors are one class with a weight, and only classes are compared; more than
+    ``BLOCK`` of them are compared block by block, so that work and shuffle grow with the square of
+    a label's classes and memory does not. Where labels are too large for that, ``exhaustive=False``
+    compares vectors that share a cell only: the expected recall at the threshold is then
+    ``TREE_RECALL`` and rises quickly above it. Null, zero or empty vectors, vectors with null or non-finite
     components and rows without a label have no links and their own id. Rows that repeat an id
     link as rows; null ids give no component id and are not kept. Other columns are not read, an
     empty table gives an empty result.
@@ -223,23 +258,28 @@ def near_duplicates(
     sizes = classes.groupBy("label", "dimensions").agg(F.count("*").alias("of"))
     if sizes.count() <= BROADCAST_LABELS:
         sizes = F.broadcast(sizes)
-    cells = _cells(classes.join(sizes, ["label", "dimensions"]), threshold)
-    full = (
-        cells.groupBy("cell").agg(F.count("*").alias("_in")).where(F.col("_in") > BLOCK)
-        .select("cell", F.ceil(F.col("_in") / BLOCK).cast("int").alias("_blocks"))
-    )
-    least = least_collisions()
-    blocks = F.coalesce("_blocks", F.lit(1))
+    cells = _cells(classes.join(sizes, ["label", "dimensions"]), threshold, exhaustive)
+    if exhaustive:
+        blocks = F.ceil(F.col("of") / BLOCK).cast("int")
+        counts = sizes.select(blocks.alias("b")).agg(F.sum(F.expr("b * (b + 1L) div 2"))).first()
+        # As many tasks as tiles: what a tile costs is not its bytes.
+        least = classes.sparkSession.sparkContext.defaultParallelism
+        tasks = [min(max(counts[0] or 0, least), MOST_TASKS)]
+    else:
+        full = (
+            cells.groupBy("cell").agg(F.count("*").alias("_in")).where(F.col("_in") > BLOCK)
+            .select("cell", F.ceil(F.col("_in") / BLOCK).cast("int").alias("_blocks"))
+        )
+        cells, blocks, tasks = cells.join(full, "cell", "left"), F.coalesce("_blocks", F.lit(1)), []
     side = F.pmod(F.xxhash64("class"), blocks).cast("int")
     tiles = (
-        cells.join(full, "cell", "left")
-        .withColumn("side", side)
+        cells.withColumn("side", side)
         .withColumn("_with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("low", F.least("side", "_with"))
         .withColumn("high", F.greatest("side", "_with"))
         .select("cell", "low", "high", "side", "tree", "class", "copies", "vector", "cells")
     )
-    tiles = tiles.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
+    tiles = tiles.repartition(*tasks, "cell", "low", "high").sortWithinPartitions("cell", "low", "high")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile, held = None, []
@@ -248,22 +288,22 @@ def near_duplicates(
             for cell, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (cell, low, high) != tile:
                     if len(held) > 1:
-                        out += _compare(held, threshold, least)
+                        out += _compare(held, threshold, tile[1] != tile[2])
                     tile, held = (cell, low, high), []
                 held.append(row)
             yield _links(out)
-        yield _links(_compare(held, threshold, least) if len(held) > 1 else [])
+        yield _links(_compare(held, threshold, tile[1] != tile[2]) if len(held) > 1 else [])
 
     def _links(found: list[tuple]) -> pa.RecordBatch:
         columns = zip(*found, strict=True) if found else ((), (), ())
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in columns], ["class", "links", "smallest"]
+            [pa.array(c, pa.int64()) for c in columns], ["class", "links", "reached"]
         )
 
-    shape_of = "class long, links long, smallest long"
+    shape_of = "class long, links long, reached long"
     linked = kept(tiles.mapInArrow(count, shape_of), "links")
     counted = linked.groupBy("class").agg(F.sum("links").alias("links"))
-    joined = components(linked, "class", "smallest").withColumnRenamed("id", "class")
+    joined = components(linked, "class", "reached").withColumnRenamed("id", "class")
     labelled = (
         classes.select("class", "label", "dimensions", "digest", "copies")
         .join(counted, "class", "left")
