@@ -69,6 +69,24 @@ def test_doubles_in_arrays_and_rows_agree(spark, values):
     assert all(f"[{one}]" == many for one, many in rows.collect())
 
 
+def test_nested_doubles_take_no_formatting_expressions(spark):
+    """Arrays, maps and structs of doubles, null at every depth; keys that are doubles still do."""
+    rows = spark.sql(
+        "SELECT array(array(5e-324D, null), null, array()) AS a, map('k', 1.5e15D, 'j', null) AS m,"
+        " array(named_struct('z', map(1, array(double('NaN'))), 'y', 1L, 'x', true), null) AS s,"
+        " cast(null AS array<double>) AS n, cast(null AS map<string, struct<a: double>>) AS o,"
+        " array(timestamp_ntz'2024-01-02 03:04:05') AS t FROM range(3)"
+    )
+    encoded = rows.select(raw_payload(rows).alias("p"))
+    assert "format_string" not in encoded._jdf.queryExecution().executedPlan().toString()
+    assert [r.p for r in encoded.collect()] == [
+        '{"a":[[5e-324,null],null,[]],"m":{"j":null,"k":1500000000000000},"n":null,"o":null,'
+        '"s":[{"x":true,"y":1,"z":{"1":["NaN"]}},null],"t":["2024-01-02T03:04:05.000000"]}'
+    ] * 3
+    keyed = spark.sql("SELECT map(1.5e15D, 2.5e15D) AS m")
+    assert keyed.select(raw_payload(keyed)).first()[0] == '{"m":{"1500000000000000":2500000000000000}}'
+
+
 def test_floats_and_decimals(spark):
     frame = spark.sql(
         "SELECT CAST('0.1' AS float) AS f, CAST('1e10' AS float) AS g, CAST('100' AS decimal(10,2)) AS d,"
