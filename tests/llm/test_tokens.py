@@ -72,6 +72,41 @@ def test_memo_starts_anew_when_full(monkeypatch):
         assert own([text]) == [len(library(BYTES, text))]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_repeated_fragments_cost_one_lookup_a_batch(path):
+    class Memo(dict):
+        looked_up = 0
+
+        def get(self, *key):
+            self.looked_up += 1
+            return super().get(*key)
+
+        def __contains__(self, key):
+            self.looked_up += 1
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            self.looked_up += 1
+            return super().__getitem__(key)
+
+    own = encoding.Encoder(path, packed_ids, b"".join)
+    own.memo = Memo()
+    texts = ["Ça va, ça va! " * 50 + "x\x07y " * 50, "", "va ça", "“ça va”" * 3, "1 <|endoftext|>"] * 9
+    for _ in range(2):
+        own.memo.looked_up = 0
+        assert own(texts) == [packed_ids(library(path, text)) for text in texts]
+        assert 0 < own.memo.looked_up <= 30
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_each_settled_character_is_encoded_as_by_the_library(path):
+    whole = Tokenizer.from_file(path)
+    texts = [f"a{chr(c)}b {chr(c)}, {chr(c)}9 don't{chr(c)}" for c in range(0x180)]
+    want = [packed_ids(whole.encode(text, add_special_tokens=False).ids) for text in texts]
+    assert encoding.encoder(path)(texts) == want
+    assert encoding.counter(path)(texts) == [len(ids) // 4 for ids in want]
+
+
 def test_byte_slices_keep_order():
     texts = pa.array(["a" * 5, None, "b" * 50, "", "c"])
     parts = list(encoding.byte_slices(texts, 10))

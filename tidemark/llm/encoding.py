@@ -1,9 +1,10 @@
 """Token ids of whole texts by public tokenizers, inside Arrow functions.
 
 Both byte-level vocabularies cut a text into fragments before any merge, and no merge crosses a
-cut. A text is therefore split at white space, a cut in either, and each distinct fragment is
-encoded once per worker, in batches, by the library itself. Texts with characters for which the
-cuts could be read differently here and in the library are left to the library as a whole.
+cut. A text is therefore split at white space, a cut in either, and Arrow finds the distinct
+fragments of a batch. Each is looked up among those the worker remembers, or else encoded by the
+library's model. Texts with characters for which the cuts could be read differently here and in
+the library are left to the library as a whole.
 """
 
 from __future__ import annotations
@@ -12,10 +13,13 @@ import ctypes
 import json
 import os
 import re
+import struct
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
@@ -90,6 +94,18 @@ def release(tokenizers: bool = False) -> None:
         trim(0)
 
 
+class _ByteLetters(dict):
+    """The letters that stand for the bytes of a character in byte-level vocabularies, by its
+    code point, as the library gives them."""
+
+    def __missing__(self, point: int) -> str:
+        from tokenizers import pre_tokenizers
+
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self[point] = "".join(letters for letters, _ in level.pre_tokenize_str(chr(point)))
+        return self[point]
+
+
 class Encoder:
     """Encodes texts with one vocabulary; ``value`` turns the ids of a fragment into what is kept
     for it, and ``total`` the kept values of a text's fragments into its result."""
@@ -106,18 +122,15 @@ class Encoder:
             self.encode_whole = lambda texts: model.encode(texts, num_threads=1)
             return
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers
-
-        def ids_of(vocabulary: Tokenizer) -> Callable:
-            return lambda texts: [
-                e.ids for e in vocabulary.encode_batch_fast(texts, add_special_tokens=False)
-            ]
-
-        @lru_cache(maxsize=1)
-        def whole() -> Callable:
-            return ids_of(Tokenizer.from_file(path))
+        from tokenizers import Tokenizer
 
-        self.encode_whole = self.encode_words = lambda texts: whole()(texts)
+        vocabulary = Tokenizer.from_file(path)
+        self.encode_whole = lambda texts: [
+            e.ids for e in vocabulary.encode_batch_fast(texts, add_special_tokens=False)
+        ]
+        # A fragment is normal and cut already: the model alone is left to apply.
+        tokenize, letters = vocabulary.model.tokenize, _ByteLetters()
+        self.encode_fragment = lambda text: [t.id for t in tokenize(text.translate(letters))]
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
         cut, norm = described["pre_tokenizer"] or {}, described["normalizer"]
@@ -137,43 +150,44 @@ class Encoder:
             and [n["type"] for n in (norm or {}).get("normalizers", [])] == _FOLDING
         ):
             self.pattern, self.folds = _WORD, True
-            words = Tokenizer.from_file(path)
-            words.normalizer = normalizers.Sequence([])  # the words are normal already
-            self.encode_words = ids_of(words)
 
     def _fragments(self, text: str) -> list[str] | None:
         """The text at safe places; None if it has to go to the library as a whole."""
         if self.pattern is None:
             return None
-        if text.isascii():
+        try:
+            text.encode("latin-1")  # a copy, and much less work than the search
+        except UnicodeEncodeError:
+            if _UNSETTLED.search(text):
+                return None
+        else:
             if "<|" in text or any(c in text for c in _CONTROLS):
                 return None
-        elif _UNSETTLED.search(text):
-            return None
         return self.pattern.findall(text.lower() if self.folds else text)
 
     def __call__(self, texts: Sequence[str]) -> list:
         """The result of each whole text, in order."""
         cut = [self._fragments(text) for text in texts]
-        seen = set().union(*(fragments for fragments in cut if fragments is not None))
-        memo = self.memo
-        missing = [fragment for fragment in seen if fragment not in memo]
-        for begin in range(0, len(missing), 20_000):
-            some = missing[begin : begin + 20_000]
-            memo.update(zip(some, map(self.value, self.encode_words(some)), strict=True))
-        whole = [place for place, fragments in enumerate(cut) if fragments is None]
-        results = [
-            fragments and self.total(map(memo.__getitem__, fragments)) for fragments in cut
-        ]
-        for place in whole:
-            results[place] = self.value(self.encode_whole([texts[place]])[0])
-        for fragment in missing[max(0, MEMO_SIZE - len(memo) + len(missing)) :]:
-            del memo[fragment]
-        return [self.value([]) if result == [] else result for result in results]
-
-
-def _bytes_of(ids: Iterable[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+        flat = pa.array(list(chain.from_iterable(filter(None, cut))), pa.large_string())
+        flat = flat.dictionary_encode()
+        seen, memo = flat.dictionary.to_numpy(zero_copy_only=False).tolist(), self.memo
+        values = list(map(memo.get, seen))
+        for place, value in enumerate(values):
+            if value is None:
+                values[place] = self.value(self.encode_fragment(seen[place]))
+                if len(memo) < MEMO_SIZE:
+                    memo[seen[place]] = values[place]
+        kept = np.array(values, object)[flat.indices.to_numpy()].tolist()
+        bounds = accumulate((len(fragments or ()) for fragments in cut), initial=0)
+        results = [self.total(kept[begin:end]) for begin, end in pairwise(bounds)]
+        for place, fragments in enumerate(cut):
+            if fragments is None:
+                results[place] = self.value(self.encode_whole([texts[place]])[0])
+        return results
+
+
+def _bytes_of(ids: Sequence[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 @lru_cache(maxsize=2)
