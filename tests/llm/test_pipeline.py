@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tidemark.llm import language
+from tidemark.llm import language, packing
 
 from .samples import awkward, empty, values
 from .test_chunks import brute
@@ -89,6 +89,22 @@ def test_mixing_and_packing_stages(spark, testdata):
     assert len(held) <= 1.05 * -(-sum(held.values()) // pipeline.CAPACITY) + 1
 
 
+def test_each_text_is_judged_and_cut_once(spark, testdata):
+    docs = documents(spark, testdata)
+    for stage in (pipeline.in_known_language, pipeline.without_repeated_passages):
+        plan = stage(spark, docs, testdata)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1, stage.__name__
+
+
+def test_plan_of_sequences_needs_no_python_workers(spark):
+    rows, _ = packing.plan({3: 5, 7: 2}, 8)
+    for some in (rows, []):
+        table = packing.plan_table(spark, some)
+        assert "PythonRDD" not in table._jdf.rdd().toDebugString()
+        assert [tuple(r) for r in table.collect()] == [tuple(r) for r in some]
+        assert table.dtypes == spark.createDataFrame([], packing.PLAN).dtypes
+
+
 def test_run(spark, testdata):
     rows = pipeline.run(spark, testdata).collect()
     assert rows and {r.doc_id for r in rows} <= {

@@ -288,7 +288,8 @@ def deduplicate(
         release()
         return result
 
-    done = joined.select("_row", cut("_text", "_found").alias("_done"))
+    once = cut.asNondeterministic()  # else a filter on the result would cut all texts again
+    done = joined.select("_row", once("_text", "_found").alias("_done"))
     return done.select(
         *[
             (F.col("_done.text") if c == text_column else F.col(f"_row.`{c}`")).alias(c)

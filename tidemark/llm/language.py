@@ -168,7 +168,11 @@ def identify(
 
 
 def judge(profiles: DataFrame, size: int = PROFILE_SIZE, batch_bytes: int = BATCH_BYTES):
-    """An Arrow function of a text column: struct (lang_pred, score), as ``identify`` says."""
+    """An Arrow function of a text column: struct (lang_pred, score), as ``identify`` says.
+
+    A filter on its result does not call it again: Spark would copy a deterministic function into
+    the filter, and each task would judge all texts twice, in two workers.
+    """
     known = Profiles(profiles.collect(), size)
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
@@ -187,4 +191,5 @@ def judge(profiles: DataFrame, size: int = PROFILE_SIZE, batch_bytes: int = BATC
             ["lang_pred", "score"],
         )
 
-    return lambda text: nearest(F.col(text).cast("string"))
+    once = nearest.asNondeterministic()
+    return lambda text: once(F.col(text).cast("string"))

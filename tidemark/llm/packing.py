@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -205,6 +205,14 @@ def plan(
     return bins.plan, bins.opened
 
 
+def plan_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """Rows of ``PLAN``, handed over by Arrow: a list would start Python workers of its own kind,
+    which stay on beside the others, only to be copied."""
+    names = [column.split()[0] for column in PLAN.split(", ")]
+    columns = [pa.array([row[k] for row in rows], pa.int64()) for k in range(len(names))]
+    return spark.createDataFrame(pa.table(columns, names))
+
+
 def encode_pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -300,7 +308,7 @@ def pack(
     bars = pieces.groupBy("lane", "length").agg(F.count("*").alias("n"))
     histogram = {r.length: r.n for r in bars.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     rows, _ = plan(histogram, capacity, groups, large_share)
-    places = spark.createDataFrame(rows, PLAN)
+    places = plan_table(spark, rows)
 
     before = bars.select(
         "lane",
