@@ -16,6 +16,9 @@ LEAST_SCORE = 0.3
 #: Target weight of each source; None: all sources weigh alike.
 TARGET_WEIGHTS: dict[str, float] | None = None
 CAPACITY = 4096
+#: Ids are marked in so many bits, 8 MB in all; the bits of one bitmap.
+MARK_BITS = 1 << 26
+_BITMAP_BITS = 1 << 15
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +43,37 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Documents without words have no partners and stay. Rows that repeat an id and a text are one
     document. Rows with null ids cannot be told apart: they stay if any of them has to.
+
+    Most ids have one row, which stays: these texts are not shuffled. The other ids are marked in
+    bitmaps of a fixed size, and only rows whose id shares a bit with one of them are looked up.
     """
     found, _ = jaccard.similar(docs.select("doc_id", "text"))
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    stay = stay.select(F.col("doc_id").alias("_stays")).distinct()
-    chosen = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stays")), "left_semi")
-    return chosen.select(*DOCUMENT).dropDuplicates(["doc_id", "text"])
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = found.groupBy("doc_id").agg(F.max(stays).alias("_stays"), F.count("*").alias("_rows"))
+    marked = with_marks(docs.select(*DOCUMENT), ids.where("NOT _stays OR _rows > 1"))
+    stay = ids.where("_stays").select(F.col("doc_id").alias("_id"))
+    chosen = marked.where("_marked").join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    chosen = chosen.select(*DOCUMENT).dropDuplicates(["doc_id", "text"])
+    return marked.where("NOT _marked").select(*DOCUMENT).unionByName(chosen)
+
+
+def with_marks(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` with ``_marked``: true for each ``doc_id`` in ``ids``, and for few others.
+
+    An id sets the bit that its hash names. The bitmaps are broadcast, ``MARK_BITS`` bits at most:
+    more ids make more others share a bit, not larger bitmaps.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS))
+    bitmap, bit = F.floor(place / _BITMAP_BITS), F.pmod(place, F.lit(_BITMAP_BITS)).cast("int")
+    marks = ids.groupBy(bitmap.alias("_bitmap")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    byte = F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(bit, F.lit(8))) == 1
+    return (
+        docs.withColumn("_bitmap", bitmap)
+        .join(F.broadcast(marks), "_bitmap", "left")
+        .withColumn("_marked", F.coalesce(is_set, F.lit(False)))
+        .drop("_bitmap", "_bits")
+    )
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipeline
 from tidemark.llm import language, packing
 
-from .samples import awkward, empty, values
+from .samples import awkward, empty, prose, values
 from .test_chunks import brute
 from .test_links import shingle_set, smallest_reachable
 
@@ -64,6 +64,52 @@ def test_near_copies_stage(spark, testdata):
     assert kept == sorted(want, key=repr)
 
 
+def exchanged_bytes(plan):
+    """What the exchanges of a finished plan wrote, before compression."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return exchanged_bytes(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return exchanged_bytes(plan.plan())
+    own = plan.metrics().apply("dataSize").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(exchanged_bytes(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_near_copies_stage_leaves_most_texts_in_place(spark):
+    texts = [prose(k, 2000) for k in range(60)]
+    rows = [(k, t, "en", "a", len(t)) for k, t in enumerate([*texts, texts[7]])]
+    rows.append(rows[20])
+    docs = spark.createDataFrame(rows, DOCUMENTS).repartition(4).localCheckpoint()
+    kept = pipeline.without_near_copies(spark, docs, "")
+    assert values(kept, *pipeline.DOCUMENT) == sorted(rows[:60], key=repr)
+    moved = exchanged_bytes(kept._jdf.queryExecution().executedPlan())
+    assert 0 < moved < sum(map(len, texts)) / 5
+
+
+def test_near_copies_stage_bears_shared_bits_and_repeated_ids(spark, monkeypatch):
+    docs = awkward_documents(spark).select(*pipeline.DOCUMENT)
+    extra = [(k, prose(k % 9 + 20, 40), "en", "a", 1) for k in [*range(20, 40), 25, 25, 31]]
+    extra += [(21, prose(50, 40), "en", "a", 1), (None, prose(20, 40), "en", "a", 1)]
+    docs = docs.unionByName(spark.createDataFrame(extra, DOCUMENTS)).localCheckpoint()
+    found, _ = pipeline.jaccard.similar(docs.select("doc_id", "text"))
+    stay = {r.doc_id for r in found.collect() if r.doc_id == r.component_id}
+    want = sorted({(r.doc_id, r.text) for r in docs.collect() if r.doc_id in stay}, key=repr)
+    for bits in (pipeline.MARK_BITS, 8, 1):
+        monkeypatch.setattr(pipeline, "MARK_BITS", bits)
+        assert values(pipeline.without_near_copies(spark, docs, ""), "doc_id", "text") == want
+
+
+def test_marks_find_every_id(spark, monkeypatch):
+    docs = spark.range(-3000, 3000).select(F.col("id").alias("doc_id"))
+    docs = docs.unionByName(spark.createDataFrame([(None,)], "doc_id long"))
+    for bits, most in ((pipeline.MARK_BITS, 1005), (1 << 17, 1200)):
+        monkeypatch.setattr(pipeline, "MARK_BITS", bits)
+        ids = docs.where("doc_id % 6 = 0 OR doc_id IS NULL")
+        marked = {r.doc_id for r in pipeline.with_marks(docs, ids).where("_marked").collect()}
+        assert {r.doc_id for r in ids.collect()} <= marked and len(marked) <= most
+    assert pipeline.with_marks(docs, docs.limit(0)).where("_marked").count() == 0
+
+
 def test_passages_stage(spark, testdata):
     docs = documents(spark, testdata).limit(120)
     rows = [(r.doc_id, r.text) for r in docs.collect()]

@@ -376,7 +376,7 @@ def similar(
     lasting, scratch = Scratch(spark), Scratch(spark)
     texts = docs.select(F.col(text_column).cast("string"))
     frequent = frequent_cells(texts, words_each, sketch_bits)
-    rows = lasting.keep(signatures(docs, id_column, text_column, frequent, words_each), "signatures")
+    rows = scratch.keep(signatures(docs, id_column, text_column, frequent, words_each), "signatures")
     classes = rows.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("class"),
         F.min("id").alias("id"),
@@ -397,7 +397,7 @@ def similar(
     pairs = keyed.join(firsts.where("of > 1"), "key").where(F.col("class") != F.col("other"))
     pairs = scratch.keep(pairs.select(F.col("class").alias("one"), "other").distinct(), "pairs")
     found = _verified(*exact, pairs, words_each, percent, scratch)
-    links = lasting.keep(found, "links")
+    links = scratch.keep(found, "links")
     grouped = components(links, "one", "other").select(F.col("id").alias("class"), "component")
     grouped = scratch.keep(
         classes.select("class", "n")
@@ -468,15 +468,14 @@ def similar(
     labelled = labelled.withColumn("component", F.coalesce("component", "class"))
     smallest = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
     labelled = labelled.join(smallest, "component").select("digest", "class", "component_id")
-    labelled = lasting.keep(labelled, "labels")
-    scratch.release()
+    labelled = scratch.keep(labelled, "labels")
     found = rows.select("id", "n", "digest", "row").join(labelled, "digest", "left")
-    return (
-        found.select(
-            F.col("id").alias(id_column),
-            F.col("n").alias("n_shingles"),
-            F.coalesce("class", "row").alias("class"),
-            F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
-        ),
-        links,
+    found = found.select(
+        "id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("class", "row").alias("class"),
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     )
+    found = lasting.keep(found, "found")
+    scratch.release()  # signatures take half as much as the input, the result hardly anything
+    return found.withColumnRenamed("id", id_column), links
